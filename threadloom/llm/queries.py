@@ -27,6 +27,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .binary_records import read_records, write_records
+
+    return read_records(write_records(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1))
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

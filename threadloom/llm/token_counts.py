@@ -71,31 +71,30 @@ class Merges:
         return parts
 
 
-def prove(path: str) -> set[str]:
-    """The strings of the vocabulary that encode alone as one token."""
+def prove(path: str) -> dict[str, int]:
+    """Tokens of each string of the vocabulary that stands alone: 1 where the merges arrive at it, and more for the few they never reach."""
     merges = Merges(path)
-    found = set()
+    found = {}
     for word in merges.ids:
-        if merges.merge(word) == [word]:
-            try:
-                found.add(word.decode())
-            except UnicodeDecodeError:
-                pass  # a part of a character: no pre-token is this string
+        try:
+            found[word.decode()] = len(merges.merge(word))
+        except UnicodeDecodeError:
+            pass  # a part of a character: no pre-token is this string
     return found
 
 
 class Counter(dict):
-    """Tokens of a pre-token: 1 for proven ones, else by merging, remembered."""
+    """Tokens of a pre-token: what was proven, else by merging, remembered."""
 
-    def __init__(self, whole: set[str], ranks: dict[bytes, int]):
-        super().__init__(dict.fromkeys(whole, 1))
+    def __init__(self, whole: dict[str, int], ranks: dict[bytes, int]):
+        super().__init__(whole)
         self.whole = whole
         self.merger = tiktoken.Encoding("rest", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE + len(self.whole):
             self.clear()
-            self.update(dict.fromkeys(self.whole, 1))
+            self.update(self.whole)
         n = len(self.merger.encode_ordinary(word))
         if len(word) <= 64:
             self[word] = n

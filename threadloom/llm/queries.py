@@ -45,6 +45,12 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op10_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lz_fingerprint import lz_fingerprints
+
+    return lz_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

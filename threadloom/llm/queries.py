@@ -45,6 +45,12 @@ def op5_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(write_records(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import language_id
+
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 

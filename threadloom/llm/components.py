@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by distributed label passing with pointer jumping; nothing is gathered at the driver."""
+"""Connected components of an edge table by contraction; nothing is gathered at the driver."""
 
 from __future__ import annotations
 
@@ -11,17 +11,33 @@ from .common import cut
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b), two longs: component is the smallest node that can be reached.
 
-    Each round gives a node the smallest label among its neighbours' and then the label of that label, so the rounds grow with the logarithm of
-    the longest path. A row with a null end is no edge. No edges give no rows.
+    Each round points a node at its smallest neighbour (or itself), follows pointers twice, and replaces the ends of every edge by what they point at; edges
+    that became loops are gone. The smallest node of a component always points at itself, so when no edge is left all nodes point at it. A row
+    with a null end is no edge. No edges give no rows.
     """
-    edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "both-ways")
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")), "labels")
-    while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("least"))
-        hooked = labels.join(near, F.col("node") == F.col("a")).select("node", F.least("component", "least").alias("to"), F.col("component").alias("was"))
-        upper = labels.select(F.col("node").alias("to"), F.col("component").alias("top"))
-        after = cut(hooked.join(upper, "to").select("node", F.least("to", "top").alias("component"), "was"), "labels")
-        labels = after.select("node", "component")
-        if after.where("component <> was").isEmpty():
-            return labels
+    edges = cut(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").distinct(), "edges")
+    labels = None
+    while labels is None or not edges.isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        to = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("to")), "pointers")
+        for _ in range(2):
+            to = _follow(to, to, "to")
+        to = cut(to, "pointers")
+        labels = to.withColumnRenamed("to", "component") if labels is None else cut(_follow(labels, to, "component"), "labels")
+        edges = cut(_follow(_follow(edges, to, "a"), to, "b").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    return labels
+
+
+def _follow(rows: DataFrame, to: DataFrame, column: str) -> DataFrame:
+    """rows with `column` replaced by what it points at, if it points."""
+    ahead = to.select(F.col("node").alias("__node"), F.col("to").alias("__to"))
+    return rows.join(ahead, F.col(column) == F.col("__node"), "left").withColumn(column, F.coalesce("__to", column)).drop("__node", "__to")
+
+
+def extended(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels (node, component) after further edges."""
+    to = labels.select("node", F.col("component").alias("to"))
+    more = components(_follow(_follow(edges.select("a", "b"), to, "a"), to, "b"))
+    to = more.select("node", F.col("component").alias("to"))
+    fresh = more.join(labels.select("node"), "node", "left_anti")
+    return cut(_follow(labels, to, "component").unionByName(fresh), "labels")

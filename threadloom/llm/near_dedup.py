@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, map_batches, small
-from .components import components
+from .components import components, extended
 
 PLACES = 1 << 20
 #: Classes of a bucket that are compared each with each.
@@ -210,7 +210,8 @@ def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col
         return found
     labelled = large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sums = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    main = sums.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where("kinds > 1")
+    main = sums.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("kinds"))
+    main = cut(main.where("kinds > 1"), "main")
     open_ = cut(labelled.join(main, "bucket").withColumn("asks", F.col("component") != F.col("main")), "open")
     blocks = F.greatest(F.ceil(F.col("all") / BLOCK), F.lit(1)).cast("int")
     asks = open_.where("asks").select("bucket", "node", "component", "asks", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
@@ -219,7 +220,7 @@ def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col
     more = cut(full.groupBy("bucket", "block").applyInArrow(_block_links(percent), "a long, b long"), "more-links")
     if more.isEmpty():
         return found
-    return components(edges.union(more))
+    return extended(found, more)
 
 
 def near_dedup(docs: DataFrame, *, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rows: int | None = None) -> DataFrame:

@@ -45,6 +45,12 @@ def op5_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(write_records(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import language_id
 

@@ -240,3 +240,16 @@ def near_dedup(docs: DataFrame, *, width: int = 5, percent: int = 80, id_col: st
     out = sketch.select("doc_id", "n_shingles", "set_key").join(small(linked, linked.count()), "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, *, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, of which one of each component stays: that of the smallest id. Of rows that share an id one stays; rows with a null id stay."""
+    report = cut(near_dedup(docs, width=width, percent=percent, id_col=id_col, text_col=text_col).select("doc_id", "kept"), "report")
+    gone = report.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    out = docs.join(small(gone, gone.count()), docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    twice = report.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__twice")).agg(F.count("*").alias("__n")).where("__n > 1").select("__twice")
+    n = twice.count()
+    if not n:
+        return out
+    same = out[id_col].cast("long") == F.col("__twice")
+    return out.join(small(twice, n), same, "left_anti").unionByName(out.join(small(twice, n), same, "left_semi").dropDuplicates([id_col]))

@@ -1 +1 @@
-"""."""
+"""Operators on posts, comments, batches and graphs."""

@@ -39,6 +39,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10).drop("spans")
 
 
+def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .line_templates import deduplicated_lines
+
+    found = deduplicated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.length("clean_text").cast("long").alias("n_chars_kept"), F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
 def op5_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .binary_records import read_records, write_records
 

@@ -24,7 +24,9 @@ GRAMS = (1, 2, 3, 4)
 #: Bounds of the fit: labelled texts for each language, in all, and bytes of one; centroids of a language.
 PER_LANGUAGE, SAMPLE, SAMPLE_BYTES, CENTROIDS = 800, 6000, 100_000, 4
 #: A text is rejected below this share of the least cosine that training texts of its length had.
-MARGIN = 0.5
+MARGIN = 0.4
+#: Texts of fewer than 2 ** this n-grams say too little to be rejected; so do lengths with fewer training texts about them than this.
+EVIDENCE, NEAR = 9, 20
 #: Every ASCII byte that is no letter becomes a space.
 _LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _PIECE = 1 << 20
@@ -141,10 +143,12 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
         cosine = (vectors @ mine.T).max(axis=1)
         size = np.log2(counted.sum(axis=1) + 1).astype(int).clip(0, 39)
         lows = np.array([cosine[size == s].min() if (size == s).any() else np.nan for s in range(40)])
-        # a length without training texts takes the least of any shorter one, so that it is stricter with none
-        for s in range(40):
-            lows[s] = np.nanmin(lows[: s + 1]) if (~np.isnan(lows[: s + 1])).any() else 0.0
-        model.least[i] = lows * MARGIN
+        lengths = np.flatnonzero(~np.isnan(lows))
+        for at in range(EVIDENCE, 40):
+            # the least of the lengths about it; a length beyond training texts takes that of the longest of these
+            about = lengths[np.abs(lengths - min(at, lengths.max())) <= 1]
+            if np.isin(size, about).sum() >= NEAR:
+                model.least[i, at] = MARGIN * lows[about].min()
     model.centroids, model.owner = np.concatenate(centres) if centres else model.centroids, np.array(owner, int)
     if not centres:
         model.languages = []

@@ -31,7 +31,7 @@ PLACES = 1 << 20
 #: Classes of a bucket that are compared each with each.
 SMALL = 12
 #: Centres of a larger bucket.
-CENTRES = 6
+CENTRES = 3
 #: Members of a block in step 3.
 BLOCK = 512
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))

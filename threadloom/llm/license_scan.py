@@ -119,7 +119,7 @@ odbl | 1.0 | odbl
 CC_KINDS, CC_VERSIONS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"), ("1.0", "2.0", "2.5", "3.0", "4.0")
 CC_WORDS = {"by": "attribution", "sa": "share~?alike", "nd": "no~?deriv(?:ative)?s?", "nc": "non~?commercial"}
 #: A text without any of these has neither base phrase nor rule.
-HINT = r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|advertising materials|unencumbered|what the fuck|beer|public domain|creative|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|cc0|gpl|gfdl|gnu|free software foundation|mpl|epl|eupl|cddl|cpal|osl|afl|ofl|apache|artistic|bsl|zpl|lppl|ecl|cecill|odbl|all rights|proprietary|origin of this|as-is|commons|openrail|mulan|misrepresented"
+HINT = r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|advertising materials|unencumbered|what the fuck|beer|public domain|creative|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|cc\W{1,6}by|cc0|implied\W{1,6}warranty|gpl|gfdl|gnu|free software foundation|mpl|epl|eupl|cddl|cpal|osl|afl|ofl|apache|artistic|bsl|zpl|lppl|ecl|cecill|odbl|all rights|proprietary|origin of this|as-is|commons|openrail|mulan|misrepresented"
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:

@@ -66,7 +66,7 @@ def similar_pairs(rows: DataFrame, text_col: str = "text", seq: str = "seq", *,
     new = rows.select(F.col(seq).alias("new"), F.col("place").alias("at"), F.col(text_col).alias("new_text"), size.alias("m"), F.explode(F.array(F.floor(F.col("place") / reach), F.floor(F.col("place") / reach) - 1)).alias("block"))
     old = rows.select(F.col(seq).alias("old"), F.col("place").alias("was"), F.col(text_col).alias("old_text"), size.alias("n"), F.floor(F.col("place") / reach).alias("block"))
     near = new.join(old, "block").where((F.col("was") < F.col("at")) & (F.col("was") >= F.col("at") - reach))
-    near = near.where(2.0 * F.least("m", "n") / F.greatest(F.col("m") + F.col("n"), F.lit(1)) > gate.similarity)
+    near = near.where((F.col("m") + F.col("n") == 0) | (F.try_divide(2.0 * F.least("m", "n"), F.col("m") + F.col("n")) > gate.similarity))
     least = gate.similarity
 
     @F.pandas_udf(BooleanType())

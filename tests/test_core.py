@@ -278,3 +278,20 @@ def test_stream_equals_batch(spark, tmp_path, sf):
 
 def test_every_query_has_a_name_and_most_have_sql():
     assert set(queries.SQL) <= set(queries.QUERIES) and len(queries.SQL) >= 40
+
+
+def test_progress(spark, tmp_path):
+    from threadloom.plans import progress
+
+    path = str(tmp_path / "progress")
+    assert progress.next_index(spark, path) == 0
+    progress.save(spark, path, 4, 9)
+    assert progress.next_index(spark, path) == 5 and progress.left_over(spark.range(9).withColumnRenamed("id", "batch_index"), spark, path).count() == 4
+    progress.clear(spark, path)
+    assert progress.next_index(spark, path) == 0
+
+
+def test_filter_stats(spark):
+    posts = spark.createDataFrame([(1,), (2,)], "post_id long")
+    stats = spark.createDataFrame([("1", 3, 2)], "post_id string, original_comments int, kept_comments int")
+    assert {r.post_id: r._filter_stats and tuple(r._filter_stats) for r in flow.with_filter_stats(posts, stats).collect()} == {1: (3, 2), 2: None}

@@ -75,8 +75,33 @@ def report_of(vertices: DataFrame, edges: DataFrame, backend: backends.Backend |
     return reports.lens_reports(graph.summary_lines(graph.top_edges(edges, vertices, 50)), backend)
 
 
-def completion(batches: DataFrame, relations: DataFrame) -> DataFrame:
-    """status, total_batches_processed, total_relations_added."""
+def completion(batches: DataFrame, relations: DataFrame, seconds: float | None = None, backup: str | None = None) -> DataFrame:
+    """One row: status, total_batches_processed, total_relations_added, duration_seconds, seconds_per_batch, backup_file."""
     n = batches.agg(F.count("*").alias("total_batches_processed"))
     added = graph.counters(relations).select(F.col("added").alias("total_relations_added"))
-    return n.join(F.broadcast(added)).select(F.lit("completed").alias("status"), "total_batches_processed", "total_relations_added")  # one row and one
+    spent = F.lit(seconds).cast("double")
+    return n.join(F.broadcast(added)).select(  # one row and one
+        F.lit("completed").alias("status"), "total_batches_processed", "total_relations_added", spent.alias("duration_seconds"),
+        F.try_divide(spent, F.col("total_batches_processed")).alias("seconds_per_batch"), F.lit(backup).cast("string").alias("backup_file"),
+    )
+
+
+def final_reasons(posts: DataFrame, limits: Gate = RELAXED) -> DataFrame:
+    """seq, post_id, reason of every post: the gate's, or duplicate_post."""
+    judged = gate.gated_posts(posts, limits)
+    firsts = dedup.exact_dedup(judged.where("reason IS NULL"), "selftext", "seq").select("seq", F.lit(True).alias("__first"))
+    return judged.join(firsts, "seq", "left").select("seq", "post_id", F.coalesce("reason", F.when(F.col("__first").isNull(), F.lit("duplicate_post"))).alias("reason"))
+
+
+def comment_summary(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> DataFrame:
+    """One row: total, kept and rejected top-level comments. Those of a rejected post are all rejected; replies are not counted."""
+    passed = final_reasons(posts, limits).where("reason IS NULL").select(F.col("post_id").cast("string").alias("post_id"), F.lit(True).alias("__passed"))
+    roots = gate.gated_comments(comments, limits).where("depth = 0").withColumn("post_id", F.col("post_id").cast("string")).join(passed, "post_id", "left")
+    kept = F.coalesce(F.col("__passed") & F.col("reason").isNull(), F.lit(False))
+    return roots.agg(F.count("*").alias("total_comments"), F.count_if(kept).alias("kept_comments"), F.count_if(~kept).alias("rejected_comments"))
+
+
+def with_filter_stats(posts: DataFrame, stats: DataFrame) -> DataFrame:
+    """posts with _filter_stats (original_comments, kept_comments) from a table of those by post_id."""
+    counted = stats.select(F.col("post_id").cast("string").alias("__post"), F.struct("original_comments", "kept_comments").alias("_filter_stats"))
+    return posts.join(counted, posts["post_id"].cast("string") == F.col("__post"), "left").drop("__post")

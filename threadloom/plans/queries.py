@@ -187,10 +187,7 @@ _OK_FIRST = f"WITH {_GATED}, first AS (SELECT min(doc_id) AS doc_id FROM (SELECT
 
 
 def _final_reasons(spark, d):
-    judged = gate.gated_posts(tables.posts(spark, d))
-    firsts = dedup.exact_dedup(judged.where("reason IS NULL"), "selftext", "seq").select("seq", F.lit(True).alias("first"))
-    duplicate = F.when(F.col("first").isNull(), F.lit("duplicate_post"))
-    return judged.join(firsts, "seq", "left").select("seq", F.coalesce("reason", duplicate).alias("reason"))
+    return flow.final_reasons(tables.posts(spark, d))
 
 
 @query(f"{_OK_FIRST} SELECT count(*) AS total_posts, count(*) FILTER (reason IS NULL) AS kept_posts, count(*) FILTER (reason IS NOT NULL) AS rejected_posts FROM final")
@@ -211,6 +208,13 @@ def per_post_stats(spark, d):
     return counted.select(F.col("post_id").cast("long").alias("post_id"), "original_comments", F.coalesce("kept", F.lit(0)).alias("kept_comments"))
 
 
+@query(f"""WITH {_GATED}, first AS (SELECT min(doc_id) AS doc_id FROM (SELECT doc_id, lower(c) AS f FROM gated WHERE reason IS NULL) GROUP BY f), {_JUDGED_TURNS}
+  SELECT count(*) AS total_comments, count(*) FILTER (f.doc_id IS NOT NULL AND cj.reason IS NULL) AS kept_comments, count(*) FILTER (f.doc_id IS NULL OR cj.reason IS NOT NULL) AS rejected_comments
+  FROM cj LEFT JOIN first f ON f.doc_id = cj.conv_id WHERE turn = 0""")
+def comment_summary(spark, d):
+    return flow.comment_summary(tables.posts(spark, d), tables.comments(spark, d))
+
+
 @query()
 def fuzzy_dedup(spark, d):
     return dedup.fuzzy_dedup(_docs(spark, d), "text", "doc_id", shard=1000).select("doc_id")
@@ -496,3 +500,55 @@ def scenario_context(spark, d):
 def report_view(spark, d):
     report = spark.range(1).select(F.from_json(F.lit('{"current_state": "now", "scenario_a": {"name": "x"}}'), reports.SCENARIO).alias("r")).select("r.*")
     return reports.report_view(report)
+
+
+@query("SELECT * FROM (VALUES (1, 'first'), (2, 'second')) AS s(number, signal)")
+def report_signals(spark, d):
+    report = spark.range(1).select(F.from_json(F.lit('{"early_warning_signals": ["first", "second"]}'), reports.SCENARIO).alias("r")).select("r.*")
+    return reports.report_signals(report)
+
+
+@query("SELECT 'General Overview' AS title, 'No summary available.' AS summary, 40.0 AS negative, 60.0 AS positive, 1 AS n_drivers")
+def sidebar_view(spark, d):
+    kind = "struct<scenario_analysis:struct<title:string,summary:string,key_drivers:array<string>>,metadata:struct<overall_average_sentiment:struct<negative:double,positive:double>>>"
+    text = F.lit('{"scenario_analysis": {"title": "", "key_drivers": ["x"]}, "metadata": {"overall_average_sentiment": {"negative": 40, "positive": 60}}}')
+    document = spark.range(1).select(F.from_json(text, kind).alias("r")).select("r.*")
+    return reports.sidebar(document).withColumn("n_drivers", F.size("drivers")).drop("drivers")
+
+
+@query("SELECT event_id, trim(props) AS body FROM events WHERE props IS NOT NULL")
+def fence_strip(spark, d):
+    """The props of events, wrapped as a chatty model would, and cut out again."""
+    rows = tables.read(spark, d, "events").where("props IS NOT NULL")
+    answer = F.concat(F.lit("Here it is:\n```json\n"), F.col("props"), F.lit("\n```\nAnything else?"))
+    return rows.select("event_id", T.from_brace(F.trim(F.regexp_replace(T.fence_stripped(answer), "^\\s+|\\s+\\z", ""))).alias("body"))
+
+
+@query("SELECT doc_id, left(text, 300) || '...' AS preview FROM documents")
+def text_preview(spark, d):
+    return _docs(spark, d).select("doc_id", T.preview(F.col("text"), 300).alias("preview"))
+
+
+@query(f"WITH {_REL} SELECT source || ' (' || s_type || ') --[' || relation || ']--> ' || target || ' (' || t_type || ')' AS line, count(*) AS n FROM typed GROUP BY 1")
+def edge_lines(spark, d):
+    line = F.format_string("%s (%s) --[%s]--> %s (%s)", "source", "s_type", "relation", "target", "t_type")
+    return _typed(spark, d).groupBy(line.alias("line")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_REL} SELECT 'completed' AS status, (SELECT count(DISTINCT batch_index) FROM rel0) AS total_batches_processed, count(*) FILTER (target IS NOT NULL) AS total_relations_added FROM rel0")
+def completion_summary(spark, d):
+    relations = tables.relations(spark, d)
+    return flow.completion(relations.select("batch_index").distinct(), relations).select("status", "total_batches_processed", "total_relations_added")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, reason FROM judged")
+def stream_gate(spark, d):
+    """The gate over a stream of the documents' files, written and read again: equal to the batch."""
+    from ..sources.sinks import shared_path
+    from ..streaming.gate import gated
+
+    schema = _docs(spark, d).select("doc_id", "text").schema
+    live = gated(spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]"))
+    out = shared_path(spark, "stream-gate")
+    live.select("doc_id", "reason").writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("doc_id long, reason string").parquet(f"{out}/rows")

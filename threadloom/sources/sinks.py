@@ -4,13 +4,21 @@ from __future__ import annotations
 
 import html
 import json
+import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import upsert_latest
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir); on this machine only where none is set, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="threadloom-")
+    return f"{folder.rstrip('/')}/threadloom/{uuid.uuid4().hex}-{name}"
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

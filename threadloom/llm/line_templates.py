@@ -24,6 +24,8 @@ from .common import BATCH_ROWS, BROADCAST_ROWS, cut
 MARK = "<*>"
 #: Leading tokens of a path; tokens of a line at least; literal tokens of a template at least; tokens of a line from which half of the positions may be open, and literal tokens of such a half.
 DEPTH, SHORTEST, LITERAL, LONG, HALF_LITERAL = 2, 4, 3, 12, 5
+#: Stands for the first document of a template that only documents without an id have.
+NOBODY = -(1 << 63)
 _DIGIT = re.compile(r"\d")
 
 
@@ -91,9 +93,10 @@ def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, n_lines long, n_dropped long, clean_text string"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    found = found.select("key", F.coalesce("first", F.lit(NOBODY)).alias("first"))
     n = found.count()
     if n <= most_sent:
-        table = found.select("key", F.coalesce("first", F.lit(-(1 << 63)))).toPandas().to_numpy().reshape(-1, 2)  # bounded by most_sent rows of 16 bytes
+        table = found.toPandas().to_numpy().reshape(-1, 2)  # bounded by most_sent rows of 16 bytes
         shared = spark.sparkContext.broadcast(table.astype(np.int64))
 
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -88,24 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
-WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-
-OP3 = f"""
-WITH doc AS (SELECT doc_id, coalesce({WORDS.format("text")}, []) AS w FROM documents),
-item AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS.format("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
-gram AS (
-  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
-  FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item WHERE len(w) > 0)),
-size AS (SELECT DISTINCT n FROM gram),
-place AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size WHERE len(w) >= n),
-hit AS (SELECT DISTINCT p.doc_id, p.i, p.n, g.item FROM place p JOIN gram g ON g.n = p.n AND g.gram = array_to_string(p.w[p.i:p.i + p.n - 1], ' ')),
-word AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS spot FROM hit) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3}
+    from .oracles import SQL
+
+    return dict(SQL)

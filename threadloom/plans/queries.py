@@ -306,9 +306,13 @@ def compress_posts(spark, d):
     return render.with_text(tables.posts(spark, d)).select(F.col("seq").alias("doc_id"), "post_text")
 
 
-@query()
+_PAD = "repeat('  ', turn)"
+
+
+@query(f"""SELECT conv_id AS post_id, string_agg({_PAD} || '[COMMENT]' || chr(10) || {_PAD} || 'Author: ' || role || chr(10) || {_PAD} || 'Score: ' || turn || chr(10) || {_PAD} || 'Body: ' || text, chr(10) ORDER BY turn)
+  || chr(10) || string_agg({_PAD} || '[/COMMENT]', chr(10) ORDER BY turn DESC) AS text FROM conversations GROUP BY 1""")
 def comment_blocks(spark, d):
-    return render.comment_blocks(tables.comments(spark, d))
+    return render.comment_blocks(tables.comments(spark, d)).withColumn("post_id", F.col("post_id").cast("long"))
 
 
 @query()

@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A source whose target is r times its size takes every document floor(r) times for certain. What is left is a sample without repeats:
-documents are ranked by their random odds u / (1 - u), divided by the odds of their inclusion chance, and taken in that order until the
-words that are still wanted are reached, so the sample's size is fixed and only its members are random.
+A source whose target is r times its size takes every document floor(r) times for certain. What is left is a sample without repeats with unequal
+chances: those of longer documents are somewhat larger (`weight_of`). Documents are ranked by their random odds u / (1 - u), divided by the odds of their
+inclusion chance, and taken in that order until the words that are still wanted are reached, so the sample's size is fixed and only its members are random.
 
 No source is sorted in one task. The rank is cut into 4096 bins twice over; sums by bin find the bin where the wanted words are
 reached, and only that bin's documents (one in 16 million) are put in order.
@@ -24,8 +24,18 @@ def _rank(doc_id: str, key: str, seed: int, chance: Column) -> Column:
     return u * (1 - chance) / (u * (1 - chance) + chance * (1 - u))
 
 
+def weight_of(size: Column) -> Column:
+    """What a document's inclusion chance goes by within its source."""
+    return F.log2(size + 2.0)
+
+
+def _chance(size: Column) -> Column:
+    """The inclusion chance of a document, so that chances times sizes sum to the rest that its source wants, but for those cut at 1."""
+    return F.least(F.col("chance") * weight_of(size) / F.col("mean_weight"), F.lit(1.0))
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
-    """Adds weight, target, copies, chance and rest to (source, source_size), one row for each source.
+    """Adds weight, target, copies, chance and rest to (source, source_size, mean_weight), one row for each source.
 
     Sources in code point order, null last, get the weights in turn. Targets are weight x level, at most `most` x size; the level at which
     they sum to `share` x all sizes is where the first uncapped source stands when sources are ordered by the level that caps them.
@@ -50,7 +60,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most:
         out.withColumn("copies", F.floor(ratio + 1e-12).cast("int"))
         .withColumn("chance", F.greatest(ratio - F.col("copies"), F.lit(0.0)))
         .withColumn("rest", F.col("chance") * F.col("source_size"))
-        .select("source", "source_size", "weight", "target", "copies", "chance", "rest")
+        .select("source", "source_size", "mean_weight", "weight", "target", "copies", "chance", "rest")
     )
 
 
@@ -59,12 +69,13 @@ def plan(base: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: floa
 
     base: doc_id, source, size, key (a hash of the text). Rows alike in all four have one rank and are in or out together.
     """
-    sources = cut(targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-sources")
+    sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.try_divide(F.sum(F.col("size") * weight_of(F.col("size"))), F.sum("size")).alias("mean_weight"))
+    sources = cut(targets(sizes, weights, share, most), "mix-sources")
     n = sources.count()
     drawn = (
         base.withColumnRenamed("source", "of")
-        .join(small(sources.where("rest > 0").select("source", "chance", "rest"), n), F.col("of").eqNullSafe(F.col("source")))
-        .withColumn("rank", _rank("doc_id", "key", seed, F.col("chance")))
+        .join(small(sources.where("rest > 0").select("source", "chance", "rest", "mean_weight"), n), F.col("of").eqNullSafe(F.col("source")))
+        .withColumn("rank", _rank("doc_id", "key", seed, _chance(F.col("size"))))
         .select("source", "rest", "doc_id", "key", "size", "rank", F.floor(F.col("rank") * BINS).alias("bin_0"), (F.floor(F.col("rank") * BINS * BINS) % BINS).alias("bin_1"))
     )
     at, begun = drawn, F.lit(0)
@@ -97,10 +108,12 @@ def _copies(rank: Column) -> Column:
     return F.col("copies") + F.when(F.col("last").isNotNull() & (F.col("chance") > 0) & taken, 1).otherwise(0)
 
 
+def size_of(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(text_col, F.lit(CHUNK)), F.lit(0)).cast("long")
+
+
 def base_of(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(text_col, F.lit(CHUNK)), F.lit(0)).cast("long").alias("size"), F.xxhash64(text_col).alias("key")
-    )
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"), F.xxhash64(text_col).alias("key"))
 
 
 def mix(docs: DataFrame, *, seed: int = 1, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, **columns: str) -> DataFrame:
@@ -112,14 +125,14 @@ def mix(docs: DataFrame, *, seed: int = 1, weights: tuple[float, ...] = (3, 1, 2
     base = cut(base_of(docs, **columns), "mix-sizes")
     made = plan(base, seed=seed, weights=weights, share=share, most=most)
     rows = base.withColumnRenamed("source", "of").join(small(made, made.count()), F.col("of").eqNullSafe(F.col("source")))
-    rows = rows.withColumn("copies", _copies(_rank("doc_id", "key", seed, F.col("chance"))))
+    rows = rows.withColumn("copies", _copies(_rank("doc_id", "key", seed, _chance(F.col("size")))))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", F.col("of").alias("source"))
 
 
 def mixed_rows(docs: DataFrame, *, seed: int = 1, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
     """The rows of docs, all columns, each as many times as the mix takes it."""
     made = plan(cut(base_of(docs, id_col=id_col, source_col=source_col, text_col=text_col), "mix-sizes"), seed=seed, **how)
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(source_col).alias("of"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(source_col).alias("of"), size_of(text_col).alias("size"))
     rows = rows.join(small(made, made.count()), F.col("of").eqNullSafe(F.col("source")))
-    copies = _copies(_rank("doc_id", "key", seed, F.col("chance")))
+    copies = _copies(_rank("doc_id", "key", seed, _chance(F.col("size"))))
     return rows.select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")

@@ -38,19 +38,23 @@ class Close:
             self.at[c] = self.at.get(c, 0) | 1 << i
         self.full = (1 << len(text)) - 1
 
-    def common(self, other: str) -> int:
-        """Length of the longest common subsequence."""
-        row, full, at = self.full, self.full, self.at
-        for c in other:
-            hit = row & at.get(c, 0)
-            row = (row + hit | row - hit) & full
-        return len(self.text) - row.bit_count()
+    def common(self, other: str, needed: float = 0.0) -> int:
+        """Length of the longest common subsequence; or, once it cannot come above `needed`, a bound of it that does not either."""
+        row, full, at, m, n = self.full, self.full, self.at, len(self.text), len(other)
+        for first in range(0, n, 64):
+            for c in other[first : first + 64]:
+                hit = row & at.get(c, 0)
+                row = (row + hit | row - hit) & full
+            bound = m - row.bit_count() + max(n - first - 64, 0)
+            if bound <= needed:
+                return bound
+        return m - row.bit_count()
 
     def to(self, other: str) -> bool:
         both = len(self.text) + len(other)
         if not both:
             return 1.0 > self.least
-        if 2.0 * min(len(self.text), len(other)) <= self.least * both or 2.0 * self.common(other) <= self.least * both:
+        if 2.0 * min(len(self.text), len(other)) <= self.least * both or 2.0 * self.common(other, self.least * both / 2.0) <= self.least * both:
             return False
         return difflib.SequenceMatcher(None, self.text, other).ratio() > self.least
 

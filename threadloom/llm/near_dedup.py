@@ -141,7 +141,7 @@ def sketches(docs: DataFrame, width: int, rows: int, bands: int, id_col: str, te
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """node, shingles (sorted hashes) of the documents whose id is in wanted (node). Of rows that share an id the set with the least key counts."""
+    """node, shingles (sorted hashes) of the documents whose id is in wanted (node); a row for each of them."""
     n = wanted.count()
     rows = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(small(wanted, n), "node", "left_semi")
 
@@ -156,7 +156,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 x intersection >= percent x union."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    n, m = F.size("of_a"), F.size("of_b")
+    n, m = F.size("of_a").cast("long"), F.size("of_b").cast("long")
     near = pairs.join(left, "a").join(right, "b").where(100 * F.least(n, m) >= percent * F.greatest(n, m))
     common = F.size(F.array_intersect("of_a", "of_b"))
     return near.where(100 * common >= percent * (n + m - common)).select("a", "b")
@@ -169,12 +169,12 @@ def _block_links(percent: int):
         node, comp, asks = (table.column(c).to_numpy() for c in ("node", "component", "asks"))
         shingles = table.column("shingles").combine_chunks()
         values, ends = shingles.values.to_numpy(), shingles.offsets.to_numpy()
-        sizes = np.diff(ends)
+        sizes = np.diff(ends).astype(np.int64)
         _, dense = np.unique(values, return_inverse=True)
         members = np.flatnonzero(~asks)
         flat = np.concatenate([dense[ends[i] : ends[i + 1]] for i in members]) if len(members) else np.empty(0, int)
         starts = np.concatenate([[0], np.cumsum(sizes[members])[:-1]]).astype(int) if len(members) else np.empty(0, int)
-        mark, found = np.zeros(len(values) + 1, np.int32), {}
+        mark, found = np.zeros(len(values) + 1, np.int64), {}
         for q in np.flatnonzero(asks) if len(members) else ():
             mine = dense[ends[q] : ends[q + 1]]
             mark[mine] = 1
@@ -201,8 +201,10 @@ def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col
     centres = counted.where(F.col("n") > SMALL).select("bucket", F.explode(F.array_distinct(F.array(*(F.col(f"c{i}.node") for i in range(CENTRES))))).alias("centre"))
     stars = member.where(F.col("n") > SMALL).select("bucket", "node").join(centres, "bucket").where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
     pairs = cut(each.union(stars).distinct(), "candidates")
-    sets = cut(full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), width, id_col, text_col), "sets")
-    sets = sets.groupBy("node").agg(F.min("shingles").alias("shingles"))
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    sets = cut(full_sets(docs, wanted, width, id_col, text_col), "sets")
+    if sets.count() > wanted.count():  # rows that share an id
+        sets = cut(sets.groupBy("node").agg(F.min("shingles").alias("shingles")), "sets")
     edges = cut(confirmed(pairs, sets, percent), "links")
     found = components(edges)
     large = member.where(F.col("n") > SMALL).select("bucket", "node")

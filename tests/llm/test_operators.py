@@ -126,19 +126,18 @@ def plain_lines(docs):
     return out
 
 
-@pytest.mark.parametrize("most_sent", [10_000, 0])
-def test_line_templates(odd, pairs, spark, most_sent):
+def test_line_templates(odd, pairs, spark):
     words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi".split()
     changed = [*words[:7], *"one other ending of the same length".split()]
     more = [(100, " ".join(words) + "\nonly here are words"), (101, "seen 12 times by 7 users\n\nshort"), (102, "Seen 99 times by 1 users\nshort"), (103, " ".join(changed)), (104, "1 2 3 4 5"), (105, "6 7 8 9 10"), (106, "1 2 3 4 5\n")]
     rows_ = [(i, t) for i, t in {(i, t) for i, t in pairs if i != 0 and i != 7}] + more
     df = spark.createDataFrame(rows_, "doc_id long, text string").withColumn("key", F.lit(1))
-    found = line_templates.deduplicated_lines(df, most_sent=most_sent).collect()
+    found = line_templates.deduplicated_lines(df).collect()
     assert bag(found, "doc_id", "n_lines", "n_dropped", "clean_text") == plain_lines(rows_)
     by = {r.doc_id: r.clean_text for r in found}
     assert by[102] == "short" and by[103] == "" and by[105] == "6 7 8 9 10" and by[106] == "" and by[101].startswith("seen 12")
-    assert line_templates.deduplicated_lines(odd, most_sent=most_sent).count() == len(pairs)
-    assert line_templates.deduplicated_lines(df.limit(0), most_sent=most_sent).count() == 0
+    assert line_templates.deduplicated_lines(odd).count() == len(pairs)
+    assert line_templates.deduplicated_lines(df.limit(0)).count() == 0
 
 
 def test_binary_records_round_trip(odd, pairs):

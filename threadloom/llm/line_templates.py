@@ -13,13 +13,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, BROADCAST_ROWS, cut
+from .common import BATCH_ROWS, cut
 
 MARK = "<*>"
 #: Leading tokens of a path; tokens of a line at least; literal tokens of a template at least; tokens of a line from which half of the positions may be open, and literal tokens of such a half.
@@ -79,14 +78,14 @@ def recurring_templates(docs: DataFrame, *, min_docs: int = 2, id_col: str = "do
     return cut(counts.where(F.col("n") >= min_docs), "templates")
 
 
-def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", most_sent: int = BROADCAST_ROWS) -> DataFrame:
+def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_dropped, clean_text for each row of docs.
 
     A line is dropped if any of its templates is recurring and has its first occurrence in a document of another id; a document without an id is never the
     first. Blank and short lines (fewer than SHORTEST tokens) always stay. A null text has no lines and stays null. Rows that share an id and text get equal results. An empty
     table gives no rows. Other columns are not read.
 
-    Up to most_sent recurring templates are sent to the executors; beyond that each line is joined with them instead.
+    Recurring templates grow with the corpus, so they are never sent to all executors: the keys of all lines are joined with them, at every size.
     """
     spark = docs.sparkSession
     found = recurring_templates(docs, min_docs=min_docs, id_col=id_col, text_col=text_col)
@@ -94,18 +93,6 @@ def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc
     schema = "doc_id long, n_lines long, n_dropped long, clean_text string"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     found = found.select("key", F.coalesce("first", F.lit(NOBODY)).alias("first"))
-    n = found.count()
-    if n <= most_sent:
-        table = found.toPandas().to_numpy().reshape(-1, 2)  # bounded by most_sent rows of 16 bytes
-        shared = spark.sparkContext.broadcast(table.astype(np.int64))
-
-        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            firsts = dict(shared.value.tolist())
-            for batch in batches:
-                out = [_cleaned(i, t, lambda line, i=i: any(firsts.get(k, i) != i for k in template_keys(line))) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-                yield _batch(out)
-
-        return rows.mapInArrow(clean, schema)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,19 +107,18 @@ def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for i, t, lost_lines in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                gone, at = set(lost_lines or ()), iter(range(1 << 62))
-                out.append(_cleaned(i, t, lambda _, gone=gone, at=at: next(at) in gone))
+            for i, text, at in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                out.append(_cleaned(i, text, set(at or ())))
             yield _batch(out)
 
     return marked.mapInArrow(drop, schema)
 
 
-def _cleaned(doc_id, text, recurring) -> tuple:
+def _cleaned(doc_id: int | None, text: str | None, lost: set[int]) -> tuple:
     if text is None:
         return doc_id, 0, 0, None
     lines = text.split("\n")
-    kept = [line for line in lines if not recurring(line)]
+    kept = [line for at, line in enumerate(lines) if at not in lost]
     return doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)
 
 

@@ -99,6 +99,20 @@ def test_fuzzy_dedup_is_the_sequential_one(spark):
     assert pairs == {(i, j) for i in range(len(texts)) for j in range(max(0, i - 7), i) if difflib.SequenceMatcher(None, texts[i].lower().strip(), texts[j].lower().strip()).ratio() > 0.85}
 
 
+def test_fuzzy_dedup_carries_over_ranges(spark):
+    rng = random.Random(3)
+    bases = ["".join(rng.choices("abcdefgh ", k=rng.randint(10, 50))) for _ in range(40)]
+    texts = []
+    for _ in range(400):
+        base = rng.choice(bases)
+        at = rng.randint(0, len(base))
+        texts.append(rng.choice([base, base.upper(), base[:at] + rng.choice("xyz") + base[at:], "".join(rng.choices("abcdefgh ", k=30))]))
+    df = spark.createDataFrame(list(enumerate(texts)), "seq long, text string")
+    for history, shard in ((100, 50), (5, 20), (5, 60)):
+        limits = RELAXED.__class__(history=history)
+        assert sorted(r.seq for r in dedup.fuzzy_dedup(df, gate=limits, shard=shard).collect()) == plain_fuzzy(texts, history)
+
+
 def test_common_subsequence():
     def plain(a, b):
         row = [0] * (len(b) + 1)

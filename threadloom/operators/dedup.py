@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import hashlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,7 @@ from pyspark.sql.types import BooleanType
 
 from ..config import RELAXED, Gate
 from ..functions import text as T
+from ..sources.sinks import shared_path
 
 
 def normal_form(text_col: str):
@@ -80,34 +82,162 @@ def similar_pairs(rows: DataFrame, text_col: str = "text", seq: str = "seq", *,
     return near.where(similar("new_text", "old_text")).select("new", "old")
 
 
+#: What the walk says of a text: kept, an exact copy of a kept one, similar to one of the last kept ones, or below a head that was not kept and so never looked at.
+KEPT, EXACT, FUZZY, PASSED_OVER = 0, 1, 2, 3
+
+
 def fuzzy_dedup(rows: DataFrame, text_col: str = "text", seq: str = "seq", *, gate: Gate = RELAXED, shard: int = 20_000) -> DataFrame:
-    """Rows that pass exact and fuzzy deduplication, in shards of `shard` consecutive places.
+    """Rows that pass exact and fuzzy deduplication: those of the sequential walk over all rows, whatever `shard` is (see `walked`)."""
+    kept = walked(rows.select(F.col(seq).cast("long").alias("seq"), F.lit(0).alias("at"), F.col(text_col).alias("text")), gate=gate, shard=shard).where(F.col("status") == KEPT)
+    return rows.join(kept.select(F.col("seq").alias("__kept")), F.col(seq) == F.col("__kept"), "left_semi")
 
-    Acceptance depends on earlier acceptance, so a shard is walked in order by one task, which holds its texts; each shard starts with an
-    empty history. A corpus of one shard has the sequential result exactly; more shards trade it for parallel work. For similarity across a whole large corpus use
-    a sketch-based near-duplicate operator instead.
-    """
-    first = rows.agg(F.min(seq)).first()[0] or 0
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq)
+def walked(texts: DataFrame, *, gate: Gate = RELAXED, shard: int = 20_000) -> DataFrame:
+    """seq, at, status of the texts that the walk in order of (seq, at) looks at; a text without a row is an exact copy of a kept one.
+
+    texts: seq, at (together unique), text (null counts as empty). A text with at > 0 stands under the head (seq, 0) and is looked at only if that was kept. A text is rejected
+    if an equal one was kept before, or if one of the last `gate.history` kept ones is similar.
+
+    Acceptance depends on earlier acceptance. So ranges of about `shard` heads are walked in parallel, each from a guess of what was kept before it (at first: nothing, and
+    of equal texts the first one); then each range whose guess differs from what the ranges before it gave is walked again, until all agree. The first range needs no guess,
+    so what all agree on is the sequential result. A range walked again compares a text only with those it was not compared with before. Equal texts after the first are
+    left out by aggregation and come in only if the first was not kept, since then it does not count as seen.
+    """
+    spark = texts.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 256)
+    texts = texts.where(F.col("seq").isNotNull()).select("seq", "at", F.coalesce("text", F.lit("")).alias("text"))
+    parts = max(1, -(-texts.where(F.col("at") == 0).count() // shard))
+    # ranges come from a sample, so they are written once
+    ids = _cut(texts.mapInPandas(_digests, "seq long, at int, digest string").repartitionByRange(parts, "seq").withColumn("shard", F.spark_partition_id()), "fuzzy-ids")
+    firsts = ids.groupBy("digest").agg(F.min(F.struct("seq", "at", "shard")).alias("first"), F.count("*").alias("n")).select("first.*", "digest", (F.col("n") > 1).alias("copied"))
+    active = _cut(texts.join(firsts, ["seq", "at"]), "fuzzy-texts")
+    walk = _walk_of(gate)
+    state: DataFrame | None = None
+    used: dict[int, list] = {}  # range: keys of the last kept texts before it that its last walk started from
+    tails: dict[int, list] = {}  # range: keys of its last kept texts
+    first_kept: dict[str, int | None] = {}  # digest whose first text was not kept at some time: the first range that keeps it
+    shards_of: dict[str, set[int]] = {}
+    todo = {r.shard for r in active.select("shard").distinct().collect()}
+    everyone = sorted(todo)
+    given: dict[int, list] = {}
+    while todo:
+        here = active.where(F.col("shard").isin(sorted(todo)))
+        if state is None:
+            here = here.withColumn("old", F.lit(-1)).withColumn("old_seq", F.lit(None).cast("long")).withColumn("old_at", F.lit(None).cast("int"))
+        else:
+            was = state.select("seq", "at", F.col("status").alias("old"), F.col("like_seq").alias("old_seq"), F.col("like_at").alias("old_at"))
+            here = here.join(was, ["seq", "at"], "left").withColumn("old", F.coalesce("old", F.lit(-1)))
+        if first_kept:
+            revived = spark.createDataFrame(list(first_kept.items()), "digest string, first_kept int")
+            here = here.join(revived, "digest", "left").withColumn("before", F.coalesce(F.col("first_kept") < F.col("shard"), F.lit(False))).drop("first_kept")
+        else:
+            here = here.withColumn("before", F.lit(False))
+        marks = []
+        for k in todo:
+            now, then = set(given.get(k, ())), set(used.get(k, ()))
+            marks += [(key[0], key[1], k, key in now, key in then) for key in now | then]
+        history = spark.createDataFrame(marks, "seq long, at int, target int, is_now boolean, is_then boolean")
+        history = active.select("seq", "at", "text").join(F.broadcast(history) if len(marks) <= 500_000 else history, ["seq", "at"])
+        history = history.toDF(*history.columns)  # columns of its own, since both sides come from active
+        columns = "seq long, at int, shard int, digest string, copied boolean, status int, like_seq long, like_at int"
+        found = here.groupBy("shard").cogroup(history.groupBy("target")).applyInPandas(walk, columns)
+        if state is not None:
+            found = state.where(~F.col("shard").isin(sorted(todo))).unionByName(found)
+        state = _cut(found, "fuzzy-state")
+        used.update({k: given.get(k, []) for k in todo})
+
+        again: set[int] = set()
+        # texts that were not kept, so that their copies count after all
+        fresh = state.where((F.col("status").isin(FUZZY, PASSED_OVER)) & F.col("copied")).select("digest").distinct()
+        if first_kept:
+            fresh = fresh.join(spark.createDataFrame([(d,) for d in first_kept], "digest string"), "digest", "left_anti")
+        fresh = [r.digest for r in fresh.collect()]
+        if fresh:
+            more = ids.join(spark.createDataFrame([(d,) for d in fresh], "digest string"), "digest")
+            for r in more.groupBy("digest").agg(F.collect_set("shard").alias("shards")).collect():
+                shards_of[r.digest] = set(r.shards)
+                again |= shards_of[r.digest]
+            extra = texts.join(more.join(firsts.select("seq", "at"), ["seq", "at"], "left_anti").withColumn("copied", F.lit(True)), ["seq", "at"])
+            active = active.unionByName(_cut(extra, "fuzzy-copies"))
+            first_kept.update(dict.fromkeys(fresh))
+        if first_kept:
+            kept = state.where((F.col("status") == KEPT) & F.col("copied")).groupBy("digest").agg(F.min("shard").alias("shard"))
+            kept = dict(kept.join(spark.createDataFrame([(d,) for d in first_kept], "digest string"), "digest").collect())
+            for d in first_kept:
+                if first_kept[d] != kept.get(d):
+                    first_kept[d] = kept.get(d)
+                    again |= shards_of[d]
+        last = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("seq", "at")))), 1, gate.history)
+        for k in todo:
+            tails[k] = []
+        for r in state.where((F.col("status") == KEPT) & F.col("shard").isin(sorted(todo))).groupBy("shard").agg(last.alias("last")).collect():
+            tails[r.shard] = [(x.seq, x.at) for x in reversed(r["last"])]
+        carried: list = []
+        for k in everyone:
+            given[k] = carried
+            carried = (carried + tails.get(k, []))[-gate.history :]
+        todo = again & set(everyone) | {k for k in everyone if given[k] != used.get(k, [])}
+    if state is None:
+        return ids.select("seq", "at", F.lit(KEPT).alias("status"))
+    return state.select("seq", "at", "status")
+
+
+def _cut(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read again."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _digests(batches):
+    for pdf in batches:
+        digest = [hashlib.blake2b(t.lower().strip().encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() for t in pdf["text"]]
+        yield pdf[["seq", "at"]].assign(digest=digest)
+
+
+def _walk_of(gate: Gate):
+    def walk(here: pd.DataFrame, history: pd.DataFrame) -> pd.DataFrame:
+        history = history.sort_values(["seq", "at"])
+        now, then = {}, {}  # key: form of the last kept texts, oldest first: by this walk, and by the one before
+        for s, a, text, is_now, is_then in zip(history["seq"], history["at"], history["text"], history["is_now"], history["is_then"]):
+            if is_now:
+                now[s, a] = text.lower().strip()
+            if is_then:
+                then[s, a] = None
         seen: set[str] = set()
-        texts: list[str] = []
-        kept = []
-        for s, text in zip(pdf[seq], pdf[text_col]):
+        out = []
+        head = None
+        here = here.sort_values(["seq", "at"])
+        old_seq, old_at = here["old_seq"].tolist(), here["old_at"].tolist()
+        for i, (s, a, text, before, old) in enumerate(zip(here["seq"], here["at"], here["text"], here["before"], here["old"])):
             form = text.lower().strip()
-            if form in seen:
-                continue
-            close = Close(form, gate.similarity)
-            if any(close.to(other) for other in texts[-gate.history :]):
-                continue
-            seen.add(form)
-            texts.append(form)
-            kept.append(s)
-        return pd.DataFrame({seq: kept}, dtype="int64")
-
-    kept = rows.select(seq, F.coalesce(F.col(text_col), F.lit("")).alias(text_col), F.floor((F.col(seq) - first) / shard).alias("__shard")).groupBy("__shard").applyInPandas(walk, f"{seq} long")
-    return rows.join(kept, seq, "left_semi")
+            like = None
+            if a and head != s:
+                status = PASSED_OVER
+            elif before or form in seen:
+                status = EXACT
+            elif old == FUZZY and (int(old_seq[i]), int(old_at[i])) in now:
+                status, like = FUZZY, (int(old_seq[i]), int(old_at[i]))
+            else:
+                close = Close(form, gate.similarity)
+                like = next((key for key, other in now.items() if not (old == KEPT and key in then) and close.to(other)), None)
+                status = KEPT if like is None else FUZZY
+            if status == KEPT:
+                seen.add(form)
+                now[s, a] = form
+                if len(now) > gate.history:
+                    del now[next(iter(now))]
+                if a == 0:
+                    head = s
+            if old == KEPT:
+                then[s, a] = None
+                if len(then) > gate.history:
+                    del then[next(iter(then))]
+            out.append((s, a, status, like and like[0], like and like[1]))
+        found = pd.DataFrame(out, columns=["seq", "at", "status", "like_seq", "like_at"]).astype({"like_seq": "Int64", "like_at": "Int32"})
+        return found.assign(shard=here["shard"].to_numpy(), digest=here["digest"].to_numpy(), copied=here["copied"].to_numpy())[["seq", "at", "shard", "digest", "copied", "status", "like_seq", "like_at"]]
+
+    return walk
 
 
 def place_of(rows: DataFrame, seq: str = "seq", *, parts: int | None = None) -> DataFrame:

@@ -113,6 +113,16 @@ def test_fuzzy_dedup_carries_over_ranges(spark):
         assert sorted(r.seq for r in dedup.fuzzy_dedup(df, gate=limits, shard=shard).collect()) == plain_fuzzy(texts, history)
 
 
+def test_near_dup_pairs_reaches_the_whole_history(spark, tmp_path):
+    from threadloom.plans import queries
+
+    texts = ["".join(random.Random(i).choices("abcdefghijklmnop ", k=40)) for i in range(180)]
+    texts[70], texts[110], texts[171] = (texts[10] + c for c in "xyz")  # up to 100 places apart, and from 101
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {(r.new, r.old) for r in queries.QUERIES["near_dup_pairs"](spark, str(tmp_path)).collect()}
+    assert found == {(70, 10), (110, 10), (110, 70), (171, 110)}
+
+
 def test_common_subsequence():
     def plain(a, b):
         row = [0] * (len(b) + 1)

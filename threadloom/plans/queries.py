@@ -222,8 +222,8 @@ def fuzzy_dedup(spark, d):
 
 @query()
 def near_dup_pairs(spark, d):
-    """(new, old) of documents at most 20 places apart whose similarity exceeds the threshold."""
-    return dedup.similar_pairs(dedup.place_of(_docs(spark, d).select("doc_id", "text"), "doc_id"), "text", "doc_id", reach=20)
+    """(new, old) of documents within the gate's history of each other whose similarity exceeds the threshold."""
+    return dedup.similar_pairs(dedup.place_of(_docs(spark, d).select("doc_id", "text"), "doc_id"), "text", "doc_id")
 
 
 # ---- trees ----

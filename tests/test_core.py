@@ -281,6 +281,36 @@ def test_retry_and_resume(spark):
         flow.retried(step, 2, 0)()
 
 
+def test_filter_rejects_near_copies_of_posts_and_comments(spark):
+    """Against the sequential run: a post, then its top-level comments, all compared with the same accepted texts."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 9))) for _ in range(400)]
+    pool = [" ".join(rng.sample(words, 16)) for _ in range(12)]
+    some = lambda: rng.choice([" ".join(rng.sample(words, 16)), rng.choice(pool), rng.choice(pool) + " more", rng.choice(pool).title()])
+    posts = [(i, i, some(), 9, 0, 9) for i in range(60)]
+    comments = [(str(i), [j], 0, "a", 1, some(), None, "{}") for i in range(60) for j in range(i % 3)]
+    reasons, kept_comments, texts = {}, set(), []
+
+    def duplicate(text):
+        form = text.lower().strip()
+        if form in texts or any(difflib.SequenceMatcher(None, form, t).ratio() > 0.85 for t in texts[-100:]):
+            return True
+        texts.append(form)
+        return False
+
+    for i, _, text, *_ in posts:
+        reasons[i] = "duplicate_post" if duplicate(text) else None
+        if reasons[i] is None:
+            kept_comments |= {(c[0], c[1][0]) for c in comments if c[0] == str(i) and not duplicate(c[5])}
+    p = spark.createDataFrame(posts, "seq long, post_id long, selftext string, author_account_age_days int, author_comment_karma int, score int")
+    c = spark.createDataFrame(comments, tree.FLAT)
+    assert {r.seq: r.reason for r in flow.final_reasons(p, c).collect()} == reasons
+    good, kept = flow.filtered(p, c)
+    assert {r.seq for r in good.collect()} == {i for i, r in reasons.items() if r is None}
+    assert {(r.post_id, r.path[0]) for r in kept.collect()} == kept_comments
+    assert flow.comment_summary(p, c).collect() == [(len(comments), len(kept_comments), len(comments) - len(kept_comments))]
+
+
 def test_whole_flow(spark, sf):
     from threadloom.plans import tables
 

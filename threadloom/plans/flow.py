@@ -36,22 +36,33 @@ def undone(batches: DataFrame, done: DataFrame) -> DataFrame:
     return batches.join(done.select("batch_index").distinct(), "batch_index", "left_anti")
 
 
-def filtered(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> tuple[DataFrame, DataFrame]:
-    """(posts, comments) that pass: the gate, then exact deduplication of posts and their top-level comments as one sequence, then the loss of subtrees.
+def judged_texts(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> tuple[DataFrame, DataFrame]:
+    """(posts, comments) with the final `reason`: the gate's, or duplicate_post or duplicate_comment.
 
-    posts: seq, post_id, selftext, metadata; comments: flat. A post comes before its comments, posts in order of seq; replies are never deduplicated.
+    posts: seq, post_id, selftext, metadata; comments: flat. Posts and their top-level comments are one sequence for exact and fuzzy deduplication: a post comes before
+    its comments, posts in order of seq; the comments of a rejected post are not looked at. Replies are never deduplicated. Only comments whose post the gate passes come back,
+    with post_seq and post_kept.
     """
-    good = gate.gated_posts(posts, limits).where("reason IS NULL").drop("reason")
-    judged = gate.gated_comments(comments, limits).join(good.select(F.col("post_id").cast("string").alias("post_id"), F.col("seq").alias("post_seq")), "post_id")
-    root = judged.where("depth = 0 AND reason IS NULL")
-    texts = good.select(F.struct("seq", F.lit(0).alias("at")).alias("order"), F.col("selftext").alias("text")).unionByName(root.select(F.struct(F.col("post_seq").alias("seq"), (F.col("path")[0] + 1).alias("at")).alias("order"), F.col("body").alias("text")))
-    firsts = dedup.exact_dedup(texts, "text", "order").select("order.seq", "order.at")
-    posts_kept = good.join(firsts.where("at = 0").select("seq"), "seq", "left_semi")
-    roots_kept = firsts.where("at > 0").select(F.col("seq").alias("post_seq"), F.array((F.col("at") - 1).cast("int")).alias("path"), F.lit(True).alias("first"))
-    judged = judged.join(roots_kept, ["post_seq", "path"], "left")
-    judged = judged.withColumn("reason", F.coalesce("reason", F.when((F.col("depth") == 0) & F.col("first").isNull(), F.lit("duplicate_comment")))).drop("first")
-    kept = tree.surviving(judged).join(posts_kept.select(F.col("seq").alias("post_seq")), "post_seq", "left_semi")
-    return posts_kept, kept
+    posts = gate.gated_posts(posts, limits)
+    good = posts.where("reason IS NULL").select(F.col("post_id").cast("string").alias("post_id"), F.col("seq").alias("post_seq"))
+    comments = gate.gated_comments(comments, limits).withColumn("post_id", F.col("post_id").cast("string")).join(good, "post_id")
+    at = (F.col("path")[0] + 1).cast("int")
+    heads = posts.where("reason IS NULL").select("seq", F.lit(0).alias("at"), F.col("selftext").alias("text"))
+    roots = comments.where("depth = 0 AND reason IS NULL").select(F.col("post_seq").alias("seq"), at.alias("at"), F.col("body").alias("text"))
+    kept = dedup.walked(heads.unionByName(roots), gate=limits).where(F.col("status") == dedup.KEPT)
+    kept_posts = kept.where("at = 0").select(F.col("seq").alias("__seq"), F.lit(True).alias("post_kept"))
+    kept_roots = kept.where("at > 0").select(F.col("seq").alias("__seq"), F.col("at").alias("__at"), F.lit(True).alias("__kept"))
+    posts = posts.join(kept_posts, F.col("seq") == F.col("__seq"), "left").withColumn("reason", F.coalesce("reason", F.when(F.col("post_kept").isNull(), "duplicate_post"))).drop("__seq", "post_kept")
+    comments = comments.join(kept_roots, (F.col("post_seq") == F.col("__seq")) & (F.col("depth") == 0) & (at == F.col("__at")), "left").drop("__seq", "__at")
+    comments = comments.withColumn("reason", F.coalesce("reason", F.when((F.col("depth") == 0) & F.col("__kept").isNull(), "duplicate_comment"))).drop("__kept")
+    comments = comments.join(kept_posts, F.col("post_seq") == F.col("__seq"), "left").drop("__seq").withColumn("post_kept", F.coalesce("post_kept", F.lit(False)))
+    return posts, comments
+
+
+def filtered(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> tuple[DataFrame, DataFrame]:
+    """(posts, comments) that pass: the gate, then exact and fuzzy deduplication of posts and their top-level comments as one sequence, then the loss of subtrees."""
+    posts, judged = judged_texts(posts, comments, limits)
+    return posts.where("reason IS NULL").drop("reason"), tree.surviving(judged.where("post_kept").drop("post_kept"))
 
 
 def prepared(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED, capacity: int = CAPACITY) -> DataFrame:
@@ -86,19 +97,16 @@ def completion(batches: DataFrame, relations: DataFrame, seconds: float | None =
     )
 
 
-def final_reasons(posts: DataFrame, limits: Gate = RELAXED) -> DataFrame:
+def final_reasons(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> DataFrame:
     """seq, post_id, reason of every post: the gate's, or duplicate_post."""
-    judged = gate.gated_posts(posts, limits)
-    firsts = dedup.exact_dedup(judged.where("reason IS NULL"), "selftext", "seq").select("seq", F.lit(True).alias("__first"))
-    return judged.join(firsts, "seq", "left").select("seq", "post_id", F.coalesce("reason", F.when(F.col("__first").isNull(), F.lit("duplicate_post"))).alias("reason"))
+    return judged_texts(posts, comments, limits)[0].select("seq", "post_id", "reason")
 
 
 def comment_summary(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> DataFrame:
     """One row: total, kept and rejected top-level comments. Those of a rejected post are all rejected; replies are not counted."""
-    passed = final_reasons(posts, limits).where("reason IS NULL").select(F.col("post_id").cast("string").alias("post_id"), F.lit(True).alias("__passed"))
-    roots = gate.gated_comments(comments, limits).where("depth = 0").withColumn("post_id", F.col("post_id").cast("string")).join(passed, "post_id", "left")
-    kept = F.coalesce(F.col("__passed") & F.col("reason").isNull(), F.lit(False))
-    return roots.agg(F.count("*").alias("total_comments"), F.count_if(kept).alias("kept_comments"), F.count_if(~kept).alias("rejected_comments"))
+    total = comments.where("depth = 0").agg(F.count("*").alias("total_comments"))
+    kept = judged_texts(posts, comments, limits)[1].where("depth = 0 AND post_kept AND reason IS NULL").agg(F.count("*").alias("kept_comments"))
+    return total.join(F.broadcast(kept)).withColumn("rejected_comments", F.col("total_comments") - F.col("kept_comments"))  # one row and one
 
 
 def with_filter_stats(posts: DataFrame, stats: DataFrame) -> DataFrame:

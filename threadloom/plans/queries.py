@@ -187,7 +187,7 @@ _OK_FIRST = f"WITH {_GATED}, first AS (SELECT min(doc_id) AS doc_id FROM (SELECT
 
 
 def _final_reasons(spark, d):
-    return flow.final_reasons(tables.posts(spark, d))
+    return flow.final_reasons(tables.posts(spark, d), tables.comments(spark, d))
 
 
 @query(f"{_OK_FIRST} SELECT count(*) AS total_posts, count(*) FILTER (reason IS NULL) AS kept_posts, count(*) FILTER (reason IS NOT NULL) AS rejected_posts FROM final")

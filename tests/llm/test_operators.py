@@ -377,3 +377,38 @@ def test_queries_and_sql_have_the_same_names():
 
     assert set(queries.oracle_sql()) <= set(queries.queries()) and len(queries.queries()) == 10
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
+
+
+def least_text(regex, between):
+    """The shortest text of a rule, `between` between its words."""
+    from re import _parser as parser
+
+    def of(parts):
+        out = ""
+        for kind, value in parts:
+            name = str(kind)
+            if name == "LITERAL":
+                out += chr(value)
+            elif name == "IN":
+                first, held = value[0]
+                out += between if "NOT_WORD" in str(held) else chr(held[0] if isinstance(held, tuple) else held) if str(first) in ("LITERAL", "RANGE") else " "
+            elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+                out += of(value[2]) * value[0]
+            elif name == "SUBPATTERN":
+                out += of(value[3])
+            elif name == "BRANCH":
+                out += of(value[1][0])
+        return out
+
+    return of(parser.parse(regex))
+
+
+def test_license_rules_pass_their_gates(spark):
+    for between in (" ", "\n"):
+        for _, keyword, label, regex, _ in license_scan.rules():
+            text = least_text(regex, between)
+            assert re.search(regex, text), (label, text)
+            assert keyword in text and re.search(license_scan.HINT, text), (label, text)
+    texts = [(0, "Universal Permissive License", "upl-1.0"), (1, "Creative\nCommons Attribution 4.0", "cc-by-4.0"), (2, "a BSD style license", "bsd"), (3, "in the public\ndomain", "public-domain"), (4, "all\nrights reserved", "all-rights-reserved")]
+    found = license_scan.license_scan(spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in found} == {i: label for i, _, label in texts}

@@ -69,7 +69,7 @@ public domain | public-domain | 0.7 | (?:in|into|to)~the~public~domain
 creative commons | cc | 0.8 | creative~commons
 x11 license | x11 | 0.9 | x11~licen[cs]e
 bsd license | bsd | 0.85 | bsd~licen[cs]e
-bsd-style | bsd | 0.7 | bsd~style~licen[cs]e
+bsd | bsd | 0.7 | bsd~style~licen[cs]e
 mit license | mit | 0.95 | mit~licen[cs]e
 expat license | mit | 0.9 | expat~licen[cs]e
 isc license | isc | 0.9 | isc~licen[cs]e
@@ -87,7 +87,7 @@ openrail | openrail | 0.9 | openrail(?:\W?m)?\b
 llama | llama-community | 0.85 | llama~(?:[0-9.]+~)?community~licen[cs]e
 mulan | mulan-psl | 0.9 | mulan~(?:psl|permissive~software~licen[cs]e)
 blue oak | blueoak | 0.9 | blue~oak~model~licen[cs]e
-upl | upl-1.0 | 0.85 | universal~permissive~licen[cs]e
+universal | upl-1.0 | 0.85 | universal~permissive~licen[cs]e
 all rights reserved | all-rights-reserved | 0.5 | all~rights~reserved
 proprietary | proprietary | 0.5 | proprietary~and~confidential
 copyright | copyright-notice | 0.3 | copyright~(?:\(c\)|©)?~?(?:19|20)[0-9]{2}
@@ -119,7 +119,7 @@ odbl | 1.0 | odbl
 CC_KINDS, CC_VERSIONS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"), ("1.0", "2.0", "2.5", "3.0", "4.0")
 CC_WORDS = {"by": "attribution", "sa": "share~?alike", "nd": "no~?deriv(?:ative)?s?", "nc": "non~?commercial"}
 #: A text without any of these has neither base phrase nor rule.
-HINT = r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|advertising materials|unencumbered|what the fuck|beer|public domain|creative|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|cc\W{1,6}by|cc0|implied\W{1,6}warranty|gpl|gfdl|gnu|free software foundation|mpl|epl|eupl|cddl|cpal|osl|afl|ofl|apache|artistic|bsl|zpl|lppl|ecl|cecill|odbl|all rights|proprietary|origin of this|as-is|commons|openrail|mulan|misrepresented"
+HINT = r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|advertising\W{1,6}materials|unencumbered|what\W{1,6}the\W{1,6}fuck|beer|public\W{1,6}domain|creative|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|cc\W{1,6}by|cc0|implied\W{1,6}warranty|gpl|gfdl|gnu|free\W{1,6}software\W{1,6}foundation|mpl|epl|eupl|cddl|cpal|osl|afl|ofl|apache|artistic|bsl|zpl|lppl|ecl|cecill|odbl|all\W{1,6}rights|proprietary|origin\W{1,6}of\W{1,6}this|as-is|commons|openrail|mulan|misrepresented"
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
@@ -142,9 +142,9 @@ def rules() -> list[tuple[int, str, str, str, float]]:
             number = version.replace(".", r"\.")
             made.append(("cc", f"cc-{kind}-{version}", rf"\bcc{between}{kind.replace('-', between)}{between}{number}(?![0-9])", 0.95))
             made.append(("creativecommons.org", f"cc-{kind}-{version}", rf"creativecommons\.org/licenses/{kind}/{number}", 1.0))
-            made.append(("creative commons", f"cc-{kind}-{version}", rf"creative{between}commons{between}{words}{between}(?:v(?:ersion)?\W?)?{number}(?![0-9])", 0.97))
+            made.append(("creative", f"cc-{kind}-{version}", rf"creative{between}commons{between}{words}{between}(?:v(?:ersion)?\W?)?{number}(?![0-9])", 0.97))
         made.append(("cc", f"cc-{kind}", rf"\bcc{between}{kind.replace('-', between)}(?![a-z])", 0.85))
-        made.append(("creative commons", f"cc-{kind}", rf"creative{between}commons{between}{words}", 0.9))
+        made.append(("creative", f"cc-{kind}", rf"creative{between}commons{between}{words}", 0.9))
     for plain in ("mit", "isc", "zlib", "x11", "ncsa", "unlicense", "wtfpl", "0bsd", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "cc0-1.0", "postgresql", "openssl", "python-2.0", "ruby", "upl-1.0", "blueoak-1.0.0"):
         made.append(("spdx-license-identifier", plain, rf"spdx-license-identifier:\s*{plain.replace('.', r'\.')}\b", 1.0))
     for line in TEXTS.strip().splitlines():

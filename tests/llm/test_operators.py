@@ -412,3 +412,10 @@ def test_license_rules_pass_their_gates(spark):
     texts = [(0, "Universal Permissive License", "upl-1.0"), (1, "Creative\nCommons Attribution 4.0", "cc-by-4.0"), (2, "a BSD style license", "bsd"), (3, "in the public\ndomain", "public-domain"), (4, "all\nrights reserved", "all-rights-reserved")]
     found = license_scan.license_scan(spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")).collect()
     assert {r.doc_id: r.labels for r in found} == {i: label for i, _, label in texts}
+
+
+def test_short_lines_recur_too(spark):
+    rows_ = [(i, t) for i, t in enumerate(["all rights reserved.\n你好世界你好世界你好\nno", "x\nAll rights reserved.\n\n你好世界你好世界你好\nno"])] + [(10 + i, "menu\nand more words of document %s" % "abcdefghijkl"[i]) for i in range(12)]
+    by = {r.doc_id: r.clean_text for r in line_templates.deduplicated_lines(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert by[0] == rows_[0][1] and by[1] == "x\n\nno"
+    assert by[10].startswith("menu\n") and not any("menu" in by[i] for i in range(11, 22))

@@ -21,18 +21,22 @@ from pyspark.sql import functions as F
 from .common import BATCH_ROWS, cut
 
 MARK = "<*>"
-#: Leading tokens of a path; tokens of a line at least; literal tokens of a template at least; tokens of a line from which half of the positions may be open, and literal tokens of such a half.
-DEPTH, SHORTEST, LITERAL, LONG, HALF_LITERAL = 2, 4, 3, 12, 5
+#: Leading tokens of a path; literal tokens of a template at least; tokens of a line from which half of the positions may be open, and literal tokens of such a half.
+DEPTH, LITERAL, LONG, HALF_LITERAL = 2, 3, 12, 5
+#: Characters of a script without spaces from which one token is a line like others; documents that any other line of one word must stand in, since such a line may be an answer or a heading.
+UNSPACED_LONG, WORD_DOCS = 8, 10
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 #: Stands for the first document of a template that only documents without an id have.
 NOBODY = -(1 << 63)
 _DIGIT = re.compile(r"\d")
 
 
 def template_keys(line: str) -> list[int]:
-    """The signed 64-bit keys of a line's templates; none for a short line."""
+    """The signed 64-bit keys of a line's templates; none for a blank line or one word (see word_keys). A line of two or three tokens stands for itself."""
     tokens = line.lower().split()
     n = len(tokens)
-    if n < SHORTEST:
+    if n == 0 or n == 1 and len(_UNSPACED.findall(tokens[0])) < UNSPACED_LONG:
         return []
     literal = n
     if _DIGIT.search(line):
@@ -50,39 +54,47 @@ def template_keys(line: str) -> list[int]:
     return found
 
 
+def word_keys(line: str) -> list[int]:
+    """The key of a line of one word; none for others."""
+    tokens = line.lower().split()
+    return [_key("1\nword\n", tokens)] if len(tokens) == 1 and not template_keys(line) else []
+
+
 def _key(path: str, tokens: list[str]) -> int:
     x = xxhash.xxh3_64_intdigest(path + " ".join(tokens))
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
 def recurring_templates(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, n (documents), first (smallest id that has it; null if none has an id) of the templates that at least min_docs documents have."""
+    """key, n (documents), first (smallest id that has it; null if none has an id) of the templates that at least min_docs documents have; of lines of one word, WORD_DOCS at least."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[int, list] = {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for key in {k for line in text.split("\n") for k in template_keys(line)}:
+                lines = text.split("\n")
+                words = {k for line in lines for k in word_keys(line)}
+                for key in words | {k for line in lines for k in template_keys(line)}:
                     if key in seen:
                         entry = seen[key]
                         entry[0] += 1
                         entry[1] = doc_id if entry[1] is None else entry[1] if doc_id is None else min(entry[1], doc_id)
                     else:
-                        seen[key] = [1, doc_id]
+                        seen[key] = [1, doc_id, key in words]
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array([e[0] for e in seen.values()], pa.int64()), pa.array([e[1] for e in seen.values()], pa.int64())], ["key", "n", "first"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array([e[0] for e in seen.values()], pa.int64()), pa.array([e[1] for e in seen.values()], pa.int64()), pa.array([e[2] for e in seen.values()], pa.bool_())], ["key", "n", "first", "word"])
 
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counts = rows.mapInArrow(count, "key long, n long, first long").groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-    return cut(counts.where(F.col("n") >= min_docs), "templates")
+    counts = rows.mapInArrow(count, "key long, n long, first long, word boolean").groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("word").alias("word"))
+    return cut(counts.where(F.col("n") >= F.when(F.col("word"), max(min_docs, WORD_DOCS)).otherwise(min_docs)).drop("word"), "templates")
 
 
 def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_dropped, clean_text for each row of docs.
 
     A line is dropped if any of its templates is recurring and has its first occurrence in a document of another id; a document without an id is never the
-    first. Blank and short lines (fewer than SHORTEST tokens) always stay. A null text has no lines and stays null. Rows that share an id and text get equal results. An empty
+    first. Blank lines always stay, lines of one word unless WORD_DOCS documents have them. A null text has no lines and stays null. Rows that share an id and text get equal results. An empty
     table gives no rows. Other columns are not read.
 
     Recurring templates grow with the corpus, so they are never sent to all executors: the keys of all lines are joined with them, at every size.
@@ -96,7 +108,7 @@ def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(i, h, at, k) for i, h, t in zip(*(batch.column(c).to_pylist() for c in range(3))) for at, line in enumerate((t or "").split("\n")) for k in template_keys(line)]
+            out = [(i, h, at, k) for i, h, t in zip(*(batch.column(c).to_pylist() for c in range(3))) for at, line in enumerate((t or "").split("\n")) for k in template_keys(line) + word_keys(line)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "hash", "at", "key"])
 

@@ -9,24 +9,27 @@ from ..config import RELAXED, Gate
 
 #: White space as Unicode has it, with the four ASCII separators: the set on which str.isspace() is true.
 WS = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
+#: The same set as its characters.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 URL = r"https?://\S+|www\.\S+"
 #: Six ranges whose runs count as emojis; the last also covers CJK, kana and Hangul.
 EMOJI = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2702}-\x{27B0}\x{24C2}-\x{1F251}]+"
 #: Fixed value: the characters that count as punctuation.
 PUNCTUATION = r"!@#$%^&*()_+-=[]{}|;:',.<>?/~`"
 PUNCT = "[" + "".join("\\" + c for c in PUNCTUATION) + "]"
+NO_PUNCT = PUNCT.replace("[", "[^", 1) + "+"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{WS}+|{WS}+\\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, f"{WS}+"), lambda w: w != "")
+    return F.array_remove(F.split(text, f"{WS}+"), "")
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.size(words(text)), F.lit(0))
+    return F.size(F.coalesce(words(text), F.array().cast("array<string>")))
 
 
 def lowered(ws: Column) -> Column:
@@ -38,16 +41,27 @@ def urls(text: Column) -> Column:
 
 
 def url_count(text: Column) -> Column:
-    return F.regexp_count(F.lower(text), F.lit(URL))
+    return url_count_of(F.lower(text))
+
+
+def url_count_of(low: Column) -> Column:
+    """URLs of a text that is in lower case already."""
+    return F.when(F.contains(low, F.lit("http")) | F.contains(low, F.lit("www.")), F.regexp_count(low, F.lit(URL))).when(low.isNotNull(), 0)
 
 
 def emoji_runs(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(EMOJI))
+    """An all-ASCII text has none and is not searched."""
+    return F.when(F.octet_length(text) > F.length(text), F.regexp_count(text, F.lit(EMOJI))).when(text.isNotNull(), 0)
+
+
+def long_words(ws: Column) -> Column:
+    """The lower-cased words of more than two characters."""
+    return F.transform(F.filter(ws, lambda w: F.length(w) > 2), F.lower)
 
 
 def unique_long(ws: Column) -> Column:
-    """Distinct lower-cased words of more than two characters."""
-    return F.size(F.array_distinct(F.transform(F.filter(ws, lambda w: F.length(w) > 2), F.lower)))
+    """How many distinct ones there are."""
+    return F.size(F.array_distinct(long_words(ws)))
 
 
 def unique_ratio(ws: Column) -> Column:
@@ -55,19 +69,23 @@ def unique_ratio(ws: Column) -> Column:
 
 
 def alpha_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"\p{L}"))
+    return F.length(F.regexp_replace(text, r"\P{L}+", ""))
+
+
+def upper_count(text: Column) -> Column:
+    return F.length(F.regexp_replace(text, r"\P{Lu}+", ""))
 
 
 def caps_ratio(text: Column) -> Column:
-    return F.try_divide(F.regexp_count(text, F.lit(r"\p{Lu}")).cast("double"), alpha_count(text))
+    return F.try_divide(upper_count(text).cast("double"), alpha_count(text))
 
 
 def punct_ratio(text: Column) -> Column:
-    return F.try_divide(F.regexp_count(text, F.lit(PUNCT)).cast("double"), F.length(text))
+    return F.try_divide(F.length(F.regexp_replace(text, NO_PUNCT, "")).cast("double"), F.length(text))
 
 
 def avg_word_len(ws: Column) -> Column:
-    return F.try_divide(F.aggregate(ws, F.lit(0), lambda n, w: n + F.length(w)).cast("double"), F.size(ws))
+    return F.try_divide(F.length(F.array_join(ws, "")).cast("double"), F.size(ws))
 
 
 def max_word_count(ws: Column) -> Column:
@@ -87,9 +105,30 @@ def max_word_freq(ws: Column) -> Column:
     return F.when(F.size(ws) > 5, F.try_divide(max_word_count(ws).cast("double"), F.size(ws)))
 
 
+def repeats(long: Column, n: Column, share: float) -> Column:
+    """Has any of the long words more than `share` of n occurrences. In sorted order such a word's run is longer than that, so it holds one of a few places, and
+    the word at each of these is looked up: no word is counted."""
+    least = F.floor(n * share).cast("int") + 1
+    run = least + F.when(least / n <= share, 1).otherwise(0)  # a product that was rounded down
+    ordered = F.sort_array(long)
+
+    def at(i: int) -> Column:
+        word = F.try_element_at(ordered, run * i)
+        return F.coalesce(F.try_element_at(ordered, (F.array_position(ordered, word) + run - 1).cast("int")) == word, F.lit(False))
+
+    out = at(1)
+    for i in range(2, int(1 / share) + 1):
+        out = out | at(i)
+    return (n > 5) & out
+
+
 def any_of(text: Column, patterns: tuple[str, ...]) -> Column:
     """Does the lower-cased text contain any of the strings, anywhere."""
-    low, out = F.lower(text), F.lit(False)
+    return any_in(F.lower(text), patterns)
+
+
+def any_in(low: Column, patterns: tuple[str, ...]) -> Column:
+    out = F.lit(False)
     for p in patterns:
         out = out | F.contains(low, F.lit(p))
     return out

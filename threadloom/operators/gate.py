@@ -7,34 +7,41 @@ from pyspark.sql import functions as F
 
 from ..config import RELAXED, Gate
 from ..functions import text as T
+from ..functions.columns import once
 
 
 def with_reason(rows: DataFrame, text_col: str = "text", *, min_words: int, gate: Gate = RELAXED, before: Column | None = None, prefix: str = "content_quality: ", name: str = "reason") -> DataFrame:
     """Adds the first reason to reject a text; null if it passes. `before` is a reason that goes first (from metadata).
 
-    The stripped text and its words are staged as columns of their own, which the planner keeps apart because several arms read them; everything else
-    stands in one arm and is worked out only if the arms before it did not decide.
+    Words, their lower-cased forms and the reason itself are worked out once for a row (`once`), whatever filters follow. A text that metadata rejects is not cut into words; what
+    stands in one arm only is worked out if the arms before it did not decide.
     """
+    first = before if before is not None else F.lit(None).cast("string")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    staged = rows.withColumn("__c", T.strip(text)).withColumn("__w", T.words(F.col("__c")))
-    c, w, n = F.col("__c"), F.col("__w"), F.size("__w")
+    staged = once(rows, __meta=first, __c=T.strip(text))
+    staged = once(staged, __w=F.when(F.col("__meta").isNull(), T.words(F.col("__c"))))
+    w, c = F.col("__w"), F.col("__c")
+    early = F.when(F.col("__meta").isNotNull(), F.col("__meta")).when(F.size(w) < min_words, "too_few_words")
+    staged = once(staged, __early=early, __long=F.when(early.isNull(), T.long_words(w)), __low=F.when(early.isNull(), F.lower(text)))
+    long, low, n = F.col("__long"), F.col("__low"), F.size(w)
+    distinct, upper = F.col("__distinct"), F.col("__upper")
+    staged = once(staged, __distinct=F.size(F.array_distinct(long)), __upper=F.when(F.col("__early").isNull(), T.upper_count(c)))
     content = (
         F.when(F.col(text_col).isNull() | (F.col(text_col) == ""), "empty_text")
         .when(F.lower(c).isin("[removed]", "[deleted]", ""), "removed_or_deleted")
         .when(n == 0, "no_words")
-        .when((T.unique_long(w) > 0) & (T.unique_ratio(w) < gate.min_unique_ratio), "low_unique_words")
-        .when(T.caps_ratio(c) > gate.max_caps_ratio, "too_much_caps")
+        .when((distinct > 0) & (distinct / n < gate.min_unique_ratio), "low_unique_words")
+        .when((upper > 0) & (upper / T.alpha_count(c) > gate.max_caps_ratio), "too_much_caps")
         .when(T.emoji_runs(c) > gate.max_emoji_runs, "too_many_emojis")
         .when(T.punct_ratio(c) > gate.max_punct_ratio, "too_much_punctuation")
         .when(T.avg_word_len(w) < gate.min_avg_word_len, "too_short_words")
-        .when(T.max_word_freq(w) > gate.max_repeat_ratio, "too_repetitive")
-        .when(T.url_count(F.col(text_col)) > gate.max_urls, "too_many_urls")
-        .when(T.any_of(F.col(text_col), gate.blocked_urls), "blocked_url_pattern")
-        .when(T.any_of(F.col(text_col), gate.spam_keywords), "spam_keyword")
+        .when(T.repeats(long, n, gate.max_repeat_ratio), "too_repetitive")
+        .when(T.url_count_of(low) > gate.max_urls, "too_many_urls")
+        .when(T.any_in(low, gate.blocked_urls), "blocked_url_pattern")
+        .when(T.any_in(low, gate.spam_keywords), "spam_keyword")
     )
-    staged = staged.withColumn("__early", F.coalesce(before if before is not None else F.lit(None).cast("string"), F.when(n < min_words, F.lit("too_few_words"))))
     reason = F.when(F.col("__early").isNotNull(), F.col("__early")).otherwise(F.concat(F.lit(prefix), content))
-    return staged.withColumn(name, reason).drop("__c", "__w", "__early")
+    return once(staged, **{name: reason}).drop("__meta", "__c", "__w", "__early", "__long", "__low", "__distinct", "__upper")
 
 
 def post_metadata_reason(gate: Gate = RELAXED, age: str = "author_account_age_days", karma: str = "author_comment_karma", score: str = "score") -> Column:

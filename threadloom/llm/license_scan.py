@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import once
 from .common import ascii_lower
-from .decontamination import SEPARATORS, words_of
+from .decontamination import SEPARATORS
 
 #: Phrase of consecutive words: label. Fixed values of the contract.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -23,9 +24,9 @@ permission is hereby granted | mit | 0.95 | permission~is~hereby~granted~free~of
 redistribution and use | bsd-3-clause | 0.95 | redistribution~and~use~in~source~and~binary~forms[\s\S]{0,900}?neither~the~name
 redistribution and use | bsd-2-clause | 0.85 | redistribution~and~use~in~source~and~binary~forms~with~or~without~modification
 advertising materials | bsd-4-clause | 0.9 | all~advertising~materials~mentioning~features
-permission to use, copy | isc | 0.9 | permission~to~use~copy~modify~and~(?:or~)?distribute~this~software~for~any~purpose
-provided 'as-is' | zlib | 0.9 | this~software~is~provided~as~is~without~any~express~or~implied~warranty
-origin of this software | zlib | 0.95 | the~origin~of~this~software~must~not~be~misrepresented
+permission distribute | isc | 0.9 | permission~to~use~copy~modify~and~(?:or~)?distribute~this~software~for~any~purpose
+implied warranty | zlib | 0.9 | this~software~is~provided~as~is~without~any~express~or~implied~warranty
+misrepresented | zlib | 0.95 | the~origin~of~this~software~must~not~be~misrepresented
 boost software | bsl-1.0 | 0.95 | boost~software~license(?:~version~1\.0)?
 free and unencumbered | unlicense | 0.98 | this~is~free~and~unencumbered~software~released~into~the~public~domain
 what the fuck | wtfpl | 0.98 | do~what~the~fuck~you~want~to~public~license
@@ -118,8 +119,17 @@ odbl | 1.0 | odbl
 #: Creative Commons kinds and versions.
 CC_KINDS, CC_VERSIONS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"), ("1.0", "2.0", "2.5", "3.0", "4.0")
 CC_WORDS = {"by": "attribution", "sa": "share~?alike", "nd": "no~?deriv(?:ative)?s?", "nc": "non~?commercial"}
-#: A text without any of these has neither base phrase nor rule.
-HINT = r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|advertising\W{1,6}materials|unencumbered|what\W{1,6}the\W{1,6}fuck|beer|public\W{1,6}domain|creative|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|cc\W{1,6}by|cc0|implied\W{1,6}warranty|gpl|gfdl|gnu|free\W{1,6}software\W{1,6}foundation|mpl|epl|eupl|cddl|cpal|osl|afl|ofl|apache|artistic|bsl|zpl|lppl|ecl|cecill|odbl|all\W{1,6}rights|proprietary|origin\W{1,6}of\W{1,6}this|as-is|commons|openrail|mulan|misrepresented"
+#: Words of a rule's keywords that stand in too many texts to be its gate, if it has another.
+COMMON = ("licen", "license", "software", "public", "general", "open", "free", "common", "provided", "what", "the", "use", "blue", "side", "is", "granted", "permission")
+#: What must be there besides a keyword that is a part of common words.
+GATES = {"cc": r"cc[\W_]+by", "general": r"general\W{1,6}public", "common": r"common\W{1,6}public", "software": r"open\W{1,6}software"}
+GATES |= {stem: rf"\b\w?{stem}\W{{0,6}}v?[0-9]" for stem in (line.split("|")[2].strip() for line in FAMILIES.strip().splitlines()) if len(stem) <= 4}
+#: Words of base phrases that gate them.
+BASE_GATES = ("gnu", "licen", "cc")
+#: A text is searched in pieces of PIECE characters, each with REACH more behind it, the length of what a rule finds at most.
+PIECE, REACH = 8192, 2048
+#: Stands about what a rule found. No character, so no text has a use for it; one that is there is taken for another such.
+EDGE, OTHER_EDGE = "\uFDD0", "\uFDD1"
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
@@ -132,7 +142,7 @@ def rules() -> list[tuple[int, str, str, str, float]]:
             short, name = version.removesuffix(".0"), f"{stem}-{version}"
             number = version.replace(".", r"\.")
             made += [
-                ("spdx-license-identifier", name, rf"spdx-license-identifier:\s*{stem}-{number}(?:-only|-or-later|\+)?", 1.0),
+                ("spdx-license-identifier", name, rf"spdx-license-identifier:\s{{0,40}}{stem}-{number}(?:-only|-or-later|\+)?", 1.0),
                 (keyword, name, rf"\b{stem}(?:{between}|)v?{number}(?:\+|{between}or{between}later)?(?![0-9.])", 0.9),
                 (keyword, name, rf"\b{stem}v{short.replace('.', r'\.')}\+?(?![0-9.])", 0.85),
             ]
@@ -146,44 +156,88 @@ def rules() -> list[tuple[int, str, str, str, float]]:
         made.append(("cc", f"cc-{kind}", rf"\bcc{between}{kind.replace('-', between)}(?![a-z])", 0.85))
         made.append(("creative", f"cc-{kind}", rf"creative{between}commons{between}{words}", 0.9))
     for plain in ("mit", "isc", "zlib", "x11", "ncsa", "unlicense", "wtfpl", "0bsd", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "cc0-1.0", "postgresql", "openssl", "python-2.0", "ruby", "upl-1.0", "blueoak-1.0.0"):
-        made.append(("spdx-license-identifier", plain, rf"spdx-license-identifier:\s*{plain.replace('.', r'\.')}\b", 1.0))
+        made.append(("spdx-license-identifier", plain, rf"spdx-license-identifier:\s{{0,40}}{plain.replace('.', r'\.')}\b", 1.0))
     for line in TEXTS.strip().splitlines():
         keyword, label, confidence, regex = (x.strip() for x in line.split(" | ", 3))
-        made.append((keyword.split()[0].strip("'"), label, regex.replace("~?", r"\W{0,6}").replace("~", between), float(confidence)))
+        made.append((_gate_word(keyword), label, regex.replace("~?", r"\W{0,6}").replace("~", between), float(confidence)))
     return [(i, keyword, label, regex, confidence) for i, (keyword, label, regex, confidence) in enumerate(made)]
 
 
-def _rule_table(made: list[tuple[int, str, str, str, float]]) -> Column:
-    """array of (keyword, rules of the keyword)."""
+def _gate_word(keywords: str) -> str:
+    words = [w.strip("',") for w in keywords.split()]
+    return max([w for w in words if w not in COMMON] or words, key=len)
+
+
+def _cover(made: list[tuple[int, str, str, str, float]]) -> list[str]:
+    """The keywords that let through every text with a base phrase or any keyword: those that hold no other one."""
+    words = {r[1] for r in made} | set(BASE_GATES)
+    return sorted(w for w in words if not any(other != w and other in w and other not in GATES for other in words))
+
+
+#: A text without any of these has neither base phrase nor rule.
+HINT = "|".join(_cover(rules()))
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _passes(low: str, keywords: list[str]) -> str:
+    """SQL, since hundreds of patterns are built faster as one text than call by call."""
+    return "(" + " OR ".join(f"contains({low}, {_quoted(k)})" + (f" AND rlike({low}, {_quoted(GATES[k])})" if k in GATES else "") for k in keywords) + ")"
+
+
+def _matches(piece: str, made: list[tuple[int, str, str, str, float]]) -> str:
+    """SQL of (priority, marked) of each rule that finds something in a piece; marked is the piece with EDGE about what was found. A rule runs only if its keyword's gate
+    passes. Patterns are constants, so each is compiled once in a task."""
     by: dict[str, list] = {}
     for rule in made:
         by.setdefault(rule[1], []).append(rule)
-    entry = lambda r: F.struct(F.lit(r[0]).alias("priority"), F.lit(r[2]).alias("label"), F.lit(r[3]).alias("regex"), F.lit(r[4]).alias("confidence"))
-    return F.array(*(F.struct(F.lit(k).alias("keyword"), F.array(*map(entry, v)).alias("rules")) for k, v in by.items()))
+    marked = lambda r: f"named_struct('priority', {r[0]}, 'marked', regexp_replace({piece}, {_quoted(r[3])}, '{EDGE}$0{EDGE}'))"
+    groups = ", ".join(f"CASE WHEN {_passes(piece, [k])} THEN array({', '.join(map(marked, v))}) END" for k, v in by.items())
+    return f"filter(flatten(filter(array({groups}), g -> g IS NOT NULL)), m -> contains(m.marked, '{EDGE}'))"
 
 
-def _intervals(text: Column, rule: Column) -> Column:
-    """(start, back, priority, end, label, confidence) of a rule's matches; back, the negative end, makes the longer come first."""
-    gaps = F.split(text, rule["regex"], -1)
-    found = F.regexp_extract_all(text, rule["regex"], F.lit(0))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,back:int>>").alias("spans"))
+def _intervals(match: Column, base: Column, lead: Column) -> Column:
+    """(start, back, priority) in the whole text of what a rule found in a piece, as far as it begins there; back, the negative end, makes the longer come first."""
+    begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), F.array().cast("array<struct<start:int,back:int,priority:int>>").alias("spans"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        return F.struct(end.alias("at"), F.array_append(acc["spans"], F.struct(start.alias("start"), (-end).alias("back"))).alias("spans"))
+    def step(acc: Column, part: Column) -> Column:
+        end = acc["at"] + F.length(part)
+        here = acc["inside"] & (acc["at"] >= lead) & (acc["at"] < lead + PIECE)
+        span = F.struct((base + acc["at"] - lead).alias("start"), (lead - base - end).alias("back"), match["priority"].alias("priority"))
+        return F.struct(end.alias("at"), (~acc["inside"]).alias("inside"), F.when(here, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    spans = F.when(F.size(found) == 0, begin["spans"]).otherwise(F.aggregate(pairs, begin, step, lambda acc: acc["spans"]))
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["back"].alias("back"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence")))
+    return F.aggregate(F.split(match["marked"], EDGE, -1), begin, step, lambda acc: acc["spans"])
 
 
-def _unsuppressed(sorted_found: Column) -> Column:
-    """Those that no interval before them holds: sorted by start and longest first, that is a running greatest end."""
-    kind = "array<struct<start:int,back:int,priority:int,label:string,confidence:double>>"
-    begin = F.struct(F.lit(-1).alias("upto"), F.array().cast(kind).alias("kept"))
+def _unsuppressed(found: Column, upto: Column) -> Column:
+    """Those of a piece's sorted intervals that no interval before them holds: sorted by start and longest first, that is a running greatest end. upto: the greatest
+    end of the piece before; those before it do not reach as far."""
+    begin = F.struct(upto.alias("upto"), F.array().cast("array<struct<start:int,back:int,priority:int>>").alias("kept"))
     step = lambda acc, d: F.when(-d["back"] <= acc["upto"], acc).otherwise(F.struct((-d["back"]).alias("upto"), F.array_append(acc["kept"], d).alias("kept")))
-    return F.aggregate(sorted_found, begin, step, lambda acc: acc["kept"])
+    return F.aggregate(found, begin, step, lambda acc: acc["kept"])
+
+
+def _detections(rows: DataFrame, made: list[tuple[int, str, str, str, float]]) -> DataFrame:
+    """Adds found: (start, back, priority) of the detections of text that stay, in order; empty for a null text.
+
+    Texts are cut into pieces, whose matches are bounded, so the work grows with a text's length and not with the square of its matches.
+    """
+    none = F.array().cast("array<string>")
+    text = F.translate("text", EDGE, OTHER_EDGE)
+    rows = once(rows, __parts=F.coalesce(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0)), none))
+    parts = F.col("__parts")
+    before = lambda i: F.coalesce(F.right(F.try_element_at(parts, F.when(i > 0, i)), F.lit(1)), F.lit(""))  # noqa: E731  for what a word's edge goes by
+    after = lambda i: F.coalesce(F.left(F.try_element_at(parts, i + 2), F.lit(REACH)), F.lit(""))
+    rows = once(rows, __pieces=F.transform(parts, lambda p, i: F.struct((i * PIECE).alias("base"), F.length(before(i)).alias("lead"), F.concat(before(i), p, after(i)).alias("piece"))))
+    rows = once(rows, __matches=F.expr(f"transform(__pieces, p -> {_matches('p.piece', made)})"))
+    piece = lambda i: F.element_at("__pieces", i + 1)
+    each = lambda matches, i: F.flatten(F.transform(matches, lambda m: _intervals(m, piece(i)["base"], piece(i)["lead"])))
+    rows = once(rows, __each=F.transform("__matches", lambda ms, i: F.sort_array(each(ms, i)))).drop("__matches")
+    rows = once(rows, __ends=F.transform("__each", lambda f: F.coalesce(-F.array_min(F.transform(f, lambda d: d["back"])), F.lit(-1))))
+    upto = lambda i: F.coalesce(F.try_element_at(F.col("__ends"), F.when(i > 0, i)), F.lit(-1))
+    return once(rows, found=F.flatten(F.transform("__each", lambda f, i: _unsuppressed(f, upto(i))))).drop("__parts", "__pieces", "__each", "__ends")
 
 
 def _base_places(words: Column) -> Column:
@@ -191,8 +245,13 @@ def _base_places(words: Column) -> Column:
 
     def places(phrase: str, label: str) -> Column:
         parts = phrase.split()
-        whole = F.array(*map(F.lit, parts))
-        at = lambda w, i: F.when((w == parts[0]) & (F.slice(words, i + 1, len(parts)) == whole), F.struct(i.alias("start"), F.lit(label).alias("label")))
+
+        def at(word: Column, i: Column) -> Column:
+            here = word == parts[0]
+            for k, part in enumerate(parts[1:], 2):
+                here = here & F.coalesce(F.try_element_at(words, i + k) == part, F.lit(False))
+            return F.when(here, F.struct(i.alias("start"), F.lit(label).alias("label")))
+
         return F.filter(F.transform(words, at), lambda x: x.isNotNull())
 
     each = [places(phrase, label) for phrase, label in BASE.items()]
@@ -206,23 +265,21 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     without any. A null or empty text has no words and no detections (labels are empty strings). Every row is worked on by itself, so
     repeated rows and null ids are kept as they come. Other columns are not read.
     """
-    text = F.col("text")
+    text, made = F.col("text"), rules()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n_words = F.size(F.array_remove(F.split(text, SEPARATORS), "")).cast("long")
-    rows = rows.select("doc_id", n_words.alias("n_words"), F.when(text.rlike(HINT), ascii_lower(text)).alias("text"))
-    table = _rule_table(rules())
-    held = F.flatten(F.transform(F.filter(table, lambda k: F.contains(text, k["keyword"])), lambda k: k["rules"]))
-    found = F.flatten(F.transform(held, lambda r: _intervals(text, r)))
-    rows = rows.withColumn("words", F.when(text.isNotNull(), words_of(text)))
-    rows = rows.withColumn("base", F.when(text.isNotNull(), _base_places(F.col("words")))).withColumn("found", F.when(text.isNotNull(), _unsuppressed(F.array_sort(found))))
+    rows = once(rows.select("doc_id", "text", n_words.alias("n_words"), F.lower(text).alias("low")), hinted=F.expr(_passes("low", _cover(made))))
+    rows = once(rows.select("doc_id", "n_words", F.when(F.col("hinted"), ascii_lower(text)).alias("text")), words=F.array_remove(F.split(text, SEPARATORS), ""))
+    rows = _detections(once(rows, base=F.coalesce(F.when(text.isNotNull(), _base_places(F.col("words"))), F.array().cast("array<struct<start:int,label:string>>"))), made)
+    label, confidence = F.split(F.lit(",".join(r[2] for r in made)), ","), F.split(F.lit(",".join(str(r[4]) for r in made)), ",").cast("array<double>")
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
-    none = F.array().cast("array<string>")
-    base_labels = F.coalesce(F.transform("base", lambda b: b["label"]), none)
-    labels = F.concat(base_labels, F.coalesce(F.transform("found", lambda d: d["label"]), none))
+    base_labels = F.transform("base", lambda b: b["label"])
+    spans = F.transform("found", lambda d: F.struct(d["start"].alias("start"), (-d["back"]).alias("end"), F.element_at(label, d["priority"] + 1).alias("label"), F.element_at(confidence, d["priority"] + 1).alias("confidence")))
+    rows = once(rows.select("doc_id", "n_words", "base", "found"), spans=spans)
+    labels = F.concat(base_labels, F.transform("spans", lambda d: d["label"]))
     starts = F.transform("base", lambda b: b["start"].cast("long"))
     return rows.select(
-        "doc_id", "n_words", F.coalesce(F.size("base"), F.lit(0)).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         joined(base_labels).alias("base_labels"), joined(labels).alias("labels"),
-        F.greatest(F.coalesce(F.array_max(F.transform("found", lambda d: d["confidence"])), F.lit(0.0)), F.when(F.size("base") > 0, 0.6).otherwise(0.0)).alias("score"),
-        F.transform("found", lambda d: F.struct(d["start"].alias("start"), (-d["back"]).alias("end"), d["label"].alias("label"), d["confidence"].alias("confidence"))).alias("spans"),
+        F.greatest(F.coalesce(F.array_max(F.transform("spans", lambda d: d["confidence"])), F.lit(0.0)), F.when(F.size("base") > 0, 0.6).otherwise(0.0)).alias("score"), "spans",
     )

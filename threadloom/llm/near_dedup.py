@@ -9,8 +9,10 @@ Links. Documents with equal shingle sets are one class, and only its smallest id
 
 1. in a bucket of at most SMALL classes each with each; in a larger one each with a few centres, the same in all buckets;
 2. exact Jaccard similarity of full sets confirms or refutes, and components of the confirmed links are found;
-3. large buckets that still hold several components: each member outside the bucket's largest component is compared, on full sets and in
-   blocks, with every member of another component. Blocks report a link for each pair of components at most.
+3. large buckets that still hold several components get a further centre, from outside their largest component, ROUNDS times;
+4. what is still open then: each member outside its bucket's largest component is compared, on full sets, with every member of another component. Both sides are cut
+   into blocks, so a task holds some 2 x BLOCK sets; a pair is compared in one bucket only, the first open one that both are in. Blocks report a link for each pair
+   of components at most.
 
 So no group is expanded into all pairs, and no link of two different components that meet in a bucket is lost.
 """
@@ -32,8 +34,8 @@ PLACES = 1 << 20
 SMALL = 12
 #: Centres of a larger bucket.
 CENTRES = 3
-#: Members of a block in step 3.
-BLOCK = 512
+#: Further centres of a bucket that is still open; members of a block in step 4, on either side.
+ROUNDS, BLOCK = 2, 512
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -141,7 +143,7 @@ def sketches(docs: DataFrame, width: int, rows: int, bands: int, id_col: str, te
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """node, shingles (sorted hashes) of the documents whose id is in wanted (node); a row for each of them."""
+    """node, shingles (sorted hashes) of the documents whose id is in wanted (node); a row for each different set of an id."""
     n = wanted.count()
     rows = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(small(wanted, n), "node", "left_semi")
 
@@ -149,38 +151,49 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_
         sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return map_batches(rows, work, "node long, shingles array<long>")
+    sets = cut(map_batches(rows, work, "node long, shingles array<long>"), "sets")
+    # only rows that share an id can be alike
+    return cut(sets.dropDuplicates(["node", "shingles"]), "sets") if sets.count() > n else sets
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 x intersection >= percent x union."""
+    """The pairs (a, b) of which some full sets have 100 x intersection >= percent x union."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     n, m = F.size("of_a").cast("long"), F.size("of_b").cast("long")
     near = pairs.join(left, "a").join(right, "b").where(100 * F.least(n, m) >= percent * F.greatest(n, m))
     common = F.size(F.array_intersect("of_a", "of_b"))
-    return near.where(100 * common >= percent * (n + m - common)).select("a", "b")
+    return near.where(100 * common >= percent * (n + m - common)).select("a", "b").distinct()
 
 
 def _block_links(percent: int):
-    """For a block (queries and members of one bucket): a link for each two components that have one."""
+    """For a block (bucket, asking and answering members): a link for each two components that have one."""
 
     def work(table: pa.Table) -> pa.Table:
-        node, comp, asks = (table.column(c).to_numpy() for c in ("node", "component", "asks"))
+        node, comp, asks, main = (table.column(c).to_numpy() for c in ("node", "component", "asks", "main"))
+        bucket = table.column("bucket")[0].as_py()
         shingles = table.column("shingles").combine_chunks()
         values, ends = shingles.values.to_numpy(), shingles.offsets.to_numpy()
         sizes = np.diff(ends).astype(np.int64)
         _, dense = np.unique(values, return_inverse=True)
         members = np.flatnonzero(~asks)
+        # open buckets by band, 0 where none: two members' first common one is where they are compared
+        open_in = np.array(table.column("open_in").to_pylist(), np.int64).reshape(table.num_rows, -1)
         flat = np.concatenate([dense[ends[i] : ends[i + 1]] for i in members]) if len(members) else np.empty(0, int)
         starts = np.concatenate([[0], np.cumsum(sizes[members])[:-1]]).astype(int) if len(members) else np.empty(0, int)
         mark, found = np.zeros(len(values) + 1, np.int64), {}
         for q in np.flatnonzero(asks) if len(members) else ():
+            same = (open_in[members] == open_in[q]) & (open_in[q] != 0)
+            first = open_in[q][same.argmax(axis=1)]
+            # of two that both ask, one does
+            wanted = (comp[members] != comp[q]) & (first == bucket) & ((comp[members] == main[members]) | (node[members] > node[q]))
+            if not wanted.any():
+                continue
             mine = dense[ends[q] : ends[q + 1]]
             mark[mine] = 1
             common = np.add.reduceat(mark[flat], starts)
             mark[mine] = 0
-            hit = (100 * common >= percent * (sizes[q] + sizes[members] - common)) & (comp[members] != comp[q])
+            hit = wanted & (100 * common >= percent * (sizes[q] + sizes[members] - common))
             for i in members[hit]:
                 found.setdefault((comp[q], comp[i]), (node[q], node[i]))
         ends_of = list(found.values())
@@ -189,57 +202,90 @@ def _block_links(percent: int):
     return work
 
 
+def _open(large: DataFrame, found: DataFrame) -> DataFrame:
+    """bucket, node, component, main (the bucket's largest component), n, n_asks (members outside it) of the members of buckets that hold several components."""
+    labelled = large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sums = labelled.groupBy("bucket", "component").agg(F.count("*").alias("of_it"))
+    main = sums.groupBy("bucket").agg(F.max_by("component", F.struct("of_it", "component")).alias("main"), F.max("of_it").alias("most"), F.sum("of_it").alias("n"), F.count("*").alias("kinds"))
+    main = main.where("kinds > 1").select("bucket", "main", "n", (F.col("n") - F.col("most")).alias("n_asks"))
+    return cut(labelled.join(main, "bucket"), "open")
+
+
+def _blocks(open_: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """What step 4 compares: rows of (bucket, ask_block, block) groups, some BLOCK that ask and BLOCK that answer."""
+    blocks = lambda n: F.greatest(F.ceil(F.col(n) / BLOCK), F.lit(1)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    dealt = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), blocks(n)).cast("int")
+    kept = ["bucket", "node", "component", "main"]
+    asks = open_.where("component <> main").select(*kept, F.lit(True).alias("asks"), dealt(1, "n_asks").alias("ask_block"), every("n").alias("block"))
+    answers = open_.select(*kept, F.lit(False).alias("asks"), every("n_asks").alias("ask_block"), dealt(2, "n").alias("block"))
+    # bands of a node whose bucket is open
+    open_of = open_.groupBy("node").agg(F.collect_set("bucket").alias("open"))
+    in_open = nodes.join(open_of, "node").select("node", F.transform("buckets", lambda b: F.when(F.array_contains("open", b), b).otherwise(0)).alias("open_in"))
+    in_open = in_open.groupBy("node").agg(F.max("open_in").alias("open_in"))
+    return asks.unionByName(answers).join(sets.join(in_open, "node"), "node").select(*kept, "asks", "ask_block", "block", "open_in", "shingles")
+
+
 def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the nodes (node, buckets) that have a link."""
     rows = nodes.select(F.explode("buckets").alias("bucket"), "node")
-    order = F.xxhash64("node")
     counted = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"), *(F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).alias(f"c{i}") for i in range(CENTRES)))
     counted = cut(counted.where("least < most"), "buckets")
     member = cut(rows.join(counted.select("bucket", "n"), "bucket"), "members")
     few = member.where(F.col("n") <= SMALL)
     each = few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket").where("a < b").select("a", "b")
     centres = counted.where(F.col("n") > SMALL).select("bucket", F.explode(F.array_distinct(F.array(*(F.col(f"c{i}.node") for i in range(CENTRES))))).alias("centre"))
-    stars = member.where(F.col("n") > SMALL).select("bucket", "node").join(centres, "bucket").where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    ends = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    stars = member.where(F.col("n") > SMALL).select("bucket", "node").join(centres, "bucket").where("node <> centre").select(*ends("node", "centre"))
     pairs = cut(each.union(stars).distinct(), "candidates")
     wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    sets = cut(full_sets(docs, wanted, width, id_col, text_col), "sets")
-    if sets.count() > wanted.count():  # rows that share an id
-        sets = cut(sets.groupBy("node").agg(F.min("shingles").alias("shingles")), "sets")
-    edges = cut(confirmed(pairs, sets, percent), "links")
-    found = components(edges)
+    sets = full_sets(docs, wanted, width, id_col, text_col)
+    found = components(cut(confirmed(pairs, sets, percent), "links"))
     large = member.where(F.col("n") > SMALL).select("bucket", "node")
     if large.isEmpty():
         return found
-    labelled = large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sums = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    main = sums.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("kinds"))
-    main = cut(main.where("kinds > 1"), "main")
-    open_ = cut(labelled.join(main, "bucket").withColumn("asks", F.col("component") != F.col("main")), "open")
-    blocks = F.greatest(F.ceil(F.col("all") / BLOCK), F.lit(1)).cast("int")
-    asks = open_.where("asks").select("bucket", "node", "component", "asks", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    answers = open_.select("bucket", "node", "component", F.lit(False).alias("asks"), F.pmod(order, blocks).cast("int").alias("block"))
-    full = asks.unionByName(answers).join(sets, "node").select("bucket", "block", "node", "component", "asks", "shingles")
-    more = cut(full.groupBy("bucket", "block").applyInArrow(_block_links(percent), "a long, b long"), "more-links")
-    if more.isEmpty():
+    for i in range(ROUNDS):
+        open_ = _open(large, found)
+        if open_.isEmpty():
+            return found
+        further = open_.where("component <> main").groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(CENTRES + i)), F.col("node").alias("centre"), F.col("component").alias("of"))).alias("c")).select("bucket", "c.centre", "c.of")
+        stars = open_.join(further, "bucket").where(F.col("component") != F.col("of")).select(*ends("node", "centre")).distinct()
+        more = cut(confirmed(stars, sets, percent), "more-links")
+        found = found if more.isEmpty() else extended(found, more)
+    open_ = _open(large, found)
+    if open_.isEmpty():
         return found
-    return extended(found, more)
+    more = cut(_blocks(open_, nodes, sets).groupBy("bucket", "ask_block", "block").applyInArrow(_block_links(percent), "a long, b long"), "more-links")
+    return found if more.isEmpty() else extended(found, more)
+
+
+def _same_ids(sketch: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges between the classes that an id with several different texts is in."""
+    several = sketch.groupBy("doc_id").agg(F.min("set_key").alias("least"), F.max("set_key").alias("most")).where("least <> most").select("doc_id")
+    held = sketch.select("doc_id", "set_key").join(several, "doc_id").join(classes.select("set_key", "node"), "set_key").select("doc_id", "node").distinct()
+    first = held.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return held.join(first, "doc_id").where("a <> node").select("a", F.col("node").alias("b")).distinct()
 
 
 def near_dedup(docs: DataFrame, *, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rows: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs.
 
     A null, empty or blank text has no shingles, is linked with nothing and is its own component. Rows that share an id and a text get
-    equal results. A null id keeps a null component and is kept. An empty table gives no rows. Other columns are not read.
+    equal results; an id with several texts is linked with what any of them is linked with, and all its texts with words get one component. A null id keeps a null component and is kept.
+    An empty table gives no rows. Other columns are not read.
     """
     rows, bands = banding(percent / 100, rows=rows)
     sketch = cut(sketches(docs, width, rows, bands, id_col, text_col), "sketches")
-    classes = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
-    classes = cut(classes, "classes")
-    nodes = sketch.select(F.col("doc_id").alias("node"), "set_key", "buckets").join(classes, ["set_key", "node"]).select("node", "buckets")
+    full = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+    classes = cut(full.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "classes")
+    nodes = full.select(F.col("doc_id").alias("node"), "set_key", "buckets").join(classes, ["set_key", "node"]).select("node", "set_key", "buckets").dropDuplicates(["set_key", "node"]).drop("set_key")
     found = links(docs, nodes, width=width, percent=percent, id_col=id_col, text_col=text_col)
+    same = cut(_same_ids(full, classes), "same-ids")
+    found = found if same.isEmpty() else extended(found, same)
     linked = classes.join(found, "node", "left").where("copies > 1 OR component IS NOT NULL").select("set_key", F.coalesce("component", "node").alias("component"))
-    linked = cut(linked, "linked")
-    out = sketch.select("doc_id", "n_shingles", "set_key").join(small(linked, linked.count()), "set_key", "left")
+    # narrow rows on both sides, so this is no broadcast at any size; rows without a set or an id do not take part
+    out = full.select("doc_id", "n_shingles", "set_key").join(linked, "set_key", "left").select("doc_id", "n_shingles", "component")
+    out = out.unionByName(sketch.where("set_key IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component")))
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

@@ -34,27 +34,36 @@ def _chance(size: Column) -> Column:
     return F.least(F.col("chance") * weight_of(size) / F.col("mean_weight"), F.lit(1.0))
 
 
+def _placed(sources: DataFrame) -> DataFrame:
+    """Adds the place (from 0) of each source in code point order, null last. Ranges are counted and numbered from their offsets, so no task sees all sources."""
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # ranges come from a sample, so they are written once
+    ranged = cut(sources.repartitionByRange(parts, F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "mix-ranges")
+    counts = ranged.groupBy("part").agg(F.count("*").alias("n"))  # a row for each range
+    before = counts.select(F.col("part").alias("of_part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1
+    return ranged.withColumn("inside", inside).join(F.broadcast(before), F.col("part") == F.col("of_part")).withColumn("place", F.col("before") + F.col("inside")).drop("part", "of_part", "before", "inside")
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """Adds weight, target, copies, chance and rest to (source, source_size, mean_weight), one row for each source.
 
-    Sources in code point order, null last, get the weights in turn. Targets are weight x level, at most `most` x size; the level at which
-    they sum to `share` x all sizes is where the first uncapped source stands when sources are ordered by the level that caps them.
+    Sources in code point order, null last, get the weights in turn. Targets are weight x level, at most `most` x size, and sum to `share` x all sizes. The level is found
+    by filling: sources that a level caps keep their caps, the rest is shared again, until no more are capped; each round is one aggregation to one row.
     """
-    whole = Window.partitionBy()
-    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1
-    order = Window.orderBy("caps_at", F.col("source").asc_nulls_last())
-    out = (
-        sources.withColumn("weight", F.element_at(F.array(*(F.lit(float(w)) for w in weights)), turn))
-        .withColumn("cap", F.col("source_size") * F.lit(float(most)))
-        .withColumn("caps_at", F.col("cap") / F.col("weight"))
-        .withColumn("wanted", F.sum("source_size").over(whole) * F.lit(float(share)))
-        .withColumn("place", F.row_number().over(order))
-        .withColumn("capped", F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-        .withColumn("open", F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
-        .withColumn("level", (F.col("wanted") - F.col("capped")) / F.col("open"))
-        .withColumn("first", F.min(F.when(F.col("level") <= F.col("caps_at"), F.struct("place", "level"))).over(whole))
-        .withColumn("target", F.least("cap", F.coalesce(F.col("first.level") * F.col("weight"), F.col("cap"))))
-    )
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    out = cut(_placed(sources).withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(most))), "mix-weights")
+    wanted = float(out.agg(F.sum("source_size")).first()[0] or 0) * share
+    level, n_capped = 0.0, -1
+    while True:
+        capped = F.col("cap") < F.col("weight") * F.lit(level)
+        sums = out.agg(F.count_if(capped).alias("n"), F.sum(F.when(capped, F.col("cap"))).alias("caps"), F.sum(F.when(~capped, F.col("weight"))).alias("open")).first()
+        if sums.n == n_capped or not sums.open:
+            break
+        n_capped, level = sums.n, (wanted - (sums.caps or 0.0)) / sums.open
+    # if the caps together are below what is wanted, all are reached
+    target = F.least("cap", F.col("weight") * F.lit(level)) if sums.open else F.col("cap")
+    out = out.withColumn("target", target)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     return (
         out.withColumn("copies", F.floor(ratio + 1e-12).cast("int"))
@@ -87,6 +96,7 @@ def plan(base: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: floa
         edge = edge.where((F.col("begun") < F.col("rest")) & (F.col("upto") >= F.col("rest")) & (F.col("words") > 0)).select(F.col("source").alias("of"), F.col(name).alias("edge"), F.col("begun").alias("from"))
         at = at.drop("begun").join(small(edge, n), F.col("source").eqNullSafe(F.col("of")) & (F.col(name) == F.col("edge"))).withColumnRenamed("from", "begun").drop("of", "edge")
         begun = F.col("begun")
+    at = at.groupBy("source", "rest", "begun", "doc_id", "key", "rank").agg(F.sum("size").alias("size"))  # rows alike, however many, are one
     before = F.col("begun") + F.sum("size").over(Window.partitionBy("source").orderBy("rank", "doc_id", "key").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     edge_0 = F.floor(F.col("rank") * BINS * BINS)
     last = (

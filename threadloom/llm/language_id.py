@@ -2,7 +2,8 @@
 
 A text becomes counts of hashed byte n-grams (1 to 4 bytes of its lower-cased letters and what parts them), damped, weighted by inverse document
 frequency and normalised. Each language has several centroids, found by spherical k-means; the nearest centroid by cosine names the language. A text
-farther from all centroids than any training text of its length was, by a margin, is rejected.
+farther from all centroids than nearly all training texts of its length were, by a margin, is rejected. Limits for short lengths come from pieces of training texts;
+those of lengths or languages with too few training texts come from all languages together.
 """
 
 from __future__ import annotations
@@ -21,12 +22,12 @@ from .common import BATCH_ROWS, in_fold, map_batches
 #: Buckets of the n-gram hash.
 DIMS = 8192
 GRAMS = (1, 2, 3, 4)
-#: Bounds of the fit: labelled texts for each language, in all, and bytes of one; centroids of a language.
-PER_LANGUAGE, SAMPLE, SAMPLE_BYTES, CENTROIDS = 800, 6000, 100_000, 4
-#: A text is rejected below this share of the least cosine that training texts of its length had.
-MARGIN = 0.4
-#: Texts of fewer than 2 ** this n-grams say too little to be rejected; so do lengths with fewer training texts about them than this.
-EVIDENCE, NEAR = 9, 20
+#: Bounds of the fit: languages (the most frequent ones), labelled texts for each language, in all, bytes of one and of all; centroids of a language.
+LANGUAGES, PER_LANGUAGE, SAMPLE, SAMPLE_BYTES, TOTAL_BYTES, CENTROIDS = 1000, 800, 6000, 100_000, 64 << 20, 4
+#: A text is rejected below this share of the cosine that all but LOW of the training texts of its length had.
+MARGIN, LOW = 0.4, 0.01
+#: Texts or pieces that a limit of its own takes for a length; lengths (log2 of n-grams) for which pieces are cut; pieces of a language and length.
+NEAR, PIECED, PIECES = 20, range(3, 12), 200
 #: Every ASCII byte that is no letter becomes a space.
 _LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _PIECE = 1 << 20
@@ -102,10 +103,14 @@ def _centroids(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learns from text and lang of the rows outside the held-out fold, lang not null. Document frequencies come from all of them; centroids from a sample of
-    at most PER_LANGUAGE texts of a language and SAMPLE in all, of at most SAMPLE_BYTES each, chosen by a hash."""
+    at most PER_LANGUAGE texts of a language and SAMPLE in all, of at most SAMPLE_BYTES each and about TOTAL_BYTES in all, chosen by a hash. The LANGUAGES most frequent languages are
+    learned; one whose texts are all longer than SAMPLE_BYTES is not."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(~in_fold(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}
+    fits = F.octet_length("text") <= SAMPLE_BYTES
+    sums = rows.groupBy("lang").agg(F.count("*").alias("n"), F.coalesce(F.avg(F.when(fits, F.octet_length("text"))), F.lit(0.0)).alias("bytes"))
+    found = {r.lang: r for r in sums.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    counts = {k: r.n for k, r in found.items()}
     languages = sorted(counts)
     if not languages:
         return LanguageModel([], np.ones(DIMS, np.float32), np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((0, 40)))
@@ -127,12 +132,13 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
 
     each = max(1, min(PER_LANGUAGE, SAMPLE // len(languages)))
     draw = F.pmod(F.xxhash64(F.lit(7), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.try_element_at(F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(1.5 * each / n + 20 / n)))), F.col("lang"))
-    some = rows.where((draw < share) & (F.octet_length("text") <= SAMPLE_BYTES)).select("lang", draw.alias("draw"), "text").toPandas()
+    most = {k: max(1, min(each, int(TOTAL_BYTES / len(languages) / max(r.bytes, 1)))) for k, r in found.items()}
+    share = F.try_element_at(F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(1.5 * most[k] / n + 20 / n)))), F.col("lang"))
+    some = rows.where((draw < share) & fits).select("lang", draw.alias("draw"), "text").toPandas()
     model = LanguageModel(languages, idf, np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((len(languages), 40)))
-    centres, owner = [], []
+    centres, owner, cosines = [], [], {}
     for i, language in enumerate(languages):
-        texts = [t for t in some[some.lang == language].sort_values(["draw", "text"]).text[:each] if has_letter(t)]
+        texts = [t for t in some[some.lang == language].sort_values(["draw", "text"]).text[: most[language]] if has_letter(t)]
         if not texts:
             continue
         counted = np.stack([gram_counts(t) for t in texts])
@@ -140,21 +146,48 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
         mine = _centroids(vectors, CENTROIDS)
         centres.append(mine)
         owner += [i] * len(mine)
-        cosine = (vectors @ mine.T).max(axis=1)
         size = np.log2(counted.sum(axis=1) + 1).astype(int).clip(0, 39)
-        lows = np.array([cosine[size == s].min() if (size == s).any() else np.nan for s in range(40)])
-        lengths = np.flatnonzero(~np.isnan(lows))
-        for at in range(EVIDENCE, 40):
-            # the least of the lengths about it; a length beyond training texts takes that of the longest of these
-            about = lengths[np.abs(lengths - min(at, lengths.max())) <= 1]
-            if np.isin(size, about).sum() >= NEAR:
-                model.least[i, at] = MARGIN * lows[about].min()
+        cosine = (vectors @ mine.T).max(axis=1)
+        cosines[i] = [cosine[size == s] for s in range(40)]
+        for s in PIECED:
+            pieces = [p for p in (_piece(t, s, k) for k, t in enumerate((texts * PIECES)[:PIECES])) if has_letter(p)]
+            if pieces:
+                got = model.vectors(np.stack([gram_counts(p) for p in pieces])) @ mine.T
+                cosines[i][s] = np.concatenate([cosines[i][s], got.max(axis=1)])
     model.centroids, model.owner = np.concatenate(centres) if centres else model.centroids, np.array(owner, int)
     if not centres:
         model.languages = []
+        return model
+    pooled = _limits([np.concatenate([c[s] for c in cosines.values()]) for s in range(40)])
+    for i, own in cosines.items():
+        own = _limits(own)
+        model.least[i] = np.where(np.isnan(own), pooled, own)
+    model.least = MARGIN * np.nan_to_num(_onward(model.least))
     return model
 
 
+def _piece(text: str, size: int, k: int) -> str:
+    """A piece of a text with some 2 ** (size + 0.5) n-grams, from a word's beginning; the k-th place of it, spread over the text."""
+    want = int(2 ** (size + 0.5) / len(GRAMS))
+    at = k * 7919 % max(len(text) - want, 1)
+    at = text.find(" ", at) + 1 if at else 0
+    return text[at : at + want]
+
+
+def _limits(cosines: list[np.ndarray]) -> np.ndarray:
+    """By length the cosine that all but LOW have, over that length and its neighbours; nan where these are fewer than NEAR."""
+    about = [np.concatenate(cosines[max(s - 1, 0) : s + 2]) for s in range(len(cosines))]
+    return np.array([min(np.quantile(a, LOW), np.quantile(own, LOW) if len(own) >= NEAR else 1.0) if len(a) >= NEAR else np.nan for a, own in zip(about, cosines)])
+
+
+def _onward(least: np.ndarray) -> np.ndarray:
+    """Lengths without a limit take that of the longest length below them that has one."""
+    out = least.copy()
+    for s in range(1, out.shape[1]):
+        out[:, s] = np.where(np.isnan(out[:, s]), out[:, s - 1], out[:, s])
+    return out
+
+
 def predictor(docs: DataFrame, model: LanguageModel):
     """A column function: text -> struct(lang_pred, score, rejected)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -3,6 +3,7 @@
 import difflib
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,11 +183,30 @@ def test_packing():
         assert [b for b, _ in batching.pack(sizes, 100)] == plain_pack(sizes, 100)
 
 
-def test_packed_shards(spark):
+def test_packing_by_counts_is_the_walk():
+    rng = random.Random(6)
+    for i in range(300):
+        capacity = rng.choice([10, 20, 100])
+        sizes = sorted((rng.choice([1, 2, 3, capacity // 2, capacity // 3 + 1, rng.randint(0, capacity)]) for _ in range(rng.randint(0, 80))), reverse=True)
+        found = [None] * len(sizes)
+        for place, n, each, first, pos in batching.pack_counts(sorted(Counter(sizes).items(), reverse=True), capacity):
+            for k in range(n):
+                found[place + k] = (first + k // each, pos + k % each)
+        assert found == batching.pack(sizes, capacity)
+
+
+def test_packed(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate([16000, 16001, 1, 8000, 8000, 5])], "seq long, tokens long")
     one = batching.packed(df).collect()
     assert len(one) == 5 and {r.batch_index for r in one} == {1, 2, 3}
-    sums = batching.rolled_up(batching.packed(df, shard=2)).collect()
+    rng = random.Random(7)
+    # ids far apart and a size that a third of all posts have
+    posts = [(i * 60_000, 3000 if i % 3 == 0 else rng.randint(0, 17_000)) for i in range(500)]
+    order = sorted(((t, i) for i, t in posts if t <= CAPACITY), key=lambda x: (-x[0], x[1]))
+    want = {i: (b + 1, p) for (_, i), (b, p) in zip(order, batching.pack([t for t, _ in order], CAPACITY))}
+    found = batching.packed(spark.createDataFrame(posts, "seq long, tokens long"))
+    assert {r.seq: (r.batch_index, r.pos) for r in found.collect()} == want
+    sums = batching.rolled_up(found).collect()
     assert all(r.total_tokens <= CAPACITY for r in sums) and sorted(r.batch_index for r in sums) == list(range(1, len(sums) + 1))
     assert batching.utilisation(batching.packed(df.limit(0))).first().utilisation == 0
 
@@ -309,6 +329,110 @@ def test_filter_rejects_near_copies_of_posts_and_comments(spark):
     assert {r.seq for r in good.collect()} == {i for i, r in reasons.items() if r is None}
     assert {(r.post_id, r.path[0]) for r in kept.collect()} == kept_comments
     assert flow.comment_summary(p, c).collect() == [(len(comments), len(kept_comments), len(comments) - len(kept_comments))]
+    stats = {int(r.post_id): (r.original_comments, r.kept_comments) for r in flow.post_stats(p, c).collect()}
+    assert stats == {i: (i % 3, sum(k[0] == str(i) for k in kept_comments)) for i, r in reasons.items() if r is None}
+
+
+def test_comments_of_rejected_posts_are_not_seen(spark):
+    other = " ".join(reversed(LONG.split()))
+    posts = [(1, 1, LONG, 9, 0, 9), (2, 2, LONG, 9, 0, 9), (3, 3, other, 9, 0, 9)]
+    words = "these words stand below two posts of which one is an exact copy"
+    comments = [("2", [0], 0, "a", 1, words, None, "{}"), ("3", [0], 0, "a", 1, words, None, "{}"), ("3", [1], 0, "b", 1, words.upper(), None, "{}")]
+    p = spark.createDataFrame(posts, "seq long, post_id long, selftext string, author_account_age_days int, author_comment_karma int, score int")
+    c = spark.createDataFrame(comments, tree.FLAT)
+    assert [(r.post_id, list(r.path)) for r in flow.filtered(p, c)[1].collect()] == [("3", [0])]
+    assert {(r.post_id, r.original_comments, r.kept_comments) for r in flow.post_stats(p, c).collect()} == {("1", 0, 0), ("3", 2, 1)}
+    assert flow.comment_summary(p, c).collect() == [(3, 1, 2)]
+
+
+def test_the_gate_works_words_out_once(spark):
+    df = spark.createDataFrame([(0, LONG, 5, 5, 9)], "seq long, selftext string, author_account_age_days int, author_comment_karma int, score int")
+    judged = gate.gated_posts(df)
+    for rows in (judged.where("reason IS NULL").select("seq"), judged.where("reason IS NOT NULL").groupBy("reason").count(), judged):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("split(") == 1 and plan.count("too_repetitive") == 1
+
+
+def test_repeats_is_the_share_of_the_most_frequent_word(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice(["aaa", "bbb", "ccc", "ddd", "e", "fff", "ggg"][: rng.randint(1, 7)]) for _ in range(rng.randint(0, 40))]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, w array<string>")
+    w = F.col("w")
+    found = df.select(T.repeats(T.long_words(w), F.size(w), 0.3).alias("a"), F.coalesce(T.max_word_freq(w) > 0.3, F.lit(False)).alias("b")).collect()
+    assert all(r.a == r.b for r in found) and 50 < sum(r.a for r in found) < 350
+
+
+def test_a_run_stops_at_a_failed_batch_and_goes_on(spark, tmp_path):
+    from threadloom.plans import progress
+
+    path, done, broken = str(tmp_path / "p"), [], [True]
+    batches = spark.range(1, 8).select(F.col("id").cast("int").alias("batch_index"))
+
+    def step(rows):
+        got = sorted(r.batch_index for r in rows.collect())
+        if 5 in got and broken:
+            raise ValueError("broken")
+        done.append(got)
+
+    at, failure = progress.run(batches, step, path, at_once=2)
+    assert done == [[1], [2, 3]] and at == 4 and isinstance(failure, ValueError)
+    broken.clear()
+    assert progress.run(batches, step, path, at_once=2) == (8, None) and done == [[1], [2, 3], [4, 5], [6, 7]]
+    assert progress.run(batches, step, path) == (8, None)
+
+
+def test_rule_backend_keeps_all_that_it_finds(spark):
+    names = [f"Name{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    text = " meets ".join(names) + " and a very long way of saying what is between them for once " + "Zed"
+    row = backends.extract(spark.createDataFrame([(1, text), (2, None)], "batch_index int, text_for_llm string")).orderBy("batch_index").collect()
+    assert len(row[0].entities) == 61 and len(row[0].relations) == 60 and len(row[0].relations[-1].relation) > 40 and row[1].entities == []
+
+    class ByText:
+        def generate(self, system, user):
+            return backends.RuleBackend().generate(system, user)
+
+    again = backends.extract(spark.createDataFrame([(1, text)], "batch_index int, text_for_llm string"), ByText()).first()
+    assert again.entities == row[0].entities and [r.target for r in again.relations] == [r.target for r in row[0].relations]
+
+
+def test_a_blank_relation_is_none(spark):
+    df = spark.createDataFrame([("s", "t", "\t\n\u00a0"), ("s", "t", " r ")], "source string, target string, relation string")
+    assert [r.valid for r in graph.with_validity(df).collect()] == [False, True]
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        sinks.shared_path(Session(), "x")
+
+
+def test_files(spark, tmp_path):
+    posts = spark.createDataFrame([("p1", "ann", 'T"', None, "x\ny", 1, 2)], "post_id string, author string, title string, score long, selftext string, author_account_age_days long, author_comment_karma long")
+    whole = posts.select(render.post_json(F.lit(json.dumps(TREE))).alias("value"))
+    assert json.loads(whole.first().value) == {"post_id": "p1", "author": "ann", "title": 'T"', "score": None, "selftext": "x\ny", "author_account_age_days": 1, "author_comment_karma": 2, "comments": TREE}
+    pretty = whole.select(batching.pretty_json("value").alias("v")).first().v
+    assert pretty == json.dumps(json.loads(whole.first().value), ensure_ascii=False, indent=2)
+    sinks.write_text_lines(whole, str(tmp_path / "lines"))
+    read = readers.json_posts(spark, str(tmp_path / "lines"), lines=True)
+    assert read.first().title == 'T"' and tree.flatten_comments(read).count() == 4
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text(json.dumps([{"post_id": f"{name}{i}"} for i in range(3)]))
+    many = readers.json_posts(spark, str(tmp_path / "*.json")).orderBy("seq").collect()
+    assert [(r.seq, r.post_id) for r in many] == list(enumerate(["a0", "a1", "a2", "b0", "b1", "b2"]))
+    lenses = spark.createDataFrame([("power", 's"', None), ("ethics", "t", "json_parse_failed")], "lens string, summary string, error string")
+    sinks.write_text(sinks.json_object(lenses, "lens"), str(tmp_path / "lenses"))
+    assert {(r.lens, r.summary, r.error) for r in readers.lens_report(spark, str(tmp_path / "lenses")).collect()} == {("power", 's"', None), ("ethics", "t", "json_parse_failed")}
+    sinks.write_json_lines(lenses, str(tmp_path / "json"))
+    assert spark.read.json(str(tmp_path / "json")).count() == 2
 
 
 def test_whole_flow(spark, sf):

@@ -109,7 +109,7 @@ def repeats(long: Column, n: Column, share: float) -> Column:
     """Has any of the long words more than `share` of n occurrences. In sorted order such a word's run is longer than that, so it holds one of a few places, and
     the word at each of these is looked up: no word is counted."""
     least = F.floor(n * share).cast("int") + 1
-    run = least + F.when(least / n <= share, 1).otherwise(0)  # a product that was rounded down
+    run = least + F.when(F.try_divide(least, n) <= share, 1).otherwise(0)  # a product that was rounded down
     ordered = F.sort_array(long)
 
     def at(i: int) -> Column:

@@ -24,8 +24,7 @@ class Backend(Protocol):
 EXTRACTION_SYSTEM = "Extract the entities and relations of a text as JSON with the keys entities and relations."
 #: What a failing backend's answer is replaced by.
 FAILED = "Error: Analysis failed."
-#: Entities and relations that a prompt asks for at most.
-MAX_ENTITIES, MAX_RELATIONS = 15, 20
+SCENARIO_SYSTEM = "You are a strategist who writes a report of scenarios for a decision maker."
 
 
 class RuleBackend:
@@ -39,18 +38,34 @@ class RuleBackend:
         return next((k for k, ends in self.KINDS if last in ends), "Person" if name.count(" ") == 1 else "Concept")
 
     def generate(self, system: str, user: str) -> str:
+        if system == SCENARIO_SYSTEM:
+            return self.scenario(user)
         if system != EXTRACTION_SYSTEM:
             return self.analysis(user)
+        entities, relations = self.extraction(user)
+        return json.dumps({"entities": entities, "relations": relations}, ensure_ascii=False)
+
+    def extraction(self, text: str) -> tuple[list[dict], list[dict]]:
+        """(entities, relations) of a text, all of them; entities by count and name."""
         counts: Counter[str] = Counter()
         relations = []
-        for sentence in re.split(r"[.!?\n]+", user):
-            spans = list(self.SPAN.finditer(sentence))
-            counts.update(m[0] for m in spans)
-            for a, b in zip(spans, spans[1:]):
-                between = sentence[a.end() : b.start()].strip(" ,;:|")[:40] or "with"
-                relations.append({"source": a[0], "target": b[0], "relation": between, "evidence": sentence.strip()[:80]})
-        top = sorted(counts, key=lambda n: (-counts[n], n))[:MAX_ENTITIES]
-        return json.dumps({"entities": [{"name": n, "type": self.kind(n)} for n in top], "relations": relations[:MAX_RELATIONS]}, ensure_ascii=False)
+        for sentence in re.split(r"[.!?\n]+", text):
+            spans = [(m[0], m.start(), m.end()) for m in self.SPAN.finditer(sentence)]
+            if not spans:
+                continue
+            counts.update(name for name, _, _ in spans)
+            evidence = sentence.strip()
+            for (a, _, end), (b, start, _) in zip(spans, spans[1:]):
+                relations.append({"source": a, "target": b, "relation": sentence[end:start].strip(" ,;:|") or "with", "evidence": evidence})
+        return [{"name": n, "type": self.kind(n)} for n in sorted(counts, key=lambda n: (-counts[n], n))], relations
+
+    def scenario(self, user: str) -> str:
+        """One scenario for each risk level that the lenses gave, likely by how many gave it."""
+        risks = re.findall(r"^Risk Level: (.*)$", user, re.M)
+        level = lambda k: {"name": f"{k} risk", "description": f"{risks.count(k)} of {len(risks)} analyses say {k}.", "probability": f"{100 * risks.count(k) // max(len(risks), 1)}%"}
+        first = re.search(r"^Key Insight: (.*)$", user, re.M)
+        found = {f"scenario_{c}": level(k) for c, k in zip("abc", ("High", "Medium", "Low"))}
+        return json.dumps({"event_topic": first[1] if first else None, "current_state": f"{len(risks)} analyses.", **found, "early_warning_signals": sorted(set(risks))}, ensure_ascii=False)
 
     def analysis(self, user: str) -> str:
         lines = [x for x in user.splitlines() if "--[" in x]
@@ -75,8 +90,17 @@ def generated(rows: DataFrame, system: Column, user: Column, backend: Backend, n
 
 
 def extract(batches: DataFrame, backend: Backend | None = None, text: str = "text_for_llm") -> DataFrame:
-    """batch_index, entities, relations of each batch: the answer is cut out of fences and chatter, mended, and empty unless both keys are there."""
-    answered = generated(batches.select("batch_index", text), F.lit(EXTRACTION_SYSTEM), F.col(text), backend or RuleBackend())
+    """batch_index, entities, relations of each batch: the answer is cut out of fences and chatter, mended, and empty unless both keys are there. A backend with a method
+    `extraction` gives both as they are, without a way through text."""
+    backend = backend or RuleBackend()
+    if hasattr(backend, "extraction"):
+
+        @F.pandas_udf(EXTRACTION)
+        def found(texts: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([backend.extraction(t or "") for t in texts], columns=["entities", "relations"])
+
+        return batches.select("batch_index", found(text).alias("e")).select("batch_index", "e.entities", "e.relations")
+    answered = generated(batches.select("batch_index", text), F.lit(EXTRACTION_SYSTEM), F.col(text), backend)
     return answered.select("batch_index", extraction(F.col("answer")).alias("e")).select("batch_index", "e.entities", "e.relations")
 
 
@@ -85,9 +109,9 @@ def entities_of(extractions: DataFrame) -> DataFrame:
 
 
 def relations_of(extractions: DataFrame) -> DataFrame:
-    """batch_index, seq (batch, place), source, target, relation, evidence, name."""
+    """batch_index, seq (batch, place; a batch has fewer than 2^31 relations), source, target, relation, evidence, name."""
     rows = extractions.select("batch_index", F.posexplode("relations").alias("pos", "r"))
-    return rows.select("batch_index", (F.col("batch_index").cast("long") * 1_000_000 + F.col("pos")).alias("seq"), "r.*")
+    return rows.select("batch_index", (F.col("batch_index").cast("long") * F.lit(1 << 31) + F.col("pos")).alias("seq"), "r.*")
 
 
 def parsed_or_error(answer: Column, schema: str) -> Column:

@@ -5,15 +5,14 @@ from __future__ import annotations
 import bisect
 import json
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..config import CAPACITY
-
-#: Posts that one task packs.
-SHARD = 50_000
+from .dedup import place_of
 
 
 def estimated_tokens(text: Column) -> Column:
@@ -69,24 +68,77 @@ def pack(sizes: list[int], capacity: int) -> list[tuple[int, int]]:
     return out
 
 
-def packed(posts: DataFrame, capacity: int = CAPACITY, *, seq: str = "seq", tokens: str = "tokens", shard: int = SHARD) -> DataFrame:
-    """(seq, tokens, shard, batch_index from 1, pos) by best fit decreasing; equal sizes keep seq order, larger ones than the capacity are left out.
+def pack_counts(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """What `pack` does to n items of each size, (size, n) with the largest size first, as runs (place, n, each, bin, pos): from the item at `place` on, n items go to bins from `bin`
+    on, `each` to a bin, from position `pos` in each.
 
-    The walk is sequential, so `shard` consecutive seqs are packed by one task, which gets (seq, tokens) only; another shard opens its own batches, numbered on from
-    those of the shards before it. Up to `shard` posts the result is that of one walk.
+    A bin that best fits a size goes on being the best fit until the size no longer fits, so bins with equally much left take equally many items one after another. Bins are kept by
+    what is left as intervals of their numbers, and the work depends on the sizes and intervals, not on the items.
+    """
+    left: dict[int, list[tuple[int, int, int]]] = {}  # what is left: (first bin, bins, items in each), sorted
+    order: list[int] = []
+    runs, place, opened = [], 0, 0
+
+    def put(rest: int, interval: tuple[int, int, int]) -> None:
+        if rest not in left:
+            left[rest] = []
+            bisect.insort(order, rest)
+        bisect.insort(left[rest], interval)
+
+    for size, n in counts:
+        at = bisect.bisect_left(order, size)
+        while n and at < len(order):
+            rest = order[at]
+            first, bins, held = left[rest].pop(0)
+            if not left[rest]:
+                del left[rest], order[at]
+            each = rest // size if size else n
+            whole, more = min(bins, n // each), 0
+            if whole:
+                runs.append((place, whole * each, each, first, held))
+                put(rest - each * size, (first, whole, held + each))
+                place, n = place + whole * each, n - whole * each
+            if whole < bins:
+                more = min(n, each)  # the last bin of this size may take fewer
+                if more:
+                    runs.append((place, more, each, first + whole, held))
+                    put(rest - more * size, (first + whole, 1, held + more))
+                    place, n = place + more, n - more
+                if whole + bool(more) < bins:
+                    put(rest, (first + whole + bool(more), bins - whole - bool(more), held))
+            at = bisect.bisect_left(order, size)
+        if n:
+            each = capacity // size if size else n
+            whole, more = divmod(n, each)
+            if whole:
+                runs.append((place, whole * each, each, opened, 0))
+                put(capacity - each * size, (opened, whole, each))
+            if more:
+                runs.append((place + whole * each, more, each, opened + whole, 0))
+                put(capacity - more * size, (opened + whole, 1, more))
+            opened, place = opened + whole + bool(more), place + n
+    return runs
+
+
+def packed(posts: DataFrame, capacity: int = CAPACITY, *, seq: str = "seq", tokens: str = "tokens") -> DataFrame:
+    """(seq, tokens, batch_index from 1, pos) by best fit decreasing over all posts; equal sizes keep seq order, larger ones than the capacity are left out.
+
+    The walk is sequential, but it needs only how many posts have each size, at most `capacity` rows, and tells where runs of posts go. Posts get a dense place in packing order
+    by ranges, and look their run up.
     """
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["tokens", "seq"], ascending=[False, True], kind="stable")
-        placed = pack(pdf.tokens.tolist(), capacity)
-        return pdf.assign(bin=[b for b, _ in placed], pos=[p for _, p in placed])[["seq", "tokens", "shard", "bin", "pos"]]
-
     rows = posts.where(F.col(tokens) <= capacity).select(F.col(seq).cast("long").alias("seq"), F.col(tokens).cast("long").alias("tokens"))
-    rows = rows.withColumn("shard", F.floor(F.col("seq") / shard))
-    placed = rows.groupBy("shard").applyInPandas(walk, "seq long, tokens long, shard long, bin long, pos long")
-    bins = placed.groupBy("shard").agg((F.max("bin") + 1).alias("bins"))  # a row for each shard
-    before = bins.select(F.col("shard").alias("__shard"), (F.sum("bins").over(Window.orderBy("shard")) - F.col("bins")).alias("__before"))
-    return placed.join(F.broadcast(before), F.col("shard") == F.col("__shard")).select("seq", "tokens", "shard", (F.col("__before") + F.col("bin") + 1).cast("int").alias("batch_index"), "pos")
+    counts = sorted(((r.tokens, r.n) for r in rows.groupBy("tokens").agg(F.count("*").alias("n")).collect()), reverse=True)  # a row for each size
+    runs = np.array(pack_counts(counts, capacity), np.int64).reshape(-1, 5)
+    shared = posts.sparkSession.sparkContext.broadcast(runs)
+
+    @F.pandas_udf("struct<bin:long,pos:long>")
+    def slot(place: pd.Series) -> pd.DataFrame:
+        found = shared.value[np.searchsorted(shared.value[:, 0], place.to_numpy(), side="right") - 1]
+        turn, each = place.to_numpy() - found[:, 0], found[:, 2]
+        return pd.DataFrame({"bin": found[:, 3] + turn // each, "pos": found[:, 4] + turn % each})
+
+    placed = place_of(rows, F.col("tokens").desc(), F.col("seq")).withColumn("slot", slot("place"))
+    return placed.select("seq", "tokens", (F.col("slot.bin") + 1).cast("int").alias("batch_index"), F.col("slot.pos").alias("pos"))
 
 
 def rolled_up(placed: DataFrame) -> DataFrame:

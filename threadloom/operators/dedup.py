@@ -6,13 +6,13 @@ import difflib
 import hashlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from ..config import RELAXED, Gate
 from ..functions import text as T
-from ..sources.sinks import shared_path
+from ..sources.sinks import cut
 
 
 def normal_form(text_col: str):
@@ -108,9 +108,9 @@ def walked(texts: DataFrame, *, gate: Gate = RELAXED, shard: int = 20_000) -> Da
     texts = texts.where(F.col("seq").isNotNull()).select("seq", "at", F.coalesce("text", F.lit("")).alias("text"))
     parts = max(1, -(-texts.where(F.col("at") == 0).count() // shard))
     # ranges come from a sample, so they are written once
-    ids = _cut(texts.mapInPandas(_digests, "seq long, at int, digest string").repartitionByRange(parts, "seq").withColumn("shard", F.spark_partition_id()), "fuzzy-ids")
+    ids = cut(texts.mapInPandas(_digests, "seq long, at int, digest string").repartitionByRange(parts, "seq").withColumn("shard", F.spark_partition_id()), "fuzzy-ids")
     firsts = ids.groupBy("digest").agg(F.min(F.struct("seq", "at", "shard")).alias("first"), F.count("*").alias("n")).select("first.*", "digest", (F.col("n") > 1).alias("copied"))
-    active = _cut(texts.join(firsts, ["seq", "at"]), "fuzzy-texts")
+    active = cut(texts.join(firsts, ["seq", "at"]), "fuzzy-texts")
     walk = _walk_of(gate)
     state: DataFrame | None = None
     used: dict[int, list] = {}  # range: keys of the last kept texts before it that its last walk started from
@@ -143,7 +143,7 @@ def walked(texts: DataFrame, *, gate: Gate = RELAXED, shard: int = 20_000) -> Da
         found = here.groupBy("shard").cogroup(history.groupBy("target")).applyInPandas(walk, columns)
         if state is not None:
             found = state.where(~F.col("shard").isin(sorted(todo))).unionByName(found)
-        state = _cut(found, "fuzzy-state")
+        state = cut(found, "fuzzy-state")
         used.update({k: given.get(k, []) for k in todo})
 
         again: set[int] = set()
@@ -158,7 +158,7 @@ def walked(texts: DataFrame, *, gate: Gate = RELAXED, shard: int = 20_000) -> Da
                 shards_of[r.digest] = set(r.shards)
                 again |= shards_of[r.digest]
             extra = texts.join(more.join(firsts.select("seq", "at"), ["seq", "at"], "left_anti").withColumn("copied", F.lit(True)), ["seq", "at"])
-            active = active.unionByName(_cut(extra, "fuzzy-copies"))
+            active = active.unionByName(cut(extra, "fuzzy-copies"))
             first_kept.update(dict.fromkeys(fresh))
         if first_kept:
             kept = state.where((F.col("status") == KEPT) & F.col("copied")).groupBy("digest").agg(F.min("shard").alias("shard"))
@@ -182,13 +182,6 @@ def walked(texts: DataFrame, *, gate: Gate = RELAXED, shard: int = 20_000) -> Da
     return state.select("seq", "at", "status")
 
 
-def _cut(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _digests(batches):
     for pdf in batches:
         digest = [hashlib.blake2b(t.lower().strip().encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() for t in pdf["text"]]
@@ -240,11 +233,13 @@ def _walk_of(gate: Gate):
     return walk
 
 
-def place_of(rows: DataFrame, seq: str = "seq", *, parts: int | None = None) -> DataFrame:
-    """Adds a dense `place` from 0 in seq order: ranges are counted, then numbered from their offsets, so no task sees all rows."""
+def place_of(rows: DataFrame, *order: str | Column, parts: int | None = None) -> DataFrame:
+    """Adds a dense `place` from 0 in the given order (seq): ranges are counted, then numbered from their offsets, so no task sees all rows."""
+    order = order or ("seq",)
     parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, seq).withColumn("__part", F.spark_partition_id())
-    ranged = ranged.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(seq)))
-    counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
+    # ranges come from a sample, so they are written once
+    ranged = cut(rows.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))  # a row for each range
     before = counts.select(F.col("__part").alias("__p"), (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    return ranged.join(before, F.col("__part") == F.col("__p")).withColumn("place", F.col("__before") + F.col("__in") - 1).drop("__part", "__in", "__p", "__before")
+    ranged = ranged.withColumn("__in", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    return ranged.join(F.broadcast(before), F.col("__part") == F.col("__p")).withColumn("place", F.col("__before") + F.col("__in") - 1).drop("__part", "__in", "__p", "__before")

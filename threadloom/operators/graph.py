@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions.text import linear
 
 #: Colours of entity types in the two renderings, and what other types get.
@@ -25,7 +26,7 @@ def with_validity(relations: DataFrame) -> DataFrame:
     """relations (source, name, target, relation, ...) with source taken from name if empty, and `valid`: source, target and a relation that is not blank."""
     has_name = "name" in relations.columns
     source = F.coalesce(_filled("source"), _filled("name")) if has_name else _filled("source")
-    return relations.withColumn("source", source).withColumn("valid", F.col("source").isNotNull() & _filled("target").isNotNull() & (F.trim(F.coalesce("relation", F.lit(""))) != ""))
+    return relations.withColumn("source", source).withColumn("valid", F.col("source").isNotNull() & _filled("target").isNotNull() & (T.strip(F.coalesce("relation", F.lit(""))) != ""))
 
 
 def counters(relations: DataFrame) -> DataFrame:

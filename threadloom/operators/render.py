@@ -32,6 +32,18 @@ def post_text(comments_text: Column | None = None) -> Column:
     return F.concat_ws("\n", *head, *inner, F.lit("[/POST]\n"))
 
 
+#: Fields of a post that its JSON has, in this order; comments follow.
+POST_FIELDS = ("post_id", "author", "title", "score", "selftext", "author_account_age_days", "author_comment_karma")
+
+
+def post_json(comments: Column | None = None, stats: Column | None = None) -> Column:
+    """A post as JSON, with its comments (JSON text of the trees) and filter counts if there are any."""
+    own = F.to_json(F.struct(*POST_FIELDS), {"ignoreNullFields": "false"})
+    trees = F.lit("[]") if comments is None else F.coalesce(comments, F.lit("[]"))
+    counts = [] if stats is None else [F.lit(',"_filter_stats":'), F.to_json(stats)]
+    return F.concat(own.substr(F.lit(1), F.length(own) - 1), F.lit(',"comments":'), trees, *counts, F.lit("}"))
+
+
 def with_text(posts: DataFrame, comments: DataFrame | None = None) -> DataFrame:
     """posts with `post_text`."""
     if comments is None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import CAPACITY, RELAXED, Gate
 from ..operators import backends, batching, dedup, gate, graph, render, reports, tree
+from ..sources.sinks import cut
 
 log = logging.getLogger(__name__)
 
@@ -43,9 +44,10 @@ def judged_texts(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED)
     its comments, posts in order of seq; the comments of a rejected post are not looked at. Replies are never deduplicated. Only comments whose post the gate passes come back,
     with post_seq and post_kept.
     """
-    posts = gate.gated_posts(posts, limits)
+    # gated once, read several times
+    posts = cut(gate.gated_posts(posts, limits), "gated-posts")
     good = posts.where("reason IS NULL").select(F.col("post_id").cast("string").alias("post_id"), F.col("seq").alias("post_seq"))
-    comments = gate.gated_comments(comments, limits).withColumn("post_id", F.col("post_id").cast("string")).join(good, "post_id")
+    comments = cut(gate.gated_comments(comments, limits).withColumn("post_id", F.col("post_id").cast("string")).join(good, "post_id"), "gated-comments")
     at = (F.col("path")[0] + 1).cast("int")
     heads = posts.where("reason IS NULL").select("seq", F.lit(0).alias("at"), F.col("selftext").alias("text"))
     roots = comments.where("depth = 0 AND reason IS NULL").select(F.col("post_seq").alias("seq"), at.alias("at"), F.col("body").alias("text"))
@@ -59,18 +61,44 @@ def judged_texts(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED)
     return posts, comments
 
 
+def _kept(posts: DataFrame, judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return posts.where("reason IS NULL").drop("reason"), tree.surviving(judged.where("post_kept").drop("post_kept"))
+
+
 def filtered(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> tuple[DataFrame, DataFrame]:
     """(posts, comments) that pass: the gate, then exact and fuzzy deduplication of posts and their top-level comments as one sequence, then the loss of subtrees."""
-    posts, judged = judged_texts(posts, comments, limits)
-    return posts.where("reason IS NULL").drop("reason"), tree.surviving(judged.where("post_kept").drop("post_kept"))
+    return _kept(*judged_texts(posts, comments, limits))
+
+
+def _stats(posts: DataFrame, comments: DataFrame, judged: DataFrame) -> DataFrame:
+    original = comments.where("depth = 0").groupBy(F.col("post_id").cast("string").alias("post_id")).agg(F.count("*").alias("original"))
+    kept = judged.where("depth = 0 AND post_kept AND reason IS NULL").groupBy("post_id").agg(F.count("*").alias("kept"))
+    good = posts.where("reason IS NULL").select(F.col("post_id").cast("string").alias("post_id"))
+    counts = good.join(original, "post_id", "left").join(kept, "post_id", "left")
+    return counts.select("post_id", F.coalesce("original", F.lit(0)).alias("original_comments"), F.coalesce("kept", F.lit(0)).alias("kept_comments"))
+
+
+def post_stats(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED) -> DataFrame:
+    """post_id, original_comments, kept_comments of each post that passes: its top-level comments, and those of them that pass."""
+    judged_posts, judged = judged_texts(posts, comments, limits)
+    return _stats(judged_posts, comments, judged)
 
 
 def prepared(posts: DataFrame, comments: DataFrame, limits: Gate = RELAXED, capacity: int = CAPACITY) -> DataFrame:
-    """Batches ready for a model: batch_index, post_count, original_tokens, text_for_llm, compressed_tokens."""
-    good, kept = filtered(posts, comments, limits)
-    texts = render.with_text(good, kept).withColumn("tokens", batching.estimated_tokens(F.col("post_text")))
-    placed = batching.packed(texts.select("seq", "tokens"), capacity)
-    return render.batch_texts(placed, texts).withColumn("compressed_tokens", batching.estimated_tokens(F.col("text_for_llm")))
+    """Batches ready for a model: batch_index, post_count, original_tokens, text_for_llm, compressed_tokens, tokens_saved, percent_saved. Posts are packed by the tokens of their
+    indented JSON with comments and filter counts; the compact text is what a batch holds."""
+    judged_posts, judged = judged_texts(posts, comments, limits)
+    good, kept = _kept(judged_posts, judged)
+    kept = cut(kept, "kept-comments")
+    whole = with_filter_stats(render.with_text(good, kept), _stats(judged_posts, comments, judged))
+    nested = tree.renest(kept).select(F.col("post_id").alias("__of"), F.col("comments").alias("__trees"))
+    whole = whole.join(nested, F.col("post_id").cast("string") == F.col("__of"), "left")
+    json = render.post_json(F.col("__trees"), F.col("_filter_stats"))
+    texts = cut(whole.select("seq", "post_text", batching.estimated_tokens(batching.pretty_json(json)).alias("tokens")), "post-texts")
+    batches = render.batch_texts(batching.packed(texts.select("seq", "tokens"), capacity), texts)
+    batches = batches.withColumn("compressed_tokens", batching.estimated_tokens(F.col("text_for_llm")))
+    saved, percent = batching.savings(F.col("original_tokens"), F.col("compressed_tokens"))
+    return batches.withColumn("tokens_saved", saved).withColumn("percent_saved", percent)
 
 
 def graph_of(batches: DataFrame, backend: backends.Backend | None = None) -> tuple[DataFrame, DataFrame]:

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CAPACITY, RELAXED
+from ..config import CAPACITY, RELAXED, Gate
 from ..functions import text as T
 from ..functions.repair import mended
 from ..operators import backends, batching, dedup, gate, graph, render, reports, tree
+from ..sources import readers, sinks
 from . import flow, tables
 
+#: The gate with exact copies only, which SQL can say too: no similarity is above 1.
+EXACT = Gate(similarity=1.0)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -183,36 +187,82 @@ def exact_dedup(spark, d):
     return dedup.exact_dedup(_docs(spark, d), "text", "doc_id").select("doc_id")
 
 
-_OK_FIRST = f"WITH {_GATED}, first AS (SELECT min(doc_id) AS doc_id FROM (SELECT doc_id, lower(c) AS f FROM gated WHERE reason IS NULL) GROUP BY f), final AS (SELECT g.doc_id, coalesce(g.reason, CASE WHEN f.doc_id IS NULL THEN 'duplicate_post' END) AS reason FROM gated g LEFT JOIN first f USING (doc_id))"
+# posts and their top-level comments in order, each looked at once with what was kept before it
+_SEQUENCE = f"""{_POSTS}, feature AS MATERIALIZED ({_features('post', 'doc_id, score, age, karma, source, lang', 'text')}), gated AS MATERIALIZED (SELECT *, {_reason(15, _META)} AS reason FROM feature),
+  {_JUDGED_TURNS.replace("cj AS (", "cj AS MATERIALIZED (")},
+  item AS MATERIALIZED (SELECT row_number() OVER (ORDER BY seq, at_) AS rn, seq, at_, f FROM (
+    SELECT doc_id AS seq, 0 AS at_, md5(lower(c)) AS f FROM gated WHERE reason IS NULL
+    UNION ALL SELECT conv_id, 1, md5(lower(cj.c)) FROM cj JOIN gated g ON g.doc_id = cj.conv_id WHERE turn = 0 AND cj.reason IS NULL AND g.reason IS NULL)),
+  walk AS (SELECT CAST(0 AS BIGINT) AS rn, CAST(-1 AS BIGINT) AS seq, 0 AS at_, CAST([] AS VARCHAR[]) AS seen, false AS head, false AS ok
+    UNION ALL SELECT rn, seq, at_, CASE WHEN ok THEN list_append(seen, f) ELSE seen END, CASE WHEN at_ = 0 THEN ok ELSE head END, ok
+    FROM (SELECT i.rn, i.seq, i.at_, i.f, w.seen, w.head, (i.at_ = 0 OR w.head) AND NOT list_contains(w.seen, i.f) AS ok FROM walk w JOIN item i ON i.rn = w.rn + 1)),
+  kept AS MATERIALIZED (SELECT seq, at_ FROM walk WHERE ok),
+  final AS MATERIALIZED (SELECT g.doc_id, coalesce(g.reason, CASE WHEN k.seq IS NULL THEN 'duplicate_post' END) AS reason FROM gated g LEFT JOIN kept k ON k.seq = g.doc_id AND k.at_ = 0)"""
+
+
+def _both(spark, d):
+    return tables.posts(spark, d), tables.comments(spark, d)
+
 
+def _summary(reasons):
+    return reasons.agg(F.count("*").alias("total_posts"), F.count_if(F.col("reason").isNull()).alias("kept_posts"), F.count_if(F.col("reason").isNotNull()).alias("rejected_posts"))
 
-def _final_reasons(spark, d):
-    return flow.final_reasons(tables.posts(spark, d), tables.comments(spark, d))
 
+def _histogram(reasons):
+    return reasons.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
 
-@query(f"{_OK_FIRST} SELECT count(*) AS total_posts, count(*) FILTER (reason IS NULL) AS kept_posts, count(*) FILTER (reason IS NOT NULL) AS rejected_posts FROM final")
+
+def _post_stats(stats):
+    return stats.withColumn("post_id", F.col("post_id").cast("long"))
+
+
+@query()
 def filter_summary(spark, d):
-    return _final_reasons(spark, d).agg(F.count("*").alias("total_posts"), F.count_if(F.col("reason").isNull()).alias("kept_posts"), F.count_if(F.col("reason").isNotNull()).alias("rejected_posts"))
+    return _summary(flow.final_reasons(*_both(spark, d)))
 
 
-@query(f"{_OK_FIRST} SELECT reason, count(*) AS n FROM final WHERE reason IS NOT NULL GROUP BY reason")
+@query()
 def rejection_histogram(spark, d):
-    return _final_reasons(spark, d).where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
+    return _histogram(flow.final_reasons(*_both(spark, d)))
 
 
-@query(f"WITH RECURSIVE {_SURVIVING} SELECT c.conv_id AS post_id, count(*) AS original_comments, count(a.turn) AS kept_comments FROM cj c LEFT JOIN alive a USING (conv_id, turn) GROUP BY 1")
+@query()
 def per_post_stats(spark, d):
-    judged = gate.gated_comments(tables.comments(spark, d))
-    kept = tree.surviving(judged).groupBy("post_id").agg(F.count("*").alias("kept"))
-    counted = judged.groupBy("post_id").agg(F.count("*").alias("original_comments")).join(kept, "post_id", "left")
-    return counted.select(F.col("post_id").cast("long").alias("post_id"), "original_comments", F.coalesce("kept", F.lit(0)).alias("kept_comments"))
+    return _post_stats(flow.post_stats(*_both(spark, d)))
 
 
-@query(f"""WITH {_GATED}, first AS (SELECT min(doc_id) AS doc_id FROM (SELECT doc_id, lower(c) AS f FROM gated WHERE reason IS NULL) GROUP BY f), {_JUDGED_TURNS}
-  SELECT count(*) AS total_comments, count(*) FILTER (f.doc_id IS NOT NULL AND cj.reason IS NULL) AS kept_comments, count(*) FILTER (f.doc_id IS NULL OR cj.reason IS NOT NULL) AS rejected_comments
-  FROM cj LEFT JOIN first f ON f.doc_id = cj.conv_id WHERE turn = 0""")
+@query()
 def comment_summary(spark, d):
-    return flow.comment_summary(tables.posts(spark, d), tables.comments(spark, d))
+    return flow.comment_summary(*_both(spark, d))
+
+
+@query(f"WITH RECURSIVE {_SEQUENCE} SELECT count(*) AS total_posts, count(*) FILTER (reason IS NULL) AS kept_posts, count(*) FILTER (reason IS NOT NULL) AS rejected_posts FROM final")
+def filter_summary_exact(spark, d):
+    return _summary(flow.final_reasons(*_both(spark, d), EXACT))
+
+
+@query(f"WITH RECURSIVE {_SEQUENCE} SELECT reason, count(*) AS n FROM final WHERE reason IS NOT NULL GROUP BY reason")
+def rejection_histogram_exact(spark, d):
+    return _histogram(flow.final_reasons(*_both(spark, d), EXACT))
+
+
+@query(f"""WITH RECURSIVE {_SEQUENCE} SELECT f.doc_id AS post_id, count(c.conv_id) AS original_comments, count(k.seq) AS kept_comments
+  FROM final f LEFT JOIN (SELECT * FROM cj WHERE turn = 0) c ON c.conv_id = f.doc_id LEFT JOIN kept k ON k.seq = f.doc_id AND k.at_ = 1 WHERE f.reason IS NULL GROUP BY 1""")
+def per_post_stats_exact(spark, d):
+    return _post_stats(flow.post_stats(*_both(spark, d), EXACT))
+
+
+@query(f"WITH RECURSIVE {_SEQUENCE} SELECT count(*) AS total_comments, count(k.seq) AS kept_comments, count(*) - count(k.seq) AS rejected_comments FROM cj LEFT JOIN kept k ON k.seq = cj.conv_id AND k.at_ = 1 WHERE turn = 0")
+def comment_summary_exact(spark, d):
+    return flow.comment_summary(*_both(spark, d), EXACT)
+
+
+@query(f"""WITH RECURSIVE {_SEQUENCE} SELECT cj.conv_id AS post_id, coalesce(cj.reason, CASE WHEN k.seq IS NULL THEN 'duplicate_comment' END) AS reason
+  FROM cj JOIN final f ON f.doc_id = cj.conv_id AND f.reason IS NULL LEFT JOIN kept k ON k.seq = cj.conv_id AND k.at_ = 1 WHERE turn = 0""")
+def comment_dedup(spark, d):
+    """Top-level comments of posts that pass, with the reason to reject them."""
+    judged = flow.judged_texts(*_both(spark, d), EXACT)[1].where("depth = 0 AND post_kept")
+    return judged.select(F.col("post_id").cast("long").alias("post_id"), "reason")
 
 
 @query()
@@ -266,10 +316,21 @@ def renest_comments(spark, d):
 
 # ---- batches ----
 def _texts(spark, d):
-    return render.with_text(tables.posts(spark, d)).withColumn("tokens", batching.estimated_tokens(F.col("post_text")))
+    texts = render.with_text(tables.posts(spark, d))
+    return texts.withColumn("tokens", batching.estimated_tokens(batching.pretty_json(render.post_json())))
 
 
-_T = f"{_POSTS}, txt AS (SELECT doc_id, {_TEXT} AS t FROM post), tok AS (SELECT doc_id, t, CAST(ceil(length(t) / 4) AS BIGINT) AS tokens FROM txt)"
+_JSON_FIELDS = (("post_id", "doc_id"), ("author", "source"), ("title", "lang"), ("score", "score"), ("selftext", "text"), ("author_account_age_days", "age"), ("author_comment_karma", "karma"))
+_JSON = "'{' || chr(10) || " + " || ".join(f"""'  "{k}": ' || coalesce(CAST(to_json({v}) AS VARCHAR), 'null') || ',' || chr(10)""" for k, v in _JSON_FIELDS) + """ || '  "comments": []' || chr(10) || '}'"""
+_T = f"{_POSTS}, txt AS (SELECT doc_id, {_TEXT} AS t, {_JSON} AS j FROM post), tok AS MATERIALIZED (SELECT doc_id, t, CAST(ceil(length(j) / 4) AS BIGINT) AS tokens FROM txt)"
+# best fit decreasing, an item at a time: bins holds what is left of each
+_PLACED = f"""{_T}, item AS MATERIALIZED (SELECT row_number() OVER (ORDER BY tokens DESC, doc_id) AS rn, doc_id, tokens FROM tok WHERE tokens <= {CAPACITY}),
+  bfd AS (SELECT CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS bin, CAST([] AS BIGINT[]) AS bins
+    UNION ALL SELECT rn, CASE WHEN best IS NULL THEN len(bins) + 1 ELSE list_position(bins, best) END,
+      CASE WHEN best IS NULL THEN list_append(bins, {CAPACITY} - tokens) ELSE list_transform(bins, lambda x, i: CASE WHEN i = list_position(bins, best) THEN x - tokens ELSE x END) END
+    FROM (SELECT i.rn, i.tokens, b.bins, list_min(list_filter(b.bins, lambda x: x >= i.tokens)) AS best FROM bfd b JOIN item i ON i.rn = b.rn + 1)),
+  placed AS MATERIALIZED (SELECT i.doc_id AS seq, i.tokens, CAST(b.bin AS INTEGER) AS batch_index, row_number() OVER (PARTITION BY b.bin ORDER BY b.rn) - 1 AS pos FROM bfd b JOIN item i ON i.rn = b.rn)"""
+_BATCHES = f"{_PLACED}, bt AS (SELECT batch_index, count(*) AS post_count, CAST(sum(p.tokens) AS BIGINT) AS original_tokens, string_agg(t, chr(10) ORDER BY pos) AS text_for_llm FROM placed p JOIN tok ON doc_id = seq GROUP BY 1)"
 
 
 @query(f"WITH {_T} SELECT doc_id, tokens FROM tok")
@@ -286,19 +347,19 @@ def _placed(spark, d):
     return batching.packed(_texts(spark, d).select("seq", "tokens"))
 
 
-@query()
+@query(f"WITH RECURSIVE {_PLACED} SELECT seq, tokens, batch_index, pos FROM placed")
 def bfd_batches(spark, d):
     return _placed(spark, d).select("seq", "tokens", "batch_index", "pos")
 
 
-@query()
+@query(f"WITH RECURSIVE {_PLACED} SELECT batch_index, CAST(sum(tokens) AS BIGINT) AS total_tokens, count(*) AS post_count, string_agg(CAST(seq AS VARCHAR), ',' ORDER BY pos) AS posts FROM placed GROUP BY 1")
 def batch_rollup(spark, d):
-    return batching.rolled_up(_placed(spark, d))
+    return batching.rolled_up(_placed(spark, d)).withColumn("posts", F.array_join(F.col("posts").cast("array<string>"), ","))
 
 
-@query()
+@query(f"WITH RECURSIVE {_PLACED} SELECT count(DISTINCT batch_index) AS batches, CAST(sum(tokens) AS BIGINT) AS tokens, round(sum(tokens) * 100.0 / (count(DISTINCT batch_index) * {CAPACITY}), 6) AS utilisation FROM placed")
 def utilisation(spark, d):
-    return batching.utilisation(_placed(spark, d))
+    return batching.utilisation(_placed(spark, d)).withColumn("utilisation", _r(F.col("utilisation")))
 
 
 @query(f"WITH {_T} SELECT doc_id, t AS post_text FROM tok")
@@ -315,16 +376,19 @@ def comment_blocks(spark, d):
     return render.comment_blocks(tables.comments(spark, d)).withColumn("post_id", F.col("post_id").cast("long"))
 
 
-@query()
+@query(f"WITH RECURSIVE {_BATCHES} SELECT batch_index, post_count, original_tokens, text_for_llm FROM bt")
 def batch_text(spark, d):
     texts = _texts(spark, d)
     return render.batch_texts(batching.packed(texts.select("seq", "tokens")), texts)
 
 
-@query(f"WITH {_T}, s AS (SELECT doc_id, CAST(ceil(length(text) / 4) AS BIGINT) AS compressed, tokens AS original FROM tok JOIN documents USING (doc_id)) SELECT doc_id, original - compressed AS saved, round(coalesce((original - compressed) * 100.0 / nullif(original, 0), 0), 6) AS percent FROM s")
+@query(f"WITH RECURSIVE {_BATCHES} SELECT batch_index, original_tokens - CAST(ceil(length(text_for_llm) / 4) AS BIGINT) AS saved, round((original_tokens - ceil(length(text_for_llm) / 4)) * 100.0 / nullif(original_tokens, 0), 6) AS percent FROM bt")
 def savings(spark, d):
-    saved, percent = batching.savings(F.col("tokens").cast("long"), batching.estimated_tokens(F.col("selftext")).cast("long"))
-    return _texts(spark, d).select(F.col("seq").alias("doc_id"), saved.alias("saved"), _r(percent).alias("percent"))
+    """Of each batch, what its compact text saves against the JSON of its posts."""
+    texts = _texts(spark, d)
+    batches = render.batch_texts(batching.packed(texts.select("seq", "tokens")), texts)
+    saved, percent = batching.savings(F.col("original_tokens"), batching.estimated_tokens(F.col("text_for_llm")).cast("long"))
+    return batches.select("batch_index", saved.alias("saved"), _r(percent).alias("percent"))
 
 
 @query()
@@ -490,14 +554,49 @@ def lens_matrix(spark, d):
     return reports.lens_prompts(graph.summary_lines(graph.top_edges(_edges(spark, d), _vertices(spark, d), 50))).select("place", "lens", "system")
 
 
-@query()
-def lens_reports(spark, d):
+# what the rule backend answers: counts of lines, the first of them
+_REPORTS = f"""{_REL}, t AS ({_TOPV} 50), line AS (SELECT row_number() OVER (ORDER BY weight DESC, source, target) AS rn, source || ' (' || s_type || ') --[' || relation || ']--> ' || target || ' (' || t_type || ')' AS line FROM t),
+  said AS (SELECT (SELECT count(*) FROM line) AS n, (SELECT line FROM line WHERE rn = 1) AS first),
+  report AS (SELECT place, lens, n || ' relations.' AS summary, coalesce(first, 'N/A') AS key_insight, CASE WHEN n > 40 THEN 'High' WHEN n > 10 THEN 'Medium' ELSE 'Low' END AS risk_level, 'N/A' AS prediction,
+    CAST(NULL AS VARCHAR) AS raw_analysis, CAST(NULL AS VARCHAR) AS error FROM (VALUES {_LENS}) AS l(place, lens, role, focus), said)"""
+_SECTION = "'--- ' || upper(lens) || ' LENS ---' || chr(10) || 'Risk Level: ' || risk_level || chr(10) || 'Summary: ' || summary || chr(10) || 'Key Insight: ' || key_insight"
+
+
+def _lens_reports(spark, d):
     return flow.report_of(_vertices(spark, d), _edges(spark, d))
 
 
-@query()
+@query(f"WITH {_REPORTS} SELECT * FROM report")
+def lens_reports(spark, d):
+    return _lens_reports(spark, d)
+
+
+@query(f"WITH {_REPORTS} SELECT string_agg({_SECTION}, chr(10) ORDER BY place) AS context FROM report")
 def scenario_context(spark, d):
-    return reports.scenario_context(flow.report_of(_vertices(spark, d), _edges(spark, d)))
+    return reports.scenario_context(_lens_reports(spark, d))
+
+
+def _scenario(spark, d):
+    return reports.scenario(reports.scenario_context(_lens_reports(spark, d)))
+
+
+_LEVEL = ", ".join(f"'{k} risk' AS {c}_name, 100 * count(*) FILTER (risk_level = '{k}') // count(*) || '%' AS {c}_probability, count(*) FILTER (risk_level = '{k}') || ' of ' || count(*) || ' analyses say {k}.' AS {c}_description" for c, k in zip("abc", ("High", "Medium", "Low")))
+
+
+@query(f"WITH {_REPORTS} SELECT min(key_insight) AS topic, 'N/A' AS past, count(*) || ' analyses.' AS now, {_LEVEL} FROM report")
+def scenario_report(spark, d):
+    """The scenario report on the lens reports, as a dashboard shows it."""
+    return reports.report_view(_scenario(spark, d))
+
+
+@query(f"WITH {_REPORTS} SELECT CAST(row_number() OVER (ORDER BY risk_level) AS INTEGER) AS number, risk_level AS signal FROM (SELECT DISTINCT risk_level FROM report)")
+def scenario_signals(spark, d):
+    return reports.report_signals(_scenario(spark, d))
+
+
+@query(f"WITH {_REPORTS} SELECT lens, left(summary, 300) || '...' AS preview FROM report")
+def lens_previews(spark, d):
+    return reports.report_previews(_lens_reports(spark, d))
 
 
 @query("SELECT 'Unknown Event' AS topic, 'N/A' AS past, 'now' AS now, 'x' AS a_name, 'N/A' AS a_probability, 'No description available' AS a_description, 'N/A' AS b_name, 'N/A' AS b_probability, 'No description available' AS b_description, 'N/A' AS c_name, 'N/A' AS c_probability, 'No description available' AS c_description")
@@ -556,3 +655,57 @@ def stream_gate(spark, d):
     out = shared_path(spark, "stream-gate")
     live.select("doc_id", "reason").writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("doc_id long, reason string").parquet(f"{out}/rows")
+
+
+# ---- files ----
+@query("SELECT doc_id AS post_id, CAST(coalesce(q, 0) AS BIGINT) AS score, md5(coalesce(text, '')) AS text_md5, coalesce(n, 0) AS n_comments FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY 1) l USING (doc_id) LEFT JOIN (SELECT conv_id AS doc_id, count(*) AS n FROM conversations GROUP BY 1) c USING (doc_id)")
+def json_lines_source(spark, d):
+    """Posts with their comment trees, written as JSON lines, read again and flattened."""
+    trees = tree.renest(tables.comments(spark, d)).select(F.col("post_id").cast("long").alias("post_id"), "comments")
+    posts = tables.posts(spark, d).join(trees, "post_id", "left")
+    sinks.write_text_lines(posts.select(render.post_json(F.col("comments")).alias("value")), path := sinks.shared_path(spark, "posts-json"))
+    read = readers.json_posts(spark, path, lines=True)
+    n = tree.flatten_comments(read).groupBy("post_id").agg(F.count("*").alias("n"))
+    read = read.select(F.col("post_id").cast("long").alias("post_id"), "score", F.md5(F.coalesce("selftext", F.lit(""))).alias("text_md5"))
+    return read.join(n.withColumn("post_id", F.col("post_id").cast("long")), "post_id", "left").withColumn("n_comments", F.coalesce("n", F.lit(0))).drop("n")
+
+
+@query("SELECT row_number() OVER (ORDER BY item_id) - 1 AS seq, CAST(item_id AS VARCHAR) AS post_id, text AS selftext FROM benchmark")
+def json_array_source(spark, d):
+    """Items written as one JSON array, and read again as posts."""
+    items = tables.read(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("post_id"), F.col("text").alias("selftext"), "item_id")
+    sinks.write_text(sinks.json_array(items, "item_id"), path := sinks.shared_path(spark, "posts-array"))
+    return readers.json_posts(spark, path).select("seq", "post_id", "selftext")
+
+
+@query(f"WITH {_REL} SELECT e.source, e.target, weight, s.type AS s_type FROM edge e JOIN vertex s ON s.name = e.source")
+def graph_files(spark, d):
+    """The graph, written and read again."""
+    sinks.write_graph(_vertices(spark, d), _edges(spark, d), path := sinks.shared_path(spark, "graph"))
+    vertices, edges = readers.graph(spark, path)
+    return edges.join(vertices.select(F.col("name").alias("source"), F.col("type").alias("s_type")), "source").select("source", "target", "weight", "s_type")
+
+
+@query("SELECT event_id // 100 AS batch_index, count(*) AS n, CASE WHEN (event_id // 100) % 2 = 0 THEN 'new' ELSE 'old' END AS version FROM events GROUP BY ALL")
+def upsert_files(spark, d):
+    """Batches written, then half of them again in a new version."""
+    rows = tables.relations(spark, d).groupBy("batch_index").agg(F.count("*").alias("n"))
+    sinks.upsert_batches(None, rows.withColumn("version", F.lit("old")), first := sinks.shared_path(spark, "batches"))
+    sinks.upsert_batches(spark.read.parquet(first), rows.where("batch_index % 2 = 0").withColumn("version", F.lit("new")), second := sinks.shared_path(spark, "batches"))
+    return spark.read.parquet(second)
+
+
+@query(f"WITH {_REPORTS} SELECT lens, summary, key_insight, risk_level, prediction, raw_analysis, error FROM report")
+def lens_report_file(spark, d):
+    """The lens reports, written as one JSON object by lens and read again."""
+    sinks.write_text(sinks.json_object(_lens_reports(spark, d).drop("place"), "lens"), path := sinks.shared_path(spark, "lenses"))
+    return readers.lens_report(spark, path)
+
+
+@query("SELECT name AS id, name AS label, type, mentions, CASE type WHEN 'Person' THEN '#5B8FF9' WHEN 'Product' THEN '#F6BD16' WHEN 'Organization' THEN '#5AD8A6' WHEN 'Concept' THEN '#E86452' WHEN 'Location' THEN '#6DC8EC' WHEN 'Event' THEN '#945FB9' ELSE '#666' END AS colour, round(30 + (greatest(1, least(10, mentions)) - 1) * 50 / 9.0, 6) AS width FROM (SELECT event_type AS name, CASE event_type WHEN 'view' THEN 'Concept' WHEN 'signup' THEN 'Person' WHEN 'purchase' THEN 'Organization' ELSE 'Event' END AS type, count(*) AS mentions FROM events GROUP BY 1)")
+def page_nodes(spark, d):
+    """Nodes of the offline page: event types by their counts."""
+    e = tables.read(spark, d, "events")
+    kind = F.when(F.col("event_type") == "view", "Concept").when(F.col("event_type") == "signup", "Person").when(F.col("event_type") == "purchase", "Organization").otherwise("Event")
+    nodes = e.groupBy(F.col("event_type").alias("name"), kind.alias("type")).agg(F.count("*").alias("mentions"))
+    return graph.element_nodes(nodes).withColumn("width", _r(F.col("width")))

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.tree import chains
+from ..sources.readers import dealt_out
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt_out(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

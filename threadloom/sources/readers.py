@@ -13,7 +13,7 @@ POST = "post_id string, author string, title string, score long, selftext string
 def json_posts(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     """Posts with `seq` and the comment trees as JSON text (`comments`), from files that hold one array of posts each, or one post a line.
 
-    A file of one array is one value to parse, so a large corpus should come as lines; unknown fields stay in `raw`.
+    A file of one array is one value to parse, so a large corpus should come as lines; unknown fields stay in `raw`. seq goes by files in order of their names, and by place in the file.
     """
     text = spark.read.text(path, wholetext=not lines).select("value", F.input_file_name().alias("file"))
     if lines:
@@ -24,8 +24,17 @@ def json_posts(spark: SparkSession, path: str, *, lines: bool = False) -> DataFr
     get = lambda field, kind: F.try_variant_get("v", f"$.{field}", kind).alias(field)
     fields = [get(n, k) for n, k in (c.split() for c in POST.split(", ")[:-1])]
     comments = F.to_json(F.try_variant_get("v", "$.comments", "variant")).alias("comments")
-    seq = F.col("pos") if lines else F.dense_rank().over(Window.orderBy("file")).cast("long") * 10_000_000 + F.col("pos")
-    return rows.select(seq.alias("seq"), *fields, comments, F.to_json("v").alias("raw"))
+    if not lines:
+        counts = rows.groupBy("file").agg(F.count("*").alias("n"))  # a row for each file
+        before = counts.select(F.col("file").alias("of_file"), (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+        rows = rows.join(before, F.col("file") == F.col("of_file")).withColumn("pos", F.col("before") + F.col("pos"))
+    return rows.select(F.col("pos").alias("seq"), *fields, comments, F.to_json("v").alias("raw"))
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """df, dealt out to all cores if it stands in fewer files than there are: a file of one row group is one task, however many cores are free."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def parquet_posts(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import json
+import re
 import tempfile
 import uuid
 
@@ -13,25 +14,57 @@ from pyspark.sql import functions as F
 from ..operators.graph import upsert_latest
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir). Where none is set, a folder of this machine if the master is local, as in tests; else this raises, since
+    executors do not see each other's folders."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
+        found = "file://" + tempfile.mkdtemp(prefix="threadloom-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir); on this machine only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="threadloom-")
-    return f"{folder.rstrip('/')}/threadloom/{uuid.uuid4().hex}-{name}"
+    """A fresh path in the folder that driver and executors share."""
+    return f"{shared_dir(spark)}/threadloom/{uuid.uuid4().hex}-{name}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read again: cuts the lineage, and survives the loss of executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def json_array(df: DataFrame, order: str) -> str:
-    """A small table as one JSON array, for files that other tools read whole."""
-    rows = df.agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.to_json(F.struct("*")).alias("j")))), lambda x: x["j"]).alias("rows")).first()
-    return "[" + ",\n".join(rows.rows) + "]"
+def json_array(df: DataFrame, order: str) -> DataFrame:
+    """One row, `value`: a small table as one JSON array, for files that other tools read whole."""
+    rows = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.to_json(F.struct("*")).alias("j")))), lambda x: x["j"])
+    return df.agg(F.concat(F.lit("["), F.array_join(rows, ",\n"), F.lit("]")).alias("value"))
+
+
+def write_text(one: DataFrame, path: str) -> None:
+    """One row of text as a file of its own."""
+    one.coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_text_lines(rows: DataFrame, path: str) -> None:
+    """A text column as lines."""
+    rows.write.mode("overwrite").text(path)
 
 
-def json_object(df: DataFrame, key: str) -> str:
-    """A small table as one JSON object by a column."""
-    return json.dumps({r[key]: {k: v for k, v in r.asDict(recursive=True).items() if k != key and v is not None} for r in df.collect()}, ensure_ascii=False, indent=4)
+def json_object(df: DataFrame, key: str) -> DataFrame:
+    """One row, `value`: a small table as one JSON object by a column; nulls are left out."""
+    own = F.to_json(F.struct(*(c for c in df.columns if c != key)))
+    member = F.concat(F.to_json(F.array(F.col(key).cast("string"))), F.lit(": "), own)
+    rows = F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), member.alias("m")))), lambda x: F.regexp_replace(x["m"], r"^\[(\".*?\")\]: ", "$1: "))
+    return df.agg(F.concat(F.lit("{"), F.array_join(rows, ",\n"), F.lit("}")).alias("value"))
 
 
 def write_graph(vertices: DataFrame, edges: DataFrame, folder: str) -> None:

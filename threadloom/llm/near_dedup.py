@@ -244,17 +244,20 @@ def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col
     large = member.where(F.col("n") > SMALL).select("bucket", "node")
     if large.isEmpty():
         return found
+    open_ = _open(large, found)
+    if open_.isEmpty():
+        return found
+    ids = cut(open_.select("node").distinct(), "open-ids")
+    sets = cut(sets.join(small(ids, ids.count()), "node", "left_semi"), "open-sets")  # open members only grow fewer
     for i in range(ROUNDS):
-        open_ = _open(large, found)
-        if open_.isEmpty():
-            return found
         further = open_.where("component <> main").groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(CENTRES + i)), F.col("node").alias("centre"), F.col("component").alias("of"))).alias("c")).select("bucket", "c.centre", "c.of")
         stars = open_.join(further, "bucket").where(F.col("component") != F.col("of")).select(*ends("node", "centre")).distinct()
         more = cut(confirmed(stars, sets, percent), "more-links")
-        found = found if more.isEmpty() else extended(found, more)
-    open_ = _open(large, found)
-    if open_.isEmpty():
-        return found
+        if not more.isEmpty():
+            found = extended(found, more)
+            open_ = _open(large, found)
+            if open_.isEmpty():
+                return found
     more = cut(_blocks(open_, nodes, sets).groupBy("bucket", "ask_block", "block").applyInArrow(_block_links(percent), "a long, b long"), "more-links")
     return found if more.isEmpty() else extended(found, more)
 

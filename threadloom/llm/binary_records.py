@@ -31,6 +31,8 @@ MAGIC, INDEX_MAGIC, VERSION = b"TLRC", b"TLRCIDX1", 1
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("ids", "<u8")])
 #: A shard is closed once it is this large.
 SHARD_BYTES = 64 << 20
+#: Bytes of text of a range of ids about, so that a task's share stays the same when the input grows.
+RANGE_BYTES = 64 << 20
 MANIFEST = "part int, roll int, path string, n_docs long, n_tokens long, n_bytes long"
 
 
@@ -117,7 +119,9 @@ def write_records(docs: DataFrame, path: str, *, folder: str | None = None, end_
     """
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "records")
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not partitions:
+        n_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // RANGE_BYTES))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange(partitions, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
@@ -147,7 +151,9 @@ def read_records(manifest: DataFrame, *, with_ids: bool = False) -> DataFrame:
     """
     ordered = Window.orderBy("part", "roll").rowsBetween(Window.unboundedPreceding, -1)
     shards = manifest.withColumn("before", F.coalesce(F.sum("n_tokens").over(ordered), F.lit(0)))
-    shards = shards.select("path", "before").repartition(max(1, manifest.count()))
+    # a task reads some shards one after another
+    most = 4 * int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards.select("path", "before").repartition(max(1, min(most, manifest.count())))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

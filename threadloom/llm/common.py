@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import string
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import cut
+from ..sources.sinks import shared_path as fresh_path
+
+__all__ = ["BATCH_ROWS", "CHUNK", "WORD", "ascii_lower", "cut", "fresh_path", "in_fold", "map_batches", "small"]
+
 #: Words of the contracts: runs of ASCII digits, ASCII letters and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Runs of anything but ASCII white space.
@@ -21,26 +24,6 @@ BATCH_ROWS = 256
 BROADCAST_ROWS = 500_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one of this machine only where none is set, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="threadloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/threadloom/{uuid.uuid4().hex}-{name}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again: cuts the lineage, and survives the loss of executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int) -> DataFrame:
     """df with a broadcast hint if its counted rows are few; as it is, for a shuffled join, beyond that."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -21,19 +21,22 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: A line stands for itself, or for its tokens with fields (those with a digit) left open if three others are there; a long line also for each half of its positions. Lines of one word
+#: count from ten documents on, unless they are long and in a script without spaces.
 OP4 = r"""
 WITH line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS at_ FROM documents WHERE text IS NOT NULL),
 token AS (SELECT *, list_filter(string_split_regex(lower(line), '[\t-\r\x1c-\x1f\x{85}\p{Z}]+'), lambda x: x <> '') AS raw FROM line),
-general AS (SELECT *, list_transform(raw, lambda x: CASE WHEN regexp_matches(x, '\p{Nd}') THEN '<*>' ELSE x END) AS g FROM token WHERE len(raw) >= 4),
-counted AS (SELECT doc_id, at_, len(raw) AS n, len(list_filter(g, lambda x: x <> '<*>')) AS literal, CASE WHEN len(list_filter(g, lambda x: x <> '<*>')) >= 3 THEN g ELSE raw END AS t FROM general),
+general AS (SELECT *, list_transform(raw, lambda x: CASE WHEN regexp_matches(x, '\p{Nd}') THEN '<*>' ELSE x END) AS g FROM token WHERE len(raw) >= 1),
+counted AS (SELECT doc_id, at_, len(raw) AS n, len(list_filter(g, lambda x: x <> '<*>')) AS literal, CASE WHEN len(list_filter(g, lambda x: x <> '<*>')) >= 3 THEN g ELSE raw END AS t,
+  len(raw) = 1 AND length(regexp_replace(raw[1], '[^\x{0e00}-\x{0fff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}]', '', 'g')) < 8 AS word FROM general),
 part AS (
-  SELECT doc_id, at_, n, t, 'all' AS kind, t AS p FROM counted
+  SELECT doc_id, at_, n, t, CASE WHEN word THEN 'word' ELSE 'all' END AS kind, t AS p FROM counted
   UNION ALL SELECT doc_id, at_, n, t, 'front', t[1:(n + 1) // 2] FROM counted WHERE n >= 12 AND literal >= 5
   UNION ALL SELECT doc_id, at_, n, t, 'back', t[(n + 1) // 2 + 1:n] FROM counted WHERE n >= 12 AND literal >= 5
   UNION ALL SELECT doc_id, at_, n, t, 'even', t[1:n:2] FROM counted WHERE n >= 12 AND literal >= 5
   UNION ALL SELECT doc_id, at_, n, t, 'odd', t[2:n:2] FROM counted WHERE n >= 12 AND literal >= 5),
-keyed AS (SELECT doc_id, at_, n || chr(10) || t[1] || chr(10) || t[2] || chr(10) || kind || chr(10) || array_to_string(p, ' ') AS key FROM part WHERE kind = 'all' OR len(list_filter(p, lambda x: x <> '<*>')) >= 5),
-recurring AS (SELECT key, min(doc_id) AS first FROM keyed GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+keyed AS (SELECT doc_id, at_, kind, n || chr(10) || t[1] || chr(10) || coalesce(t[2], '') || chr(10) || kind || chr(10) || array_to_string(p, ' ') AS key FROM part WHERE kind IN ('all', 'word') OR len(list_filter(p, lambda x: x <> '<*>')) >= 5),
+recurring AS (SELECT key, min(doc_id) AS first FROM keyed GROUP BY key, kind HAVING count(DISTINCT doc_id) >= CASE WHEN kind = 'word' THEN 10 ELSE 2 END),
 lost AS (SELECT DISTINCT k.doc_id, k.at_ FROM keyed k JOIN recurring r ON r.key = k.key WHERE r.first <> k.doc_id),
 kept AS (SELECT l.doc_id, count(*) AS n_lines, count(x.at_) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY l.at_) FILTER (x.at_ IS NULL), '') AS clean
   FROM line l LEFT JOIN lost x ON x.doc_id = l.doc_id AND x.at_ = l.at_ GROUP BY l.doc_id)

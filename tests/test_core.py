@@ -278,6 +278,47 @@ def test_page_escapes(spark):
     assert page.count("</script>") == 1 and "a&lt;" in page
 
 
+def test_network_page(spark):
+    edges = graph.render_edges(graph.undirected(graph.edge_merge(merge_rows(spark))))
+    assert {(r.a, r.b, r.title, r.value) for r in edges.collect()} == {("A", "A", "r4", 1.0), ("A", "B", "r2", 1.0)}
+    nodes = spark.createDataFrame([("A", "A</script>", "#fff", 25.0), ("B", "B", "#fff", 75.0)], "name string, title string, colour string, size double")
+    page = sinks.network_page(nodes, edges, push=10.0)
+    data = json.loads(page.split("id=data>")[1].split("</script>")[0])
+    assert page.count("</script>") == 2 and data["nodes"][0]["title"] == "A</script>" and data["physics"]["push"] == 10.0 and data["physics"]["steps"] == sinks.PHYSICS["steps"]
+
+
+def test_streams(spark, tmp_path):
+    from threadloom.streaming import gate as stream
+
+    rows = spark.createDataFrame([(i, f"2024-01-01 0{i}:00:00", t) for i, t in enumerate([LONG, LONG.upper(), "short", LONG + " more"])], "doc_id long, time string, text string").withColumn("time", F.to_timestamp("time"))
+    rows.write.parquet(str(tmp_path / "in"))
+    live = lambda: spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+
+    def run(df, name, mode="append"):
+        df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / name)).start().awaitTermination()
+        return spark.table(name).collect()
+
+    firsts = {r.text for r in run(stream.first_texts(live(), "time"), "firsts")}
+    assert len(firsts) == 3 and {"short", LONG + " more"} < firsts
+    counts = run(stream.windowed_reasons(stream.gated(live()), "time", "12 hours"), "reasons", "complete")
+    assert sum(r["count"] for r in counts) == 4
+    typed = merge_rows(spark)
+    merge = stream.merge_into_graph(str(tmp_path / "graph"))
+    for batch, part in ((0, typed.where("seq <= 2")), (1, typed.where("seq > 2")), (1, typed.where("seq > 2"))):
+        merge(part, batch)
+    edges = stream.edges_of(spark.read.parquet(str(tmp_path / "graph")))
+    assert {(r.source, r.target): (r.relation, r.weight) for r in edges.collect()} == {("A", "A"): ("r4", 1), ("A", "B"): ("r1", 2), ("B", "A"): ("r2", 1)}
+
+
+def test_tokens_by_a_rank_file(spark, tmp_path):
+    import base64
+
+    ranks = [bytes([i]) for i in range(256)] + [b"ab"]
+    (tmp_path / "ranks").write_text("\n".join(f"{base64.b64encode(t).decode()} {i}" for i, t in enumerate(ranks)))
+    count = batching.tiktoken_tokens(str(tmp_path / "ranks"), r"\S+|\s+")
+    assert [r.n for r in spark.createDataFrame([("ab ab",), ("",), (None,)], "t string").select(count("t").alias("n")).collect()] == [3, 0, 0]
+
+
 def test_json_source(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"post_id": "p", "score": 3, "selftext": "x", "comments": TREE, "other": 1}, {"post_id": "q"}]))
     rows = readers.json_posts(spark, str(tmp_path)).orderBy("seq").collect()

@@ -155,11 +155,6 @@ def linear(value: Column, low: float, high: float, to_low: float, to_high: float
     return F.lit(float(to_low)) + (F.greatest(F.lit(low), F.least(F.lit(high), value.cast("double"))) - low) * (to_high - to_low) / (high - low)
 
 
-def truthy(value: Column, default: Column) -> Column:
-    """The default for null, 0 and the empty string."""
-    return F.when(value.isNull() | (value.cast("string").isin("", "0", "0.0")), default).otherwise(value)
-
-
 def register(spark: SparkSession, gate: Gate = RELAXED) -> None:
     """Names these functions in SQL, as SQL functions over built-ins: word_count(text), url_count(text), emoji_runs(text), is_blocked_url(text), is_spam(text)."""
     quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"

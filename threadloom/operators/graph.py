@@ -141,6 +141,13 @@ def render_nodes(sizes: DataFrame, vertices: DataFrame) -> DataFrame:
     return rows.select("name", F.concat("name", F.lit("\nType: "), kind).alias("title"), kind.alias("kind"), _colour(kind, COLOURS, COLOURS["Unknown"]).alias("colour"), "size")
 
 
+def render_edges(edges: DataFrame) -> DataFrame:
+    """a, b, title (what is shown over it), label, weight and value (its width goes by it) of undirected edges to draw; a missing relation is shown as None."""
+    title = F.coalesce(F.col("relation"), F.lit("None"))
+    weight = F.coalesce(F.nullif(F.col("weight"), F.lit(0)), F.lit(1))
+    return edges.select("a", "b", title.alias("title"), title.alias("label"), weight.alias("weight"), weight.cast("double").alias("value"))
+
+
 def element_nodes(nodes: DataFrame) -> DataFrame:
     """id, label, type, mentions, colour, width of nodes (name, type, mentions) for the offline page."""
     mentions = F.coalesce("mentions", F.lit(1))

@@ -338,6 +338,11 @@ def token_counts(spark, d):
     return _texts(spark, d).select(F.col("seq").alias("doc_id"), F.col("tokens").cast("long").alias("tokens"))
 
 
+@query(f"WITH {_T} SELECT doc_id, tokens FROM tok WHERE tokens > 2000")
+def oversize_for_small_batches(spark, d):
+    return batching.oversize(_texts(spark, d), 2000).select(F.col("seq").alias("doc_id"), F.col("tokens").cast("long").alias("tokens"))
+
+
 @query(f"WITH {_T} SELECT doc_id, tokens FROM tok WHERE tokens > {CAPACITY}")
 def oversize_filter(spark, d):
     return batching.oversize(_texts(spark, d)).select(F.col("seq").alias("doc_id"), F.col("tokens").cast("long").alias("tokens"))
@@ -518,6 +523,16 @@ def render_elements(spark, d):
     return graph.element_edges(_top100(spark, d))
 
 
+@query(f"WITH {_REL} SELECT source, target, relation, weight FROM top ORDER BY weight DESC, source, target LIMIT 5")
+def sample_edges(spark, d):
+    return _top100(spark, d).orderBy(F.desc("weight"), "source", "target").limit(5).select("source", "target", "relation", "weight")
+
+
+@query(f"WITH {_REL} SELECT a, b, relation AS title, relation AS label, weight, CAST(weight AS DOUBLE) AS value FROM und")
+def render_edges(spark, d):
+    return graph.render_edges(graph.undirected(_top100(spark, d)))
+
+
 @query(f"WITH {_REL} SELECT name FROM strength ORDER BY name LIMIT 10")
 def sample_head(spark, d):
     return graph.node_strength(_top100(spark, d)).select("name").orderBy("name").limit(10)
@@ -536,7 +551,15 @@ def _extractions(spark, d):
     return backends.extract(_docs(spark, d).select(F.col("doc_id").cast("int").alias("batch_index"), F.col("text").alias("text_for_llm")))
 
 
-@query()
+# spans of capitalised words: \w is letters, numbers and the underscore
+_WORD = r"[\p{L}\p{N}_''-]"
+_SPAN = f"[A-ZÀ-Þ]{_WORD}*(?: [A-ZÀ-Þ]{_WORD}*)*"
+_ENDS = " ".join(f"WHEN string_split(lower(name), ' ')[-1] IN ({', '.join(repr(x) for x in ends)}) THEN '{kind}'" for kind, ends in backends.RuleBackend.KINDS)
+
+
+@query(f"""WITH s AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_SPAN}')) AS name FROM documents), c AS (SELECT doc_id, name, count(*) AS n FROM s GROUP BY ALL)
+  SELECT CAST(doc_id AS INTEGER) AS batch_index, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, name) - 1 AS INTEGER) AS pos, name,
+    CASE {_ENDS} WHEN length(name) - length(replace(name, ' ', '')) = 1 THEN 'Person' ELSE 'Concept' END AS type FROM c""")
 def extract_entities(spark, d):
     return backends.entities_of(_extractions(spark, d))
 
@@ -638,10 +661,10 @@ def edge_lines(spark, d):
     return _typed(spark, d).groupBy(line.alias("line")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_REL} SELECT 'completed' AS status, (SELECT count(DISTINCT batch_index) FROM rel0) AS total_batches_processed, count(*) FILTER (target IS NOT NULL) AS total_relations_added FROM rel0")
+@query(f"WITH {_REL} SELECT 'completed' AS status, (SELECT count(DISTINCT batch_index) FROM rel0) AS total_batches_processed, count(*) FILTER (target IS NOT NULL) AS total_relations_added, CAST(12.5 AS DOUBLE) AS duration_seconds, round(CAST(12.5 AS DOUBLE) / (SELECT count(DISTINCT batch_index) FROM rel0), 6) AS seconds_per_batch, 'backup' AS backup_file FROM rel0")
 def completion_summary(spark, d):
     relations = tables.relations(spark, d)
-    return flow.completion(relations.select("batch_index").distinct(), relations).select("status", "total_batches_processed", "total_relations_added")
+    return flow.completion(relations.select("batch_index").distinct(), relations, 12.5, "backup").withColumn("seconds_per_batch", _r(F.col("seconds_per_batch")))
 
 
 @query(f"WITH {_DOCS} SELECT doc_id, reason FROM judged")

@@ -83,3 +83,42 @@ def graph_page(nodes: DataFrame, edges: DataFrame, title: str = "Graph") -> str:
     data = json.dumps({"nodes": ns, "edges": es}, ensure_ascii=False).replace("</", "<\\/")
     rows = "".join(f"<tr><td>{html.escape(str(e['source']))}</td><td>{html.escape(str(e['reason']))}</td><td>{html.escape(str(e['target']))}</td><td>{e['weight']}</td></tr>" for e in es)
     return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><p>{len(ns)} nodes, {len(es)} edges</p><table>{rows}</table><script type=application/json id=data>{data}</script>"
+
+
+#: How the drawn network moves: how strongly nodes push, how long and stiff an edge is, how fast movement dies, and steps until it stands.
+PHYSICS = {"push": 2600.0, "length": 110.0, "stiffness": 0.04, "damping": 0.85, "steps": 300}
+_SCRIPT = """
+const d = JSON.parse(document.getElementById('data').textContent), p = d.physics, at = new Map();
+d.nodes.forEach((n, i) => at.set(n.name, Object.assign(n, {x: 450 + 300 * Math.cos(i * 2.4), y: 450 + 300 * Math.sin(i * 2.4), u: 0, v: 0})));
+const links = d.edges.filter(e => at.has(e.a) && at.has(e.b) && e.a !== e.b);
+for (let step = 0; step < p.steps; step++) {
+  for (const n of d.nodes) for (const m of d.nodes) if (n !== m) {
+    const dx = n.x - m.x, dy = n.y - m.y, far = Math.max(dx * dx + dy * dy, 25);
+    n.u += p.push * dx / far / Math.sqrt(far); n.v += p.push * dy / far / Math.sqrt(far);
+  }
+  for (const e of links) {
+    const n = at.get(e.a), m = at.get(e.b), dx = m.x - n.x, dy = m.y - n.y, l = Math.hypot(dx, dy) || 1, f = p.stiffness * (l - p.length) / l;
+    n.u += f * dx; n.v += f * dy; m.u -= f * dx; m.v -= f * dy;
+  }
+  for (const n of d.nodes) { n.x += n.u *= p.damping; n.y += n.v *= p.damping; }
+}
+const svg = document.getElementById('net'), make = (kind, set, title) => {
+  const x = document.createElementNS('http://www.w3.org/2000/svg', kind), t = document.createElementNS('http://www.w3.org/2000/svg', 'title');
+  for (const k in set) x.setAttribute(k, set[k]);
+  t.textContent = title; x.appendChild(t); svg.appendChild(x); return x;
+};
+for (const e of links) make('line', {x1: at.get(e.a).x, y1: at.get(e.a).y, x2: at.get(e.b).x, y2: at.get(e.b).y, stroke: '#aaa', 'stroke-width': Math.min(1 + Math.log2(e.value), 8)}, e.title);
+for (const n of d.nodes) {
+  make('circle', {cx: n.x, cy: n.y, r: n.size / 4, fill: n.colour}, n.title);
+  make('text', {x: n.x, y: n.y - n.size / 4 - 3, 'font-size': 11, 'text-anchor': 'middle'}, n.title).append(n.name);
+}
+const b = svg.getBBox(); svg.setAttribute('viewBox', [b.x - 20, b.y - 20, b.width + 40, b.height + 40].join(' '));
+"""
+
+
+def network_page(nodes: DataFrame, edges: DataFrame, title: str = "Network", **physics: float) -> str:
+    """A page that draws a network of a few hundred nodes (name, title, colour, size) and edges (a, b, title, value) and lets it come to rest, with tooltips; it needs nothing from
+    elsewhere, so it can stand in a frame of another page. physics: any of PHYSICS."""
+    data = {"nodes": [r.asDict() for r in nodes.collect()], "edges": [r.asDict() for r in edges.collect()], "physics": PHYSICS | physics}
+    inline = json.dumps(data, ensure_ascii=False).replace("<", "\\u003c")
+    return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><svg id=net width=900 height=900></svg><script type=application/json id=data>{inline}</script><script>{_SCRIPT}</script>"

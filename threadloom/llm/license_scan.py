@@ -33,13 +33,13 @@ what the fuck | wtfpl | 0.98 | do~what~the~fuck~you~want~to~public~license
 beer | beerware | 0.8 | beer\W{0,2}ware~license
 artistic license | artistic | 0.9 | artistic~license(?:~(?:version~)?[12]\.0)?
 eclipse public | epl | 0.95 | eclipse~public~license(?:~v(?:ersion)?~?[12]\.0)?
-eclipse distribution | edl | 0.95 | eclipse~distribution~license
+eclipse | edl | 0.95 | eclipse~distribution~license
 mozilla public | mpl | 0.95 | mozilla~public~license(?:~v(?:ersion)?~?[12]\.[01])?
 common development | cddl | 0.95 | common~development~and~distribution~license(?:~v(?:ersion)?~?1\.[01])?
 common public license | cpl | 0.9 | common~public~license(?:~v(?:ersion)?~?1\.0)?
 european union public | eupl | 0.95 | european~union~public~licen[cs]e(?:~v(?:ersion)?~?1\.[012])?
 gnu lesser | lgpl | 0.97 | gnu~lesser~general~public~licen[cs]e
-gnu library | lgpl | 0.95 | gnu~library~general~public~licen[cs]e
+gnu | lgpl | 0.95 | gnu~library~general~public~licen[cs]e
 lesser general public | lgpl | 0.9 | lesser~general~public~licen[cs]e
 gnu affero | agpl | 0.97 | gnu~affero~general~public~licen[cs]e
 affero general public | agpl | 0.92 | affero~general~public~licen[cs]e
@@ -89,6 +89,80 @@ llama | llama-community | 0.85 | llama~(?:[0-9.]+~)?community~licen[cs]e
 mulan | mulan-psl | 0.9 | mulan~(?:psl|permissive~software~licen[cs]e)
 blue oak | blueoak | 0.9 | blue~oak~model~licen[cs]e
 universal | upl-1.0 | 0.85 | universal~permissive~licen[cs]e
+licensed apache compliance | apache-2.0 | 0.95 | you~may~not~use~this~file~except~in~compliance~with~the~license
+specific language governing | apache-notice | 0.7 | see~the~license~for~the~specific~language~governing~permissions
+redistribute modify | gpl-notice | 0.85 | you~can~redistribute~it~and~or~modify~it~under~the~terms~of~the~gnu
+hope | gpl-notice | 0.75 | distributed~in~the~hope~that~it~will~be~useful~but~without~any~warranty
+received copy | gpl-notice | 0.8 | you~should~have~received~a~copy~of~the~gnu
+merchantability fitness | warranty-disclaimer | 0.4 | merchantability(?:~and~|~or~|~)fitness~for~a~particular~purpose
+warranty kind | warranty-disclaimer | 0.5 | provided~as~is~without~warranty~of~any~kind
+disclaims | isc | 0.85 | the~author~disclaims~all~warranties~with~regard~to~this~software
+sublicense | mit | 0.9 | to~use~copy~modify~merge~publish~distribute~sublicense~and~or~sell
+portions | mit | 0.85 | included~in~all~copies~or~substantial~portions~of~the~software
+redistributions retain | bsd | 0.85 | redistributions~of~source~code~must~retain~the~above~copyright
+redistributions reproduce | bsd | 0.85 | redistributions~in~binary~form~must~reproduce~the~above~copyright
+endorse | bsd-3-clause | 0.85 | used~to~endorse~or~promote~products~derived~from~this~software
+mozilla subject | mpl-2.0 | 0.97 | subject~to~the~terms~of~the~mozilla~public~license
+incompatible secondary | mpl-2.0-no-copyleft | 0.95 | incompatible~with~secondary~licenses
+eclipse | epl | 0.95 | terms~of~the~eclipse~public~license
+boost | bsl-1.0 | 0.97 | distributed~under~the~boost~software~license
+waived | cc0-1.0 | 0.9 | waived~all~copyright~and~related~or~neighbou?ring~rights
+dedicated domain | public-domain | 0.85 | dedicated~to~the~public~domain
+placed domain | public-domain | 0.8 | placed~in~the~public~domain
+whatever | beerware | 0.9 | as~long~as~you~retain~this~notice~you~can~do~whatever
+adaptive public | apl-1.0 | 0.9 | adaptive~public~license
+aladdin free | aladdin | 0.9 | aladdin~free~public~license
+apple source | apsl | 0.9 | apple~public~source~license(?:~v(?:ersion)?~?[12]\.[0-2])?
+attribution assurance | aal | 0.9 | attribution~assurance~license
+bittorrent | bittorrent | 0.9 | bittorrent~open~source~license
+cern | cern-ohl | 0.95 | cern~open~hardware~licen[cs]e
+cnri | cnri-python | 0.85 | cnri~(?:open~source~)?(?:gpl~compatible~)?license
+condor | condor | 0.85 | condor~public~license
+educational community | ecl-2.0 | 0.95 | educational~community~license
+eiffel forum | efl-2.0 | 0.9 | eiffel~forum~license
+entessa | entessa | 0.9 | entessa~public~license
+fair license | fair | 0.7 | fair~license
+frameworx | frameworx | 0.9 | frameworx~(?:open~)?license
+freetype project | ftl | 0.9 | freetype~(?:project~)?licen[cs]e
+historical disclaimer | hpnd | 0.9 | historical~permission~notice~and~disclaimer
+ibm public | ipl-1.0 | 0.9 | ibm~public~license
+imagemagick | imagemagick | 0.85 | imagemagick~licen[cs]e
+jpeg | ijg | 0.9 | independent~jpeg~group
+intel source | intel | 0.8 | intel~open~source~license
+jython | jython | 0.85 | jython~licen[cs]e
+latex | lppl | 0.95 | latex~project~public~license
+leptonica | leptonica | 0.8 | leptonica~licen[cs]e
+libpng | libpng | 0.85 | libpng~licen[cs]e
+lucent public | lpl | 0.9 | lucent~public~license
+miros | miros | 0.9 | miros~licen[cs]e
+motosoto | motosoto | 0.9 | motosoto~open~source~license
+nasa | nasa-1.3 | 0.95 | nasa~open~source~agreement
+naumen public | naumen | 0.9 | naumen~public~license
+nethack general | ngpl | 0.95 | nethack~general~public~license
+nokia source | nokia | 0.85 | nokia~open~source~license
+nonprofit | nposl-3.0 | 0.9 | non~?profit~open~software~license
+opensource reciprocal public | rpl | 0.9 | reciprocal~public~license
+open group | opengroup | 0.8 | open~group~test~suite~license
+openldap public | oldap | 0.95 | openldap~public~license
+ricoh source | rscpl | 0.9 | ricoh~source~code~public~license
+realnetworks | rpsl | 0.9 | realnetworks~public~source~license
+simple public | simpl-2.0 | 0.8 | simple~public~license
+sleepycat | sleepycat | 0.95 | sleepycat~licen[cs]e
+standards source | sissl | 0.9 | sun~industry~standards~source~license
+sun public | spl-1.0 | 0.9 | sun~public~license
+sybase watcom | watcom-1.0 | 0.9 | sybase~open~watcom~public~license
+vovida | vsl-1.0 | 0.9 | vovida~software~license
+wxwindows | wxwindows | 0.95 | wx~?windows~library~licen[cs]e
+xerox | xerox | 0.8 | xerox~licen[cs]e
+parity public | parity | 0.85 | parity~public~license
+prosperity | prosperity | 0.85 | prosperity~public~license
+polyform | polyform | 0.95 | polyform~(?:noncommercial|small~business|shield|strict|free~trial|perimeter)~license
+hippocratic | hippocratic | 0.9 | hippocratic~license
+noncommercial research | research-only | 0.6 | for~non~?commercial~research~(?:purposes~)?only
+evaluation purposes | evaluation-only | 0.5 | for~evaluation~purposes~only
+trade secrets | proprietary | 0.5 | contains~trade~secrets
+reproduction prohibited | proprietary | 0.5 | (?:unauthori[sz]ed~)reproduction~(?:or~distribution~)?is~(?:strictly~)?prohibited
+terms service | terms-of-service | 0.3 | subject~to~(?:our|the|these)~terms~of~service
 all rights reserved | all-rights-reserved | 0.5 | all~rights~reserved
 proprietary | proprietary | 0.5 | proprietary~and~confidential
 copyright | copyright-notice | 0.3 | copyright~(?:\(c\)|©)?~?(?:19|20)[0-9]{2}
@@ -120,9 +194,13 @@ odbl | 1.0 | odbl
 CC_KINDS, CC_VERSIONS = ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"), ("1.0", "2.0", "2.5", "3.0", "4.0")
 CC_WORDS = {"by": "attribution", "sa": "share~?alike", "nd": "no~?deriv(?:ative)?s?", "nc": "non~?commercial"}
 #: Words of a rule's keywords that stand in too many texts to be its gate, if it has another.
-COMMON = ("licen", "license", "software", "public", "general", "open", "free", "common", "provided", "what", "the", "use", "blue", "side", "is", "granted", "permission")
+COMMON = ("licen", "license", "software", "public", "general", "open", "free", "common", "provided", "what", "the", "use", "blue", "side", "is", "granted", "permission", "copy", "received", "hope", "useful", "kind", "terms", "service", "fair", "simple", "group", "subject", "opensource", "nonprofit", "sun", "trade", "source")
 #: What must be there besides a keyword that is a part of common words.
-GATES = {"cc": r"cc[\W_]+by", "general": r"general\W{1,6}public", "common": r"common\W{1,6}public", "software": r"open\W{1,6}software"}
+GATES = {"cc": r"cc[\W_]+by"} | {
+    phrase.split()[at]: phrase.replace(" ", r"\W{1,6}")
+    for at, phrase in ((0, "general public"), (0, "common public"), (1, "open software"), (2, "in the hope"), (1, "have received"), (1, "open group"), (0, "simple public"), (1, "sun public"), (2, "terms of service"),
+                       (0, "evaluation purposes"), (0, "placed in the public"), (0, "dedicated to the public"), (0, "historical permission"), (0, "educational community"), (1, "common development"))
+}
 GATES |= {stem: rf"\b\w?{stem}\W{{0,6}}v?[0-9]" for stem in (line.split("|")[2].strip() for line in FAMILIES.strip().splitlines()) if len(stem) <= 4}
 #: Words of base phrases that gate them.
 BASE_GATES = ("gnu", "licen", "cc")

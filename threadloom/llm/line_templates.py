@@ -5,12 +5,14 @@ mark. At the leaf it belongs to the template of all its generalised tokens, and,
 leave the others open, so lines that differ in some words are one template too. A template that stands in enough documents is recurring, and its lines are dropped
 from all documents but the first.
 
-A template is a 64-bit key, so the tree is counted by one aggregation with partial sums in each batch: no leaf, however full, meets in one task.
+A template is a key of 64 bits and a check of 32 more, so that unlike templates do not meet in a corpus of 10^12 lines; the tree is counted by one aggregation with partial sums
+in each batch: no leaf, however full, meets in one task.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,10 +32,11 @@ _UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3
 #: Stands for the first document of a template that only documents without an id have.
 NOBODY = -(1 << 63)
 _DIGIT = re.compile(r"\d")
+_SIGNED = struct.Struct("<qi")
 
 
-def template_keys(line: str) -> list[int]:
-    """The signed 64-bit keys of a line's templates; none for a blank line or one word (see word_keys). A line of two or three tokens stands for itself."""
+def template_keys(line: str) -> list[tuple[int, int]]:
+    """(key, check) of a line's templates; none for a blank line or one word (see word_keys). A line of two or three tokens stands for itself."""
     tokens = line.lower().split()
     n = len(tokens)
     if n == 0 or n == 1 and len(_UNSPACED.findall(tokens[0])) < UNSPACED_LONG:
@@ -54,24 +57,23 @@ def template_keys(line: str) -> list[int]:
     return found
 
 
-def word_keys(line: str) -> list[int]:
-    """The key of a line of one word; none for others."""
+def word_keys(line: str) -> list[tuple[int, int]]:
+    """(key, check) of a line of one word; none for others."""
     tokens = line.lower().split()
     return [_key("1\nword\n", tokens)] if len(tokens) == 1 and not template_keys(line) else []
 
 
-def _key(path: str, tokens: list[str]) -> int:
-    x = xxhash.xxh3_64_intdigest(path + " ".join(tokens))
-    return x - (1 << 64) if x >= 1 << 63 else x
+def _key(path: str, tokens: list[str]) -> tuple[int, int]:
+    return _SIGNED.unpack_from(xxhash.xxh3_128_digest(path + " ".join(tokens)))
 
 
 def recurring_templates(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, n (documents), first (smallest id that has it; null if none has an id) of the templates that at least min_docs documents have; of lines of one word, WORD_DOCS at least."""
+    """key, check, n (documents), first (smallest id that has it; null if none has an id) of the templates that at least min_docs documents have; of lines of one word, WORD_DOCS at least."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[int, list] = {}
+            seen: dict[tuple[int, int], list] = {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 lines = text.split("\n")
                 words = {k for line in lines for k in word_keys(line)}
@@ -83,10 +85,11 @@ def recurring_templates(docs: DataFrame, *, min_docs: int = 2, id_col: str = "do
                     else:
                         seen[key] = [1, doc_id, key in words]
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array([e[0] for e in seen.values()], pa.int64()), pa.array([e[1] for e in seen.values()], pa.int64()), pa.array([e[2] for e in seen.values()], pa.bool_())], ["key", "n", "first", "word"])
+                keys, checks = zip(*seen)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(checks, pa.int32()), pa.array([e[0] for e in seen.values()], pa.int64()), pa.array([e[1] for e in seen.values()], pa.int64()), pa.array([e[2] for e in seen.values()], pa.bool_())], ["key", "check", "n", "first", "word"])
 
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counts = rows.mapInArrow(count, "key long, n long, first long, word boolean").groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("word").alias("word"))
+    counts = rows.mapInArrow(count, "key long, check int, n long, first long, word boolean").groupBy("key", "check").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("word").alias("word"))
     return cut(counts.where(F.col("n") >= F.when(F.col("word"), max(min_docs, WORD_DOCS)).otherwise(min_docs)).drop("word"), "templates")
 
 
@@ -104,16 +107,17 @@ def deduplicated_lines(docs: DataFrame, *, min_docs: int = 2, id_col: str = "doc
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, n_lines long, n_dropped long, clean_text string"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    found = found.select("key", F.coalesce("first", F.lit(NOBODY)).alias("first"))
+    found = found.select("key", "check", F.coalesce("first", F.lit(NOBODY)).alias("first"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(i, h, at, k) for i, h, t in zip(*(batch.column(c).to_pylist() for c in range(3))) for at, line in enumerate((t or "").split("\n")) for k in template_keys(line) + word_keys(line)]
+            out = [(i, h, at, *k) for i, h, t in zip(*(batch.column(c).to_pylist() for c in range(3))) for at, line in enumerate((t or "").split("\n")) for k in template_keys(line) + word_keys(line)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "hash", "at", "key"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], ["doc_id", "hash", "at", "key", "check"])
 
-    lines = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(spread, "doc_id long, hash long, at long, key long")
-    lost = lines.join(found, "key").where(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy(F.col("doc_id").alias("of"), "hash").agg(F.collect_set("at").alias("lost"))
+    lines = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(spread, "doc_id long, hash long, at long, key long, check int")
+    lost = lines.join(found, ["key", "check"]).where(~F.col("doc_id").eqNullSafe(F.col("first"))).groupBy(F.col("doc_id").alias("of"), "hash").agg(F.collect_set("at").alias("lost"))
     marked = rows.join(lost, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("hash")), "left").select("doc_id", "text", "lost")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

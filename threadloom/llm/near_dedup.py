@@ -229,19 +229,19 @@ def _blocks(open_: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
 def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the nodes (node, buckets) that have a link."""
     rows = nodes.select(F.explode("buckets").alias("bucket"), "node")
-    counted = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"), *(F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).alias(f"c{i}") for i in range(CENTRES)))
+    counted = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"))
     counted = cut(counted.where("least < most"), "buckets")
     member = cut(rows.join(counted.select("bucket", "n"), "bucket"), "members")
     few = member.where(F.col("n") <= SMALL)
     each = few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket").where("a < b").select("a", "b")
-    centres = counted.where(F.col("n") > SMALL).select("bucket", F.explode(F.array_distinct(F.array(*(F.col(f"c{i}.node") for i in range(CENTRES))))).alias("centre"))
+    large = member.where(F.col("n") > SMALL).select("bucket", "node")
+    centres = large.groupBy("bucket").agg(*(F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).alias(f"c{i}") for i in range(CENTRES))).select("bucket", F.explode(F.array_distinct(F.array(*(F.col(f"c{i}.node") for i in range(CENTRES))))).alias("centre"))
     ends = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    stars = member.where(F.col("n") > SMALL).select("bucket", "node").join(centres, "bucket").where("node <> centre").select(*ends("node", "centre"))
+    stars = large.join(centres, "bucket").where("node <> centre").select(*ends("node", "centre"))
     pairs = cut(each.union(stars).distinct(), "candidates")
     wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
     sets = full_sets(docs, wanted, width, id_col, text_col)
     found = components(cut(confirmed(pairs, sets, percent), "links"))
-    large = member.where(F.col("n") > SMALL).select("bucket", "node")
     if large.isEmpty():
         return found
     open_ = _open(large, found)
@@ -282,6 +282,7 @@ def near_dedup(docs: DataFrame, *, width: int = 5, percent: int = 80, id_col: st
     full = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = cut(full.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "classes")
     nodes = full.select(F.col("doc_id").alias("node"), "set_key", "buckets").join(classes, ["set_key", "node"]).select("node", "set_key", "buckets").dropDuplicates(["set_key", "node"]).drop("set_key")
+    nodes = cut(nodes, "nodes")  # read several times
     found = links(docs, nodes, width=width, percent=percent, id_col=id_col, text_col=text_col)
     same = cut(_same_ids(full, classes), "same-ids")
     found = found if same.isEmpty() else extended(found, same)

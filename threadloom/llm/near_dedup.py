@@ -207,8 +207,8 @@ def _open(large: DataFrame, found: DataFrame) -> DataFrame:
     labelled = large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sums = labelled.groupBy("bucket", "component").agg(F.count("*").alias("of_it"))
     main = sums.groupBy("bucket").agg(F.max_by("component", F.struct("of_it", "component")).alias("main"), F.max("of_it").alias("most"), F.sum("of_it").alias("n"), F.count("*").alias("kinds"))
-    main = main.where("kinds > 1").select("bucket", "main", "n", (F.col("n") - F.col("most")).alias("n_asks"))
-    return cut(labelled.join(main, "bucket"), "open")
+    main = cut(main.where("kinds > 1").select("bucket", "main", "n", (F.col("n") - F.col("most")).alias("n_asks")), "main")
+    return cut(labelled.join(small(main, main.count()), "bucket"), "open")
 
 
 def _blocks(open_: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -237,7 +237,8 @@ def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col
     large = member.where(F.col("n") > SMALL).select("bucket", "node")
     centres = large.groupBy("bucket").agg(*(F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).alias(f"c{i}") for i in range(CENTRES))).select("bucket", F.explode(F.array_distinct(F.array(*(F.col(f"c{i}.node") for i in range(CENTRES))))).alias("centre"))
     ends = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    stars = large.join(centres, "bucket").where("node <> centre").select(*ends("node", "centre"))
+    centres = cut(centres, "centres")
+    stars = large.join(small(centres, centres.count()), "bucket").where("node <> centre").select(*ends("node", "centre"))
     pairs = cut(each.union(stars).distinct(), "candidates")
     wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
     sets = full_sets(docs, wanted, width, id_col, text_col)
@@ -251,7 +252,8 @@ def links(docs: DataFrame, nodes: DataFrame, *, width: int, percent: int, id_col
     sets = cut(sets.join(small(ids, ids.count()), "node", "left_semi"), "open-sets")  # open members only grow fewer
     for i in range(ROUNDS):
         further = open_.where("component <> main").groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(CENTRES + i)), F.col("node").alias("centre"), F.col("component").alias("of"))).alias("c")).select("bucket", "c.centre", "c.of")
-        stars = open_.join(further, "bucket").where(F.col("component") != F.col("of")).select(*ends("node", "centre")).distinct()
+        further = cut(further, "centres")
+        stars = open_.join(small(further, further.count()), "bucket").where(F.col("component") != F.col("of")).select(*ends("node", "centre")).distinct()
         more = cut(confirmed(stars, sets, percent), "more-links")
         if not more.isEmpty():
             found = extended(found, more)

@@ -564,7 +564,11 @@ def extract_entities(spark, d):
     return backends.entities_of(_extractions(spark, d))
 
 
-@query()
+@query(f"""WITH s AS (SELECT doc_id, unnest(string_split_regex(text, '[.!?\\n]+')) AS s, unnest(range(len(string_split_regex(text, '[.!?\\n]+')))) AS k FROM documents),
+  p AS (SELECT doc_id, s, k, regexp_extract_all(s, '{_SPAN}') AS spans, string_split_regex(s, '{_SPAN}') AS gaps FROM s),
+  r AS (SELECT *, unnest(range(1, len(spans))) AS i FROM p WHERE len(spans) > 1)
+  SELECT CAST(doc_id AS INTEGER) AS batch_index, doc_id * 2147483648 + row_number() OVER (PARTITION BY doc_id ORDER BY k, i) - 1 AS seq, spans[i] AS source, spans[i + 1] AS target,
+    coalesce(nullif(trim(gaps[i + 1], ' ,;:|'), ''), 'with') AS relation, {_strip("s")} AS evidence, CAST(NULL AS VARCHAR) AS name FROM r""")
 def extract_relations(spark, d):
     return backends.relations_of(_extractions(spark, d))
 

@@ -34,7 +34,8 @@ def json_posts(spark: SparkSession, path: str, *, lines: bool = False) -> DataFr
 def dealt_out(df: DataFrame) -> DataFrame:
     """df, dealt out to all cores if it stands in fewer files than there are: a file of one row group is one task, however many cores are free."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    files = df._jdf.inputFiles()  # counted where they are: inputFiles() would bring every name over
+    return df.repartition(cores) if len(files) < cores else df
 
 
 def parquet_posts(spark: SparkSession, path: str) -> DataFrame:

@@ -140,7 +140,7 @@ nasa | nasa-1.3 | 0.95 | nasa~open~source~agreement
 naumen public | naumen | 0.9 | naumen~public~license
 nethack general | ngpl | 0.95 | nethack~general~public~license
 nokia source | nokia | 0.85 | nokia~open~source~license
-nonprofit | nposl-3.0 | 0.9 | non~?profit~open~software~license
+profit | nposl-3.0 | 0.9 | non~?profit~open~software~license
 opensource reciprocal public | rpl | 0.9 | reciprocal~public~license
 open group | opengroup | 0.8 | open~group~test~suite~license
 openldap public | oldap | 0.95 | openldap~public~license
@@ -152,13 +152,13 @@ standards source | sissl | 0.9 | sun~industry~standards~source~license
 sun public | spl-1.0 | 0.9 | sun~public~license
 sybase watcom | watcom-1.0 | 0.9 | sybase~open~watcom~public~license
 vovida | vsl-1.0 | 0.9 | vovida~software~license
-wxwindows | wxwindows | 0.95 | wx~?windows~library~licen[cs]e
+windows | wxwindows | 0.95 | wx~?windows~library~licen[cs]e
 xerox | xerox | 0.8 | xerox~licen[cs]e
 parity public | parity | 0.85 | parity~public~license
 prosperity | prosperity | 0.85 | prosperity~public~license
 polyform | polyform | 0.95 | polyform~(?:noncommercial|small~business|shield|strict|free~trial|perimeter)~license
 hippocratic | hippocratic | 0.9 | hippocratic~license
-noncommercial research | research-only | 0.6 | for~non~?commercial~research~(?:purposes~)?only
+commercial | research-only | 0.6 | for~non~?commercial~research~(?:purposes~)?only
 evaluation purposes | evaluation-only | 0.5 | for~evaluation~purposes~only
 trade secrets | proprietary | 0.5 | contains~trade~secrets
 reproduction prohibited | proprietary | 0.5 | (?:unauthori[sz]ed~)reproduction~(?:or~distribution~)?is~(?:strictly~)?prohibited

@@ -86,6 +86,12 @@ def op10_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import looped, periodic_runs, summarised
+
+    return summarised(periodic_runs(table(spark, sf_dir, "documents"), edit=looped))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -57,4 +57,25 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN size USING (doc_id)
 """
 
-SQL = {"op3_decontamination": OP3, "op4_line_templates": OP4, "op9_minhash_near_dedup": OP9}
+#: crc32 bit by bit over the distinct features; the rest as the operator says.
+OP12 = f"""
+WITH word AS (SELECT row_number() OVER () AS k, doc_id, coalesce({WORDS.format("text")}, []) AS w FROM documents),
+target_word AS (SELECT coalesce({WORDS.format("text")}, []) AS w FROM benchmark),
+doc_feature AS (SELECT k, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM word),
+target_feature AS (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM target_word),
+distinct_feature AS MATERIALIZED (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM doc_feature UNION SELECT f FROM target_feature)),
+bucket AS MATERIALIZED (SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(length(x) // 2), lambda i: [CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, b: xor(xor(c, b) >> 1, CAST(3988292384 AS BIGINT) * (xor(c, b) & 1))), CAST(4294967295 AS BIGINT)) % 10000 AS b FROM distinct_feature),
+s AS (SELECT b, count(*) AS s FROM doc_feature JOIN bucket USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM target_feature JOIN bucket USING (f) GROUP BY b),
+sums AS (SELECT (SELECT count(*) FROM doc_feature) AS all_s, (SELECT count(*) FROM target_feature) AS all_t),
+gain AS (SELECT b, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (all_s + 10000) / ((s + 1.0::DOUBLE) * (all_t + 10000)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (b), sums),
+summed AS (SELECT k, CAST(sum(gain) AS BIGINT) AS g, count(*) AS n FROM doc_feature JOIN bucket USING (f) JOIN gain USING (b) GROUP BY k),
+noised AS (SELECT k, doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce((g - ((g % n) + n) % n) // n, 0) AS weight,
+  CAST('0x' || left(sha256('7:' || doc_id), 8) AS BIGINT) AS h FROM word LEFT JOIN summed USING (k)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM noised),
+ranked AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (k)
+"""
+
+SQL = {"op3_decontamination": OP3, "op4_line_templates": OP4, "op9_minhash_near_dedup": OP9, "op12_importance_sample": OP12}

@@ -86,6 +86,12 @@ def op10_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import importance_sample
+
+    return importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .periodic_runs import looped, periodic_runs, summarised
 

@@ -57,6 +57,19 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN size USING (doc_id)
 """
 
+#: All strings of 200 bytes by a digest; texts as hexadecimal digits, so that a byte is two characters.
+OP11 = """
+WITH t AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+place AS (SELECT k, i, md5_number(substr(x, 2 * i + 1, 400)) AS h FROM (SELECT k, x, unnest(range(length(x) // 2 - 199)) AS i FROM t WHERE length(x) >= 400)),
+again AS (SELECT h FROM place GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT k, i, lag(i) OVER (PARTITION BY k ORDER BY i) AS p FROM place SEMI JOIN again USING (h)),
+run AS (SELECT k, i, count(*) FILTER (p IS NULL OR i > p + 200) OVER (PARTITION BY k ORDER BY i) AS g FROM hit),
+span AS (SELECT k, min(i) AS s, max(i) + 200 AS e FROM run GROUP BY k, g),
+gap AS (SELECT k, s, e, lag(e, 1, 0) OVER (PARTITION BY k ORDER BY s) AS b FROM span),
+cut AS (SELECT k, count(*) AS n, sum(e - s) AS removed, string_agg(substr(x, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) || substr(any_value(x), 2 * max(e) + 1) AS kept FROM gap JOIN t USING (k) GROUP BY k)
+SELECT doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM t LEFT JOIN cut USING (k)
+"""
+
 #: crc32 bit by bit over the distinct features; the rest as the operator says.
 OP12 = f"""
 WITH word AS (SELECT row_number() OVER () AS k, doc_id, coalesce({WORDS.format("text")}, []) AS w FROM documents),
@@ -78,4 +91,4 @@ ranked AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count
 SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score, CASE WHEN r <= 25 * n // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (k)
 """
 
-SQL = {"op3_decontamination": OP3, "op4_line_templates": OP4, "op9_minhash_near_dedup": OP9, "op12_importance_sample": OP12}
+SQL = {"op3_decontamination": OP3, "op4_line_templates": OP4, "op9_minhash_near_dedup": OP9, "op11_repeats": OP11, "op12_importance_sample": OP12}

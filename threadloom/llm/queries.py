@@ -86,6 +86,12 @@ def op10_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import summarised, without_repeats
+
+    return summarised(without_repeats(table(spark, sf_dir, "documents"), length=200))
+
+
 def op12_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .importance import importance_sample
 

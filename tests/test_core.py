@@ -109,9 +109,44 @@ def test_fuzzy_dedup_carries_over_ranges(spark):
         at = rng.randint(0, len(base))
         texts.append(rng.choice([base, base.upper(), base[:at] + rng.choice("xyz") + base[at:], "".join(rng.choices("abcdefgh ", k=30))]))
     df = spark.createDataFrame(list(enumerate(texts)), "seq long, text string")
-    for history, shard in ((100, 50), (5, 20), (5, 60)):
+    for history, size in ((100, 1500), (5, 600), (5, 1800), (100, 1)):
         limits = RELAXED.__class__(history=history)
-        assert sorted(r.seq for r in dedup.fuzzy_dedup(df, gate=limits, shard=shard).collect()) == plain_fuzzy(texts, history)
+        assert sorted(r.seq for r in dedup.fuzzy_dedup(df, gate=limits, range_bytes=size).collect()) == plain_fuzzy(texts, history)
+
+
+def test_index_loses_no_similar_pair():
+    rng = random.Random(7)
+    far = kept = 0
+    for _ in range(400):
+        letters = rng.choice(["ab", "abcdefgh ", "etaoinshrdlucmfw. ,", "".join(map(chr, range(0x4E00, 0x4E80)))])
+        n = rng.choice([3, 40, 199, 200, 600, 2000])
+        a = "".join(rng.choices(letters, k=n))
+        b = list(a)
+        for _ in range(int(n * rng.choice([0, 0.02, 0.1, 0.2, 2]))):
+            b[rng.randrange(len(b))] = rng.choice(["", rng.choice(letters), rng.choice(letters) * 2])
+        b = "".join(b)
+        ratio = difflib.SequenceMatcher(None, a, b).ratio()
+        near = dedup.Close(a, 0.85).may_match(dedup.Close(b, 0.85))
+        assert near or ratio <= 0.85, (a, b)
+        assert dedup.Close(a, 0.85).to(b) == (ratio > 0.85)
+        far, kept = far + (ratio <= 0.85), kept + (near and ratio <= 0.85)
+    plain = ["".join(random.Random(i).choices(["the ", "and ", "tion", "ing ", "er", "on", "an", "re", "ent", "ha", "ti", "es, "], k=500)) for i in range(40)]
+    texts = [dedup.Close(t, 0.85) for t in plain]
+    passed = sum(a.may_match(b) for a in texts for b in texts if a is not b)
+    assert passed <= 0.05 * 40 * 39  # texts of one vocabulary that are not alike
+
+
+def test_walk_of_a_chain_needs_many_rounds(spark):
+    base = "".join(random.Random(5).choices("abcdefghijklmnopqrstuvw ", k=150))
+    texts = [base]
+    for i in range(11):  # each is like the one before it, and like no other
+        texts.append(texts[-1][: 12 * i] + "#" * 12 + texts[-1][12 * (i + 1) :])
+    want = plain_fuzzy(texts)
+    assert 3 < len(want) < 9
+    df = spark.createDataFrame(list(enumerate(texts)), "seq long, text string")
+    found = dedup.walked(df.withColumn("at", F.lit(0)), range_bytes=1).collect()
+    assert sorted(r.seq for r in found if r.status == dedup.KEPT) == want and len(found) == len(texts)
+    assert dedup.walked(df.withColumn("at", F.lit(0)).limit(0)).count() == 0
 
 
 def test_near_dup_pairs_reaches_the_whole_history(spark, tmp_path):

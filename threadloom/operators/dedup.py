@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import difflib
 import hashlib
+from functools import reduce
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from ..config import RELAXED, Gate
 from ..functions import text as T
 from ..sources.sinks import cut
+from .similarity import Close, similar_pairs
+
+__all__ = ["Close", "exact_dedup", "fuzzy_dedup", "normal_form", "place_of", "similar_pairs", "walked"]
 
 
 def normal_form(text_col: str):
@@ -26,209 +29,185 @@ def exact_dedup(rows: DataFrame, text_col: str = "text", seq: str = "seq") -> Da
     return rows.join(first.select("__first"), F.col(seq) == F.col("__first"), "left_semi")
 
 
-class Close:
-    """Is a text similar to others: matching-block similarity, the text first (the measure is not symmetric). No built-in computes it.
-
-    Matching blocks are a common subsequence, so the longest one bounds them; it is counted with a bit for each character of the text, all at once in a
-    long integer, and nearly every pair ends there.
-    """
-
-    def __init__(self, text: str, least: float):
-        self.text, self.least = text, least
-        self.at: dict[str, int] = {}
-        for i, c in enumerate(text):
-            self.at[c] = self.at.get(c, 0) | 1 << i
-        self.full = (1 << len(text)) - 1
-
-    def common(self, other: str, needed: float = 0.0) -> int:
-        """Length of the longest common subsequence; or, once it cannot come above `needed`, a bound of it that does not either."""
-        row, full, at, m, n = self.full, self.full, self.at, len(self.text), len(other)
-        for first in range(0, n, 64):
-            for c in other[first : first + 64]:
-                hit = row & at.get(c, 0)
-                row = (row + hit | row - hit) & full
-            bound = m - row.bit_count() + max(n - first - 64, 0)
-            if bound <= needed:
-                return bound
-        return m - row.bit_count()
-
-    def to(self, other: str) -> bool:
-        both = len(self.text) + len(other)
-        if not both:
-            return 1.0 > self.least
-        if 2.0 * min(len(self.text), len(other)) <= self.least * both or 2.0 * self.common(other, self.least * both / 2.0) <= self.least * both:
-            return False
-        return difflib.SequenceMatcher(None, self.text, other).ratio() > self.least
-
-
-def similar_pairs(rows: DataFrame, text_col: str = "text", seq: str = "seq", *, gate: Gate = RELAXED, reach: int | None = None) -> DataFrame:
-    """(new, old) of rows within `reach` places of each other, by a dense place, whose similarity exceeds the gate's.
-
-    rows need a dense `place`. A range join on blocks of `reach` places keeps the pairs linear in the rows; the length bound
-    2 min / (a + b) removes most before Python sees them.
-    """
-    reach = reach or gate.history
-    size = F.length(T.strip(F.col(text_col)))
-    new = rows.select(F.col(seq).alias("new"), F.col("place").alias("at"), F.col(text_col).alias("new_text"), size.alias("m"), F.explode(F.array(F.floor(F.col("place") / reach), F.floor(F.col("place") / reach) - 1)).alias("block"))
-    old = rows.select(F.col(seq).alias("old"), F.col("place").alias("was"), F.col(text_col).alias("old_text"), size.alias("n"), F.floor(F.col("place") / reach).alias("block"))
-    near = new.join(old, "block").where((F.col("was") < F.col("at")) & (F.col("was") >= F.col("at") - reach))
-    near = near.where((F.col("m") + F.col("n") == 0) | (F.try_divide(2.0 * F.least("m", "n"), F.col("m") + F.col("n")) > gate.similarity))
-    least = gate.similarity
-
-    @F.pandas_udf(BooleanType())
-    def similar(new: pd.Series, old: pd.Series) -> pd.Series:
-        return pd.Series([Close(a.lower().strip(), least).to(b.lower().strip()) for a, b in zip(new, old)], dtype=bool)
-
-    return near.where(similar("new_text", "old_text")).select("new", "old")
-
-
 #: What the walk says of a text: kept, an exact copy of a kept one, similar to one of the last kept ones, or below a head that was not kept and so never looked at.
 KEPT, EXACT, FUZZY, PASSED_OVER = 0, 1, 2, 3
+#: UTF-8 bytes of the texts that one task walks (a single head with what stands under it may have more).
+RANGE_BYTES = 32 << 20
 
 
-def fuzzy_dedup(rows: DataFrame, text_col: str = "text", seq: str = "seq", *, gate: Gate = RELAXED, shard: int = 20_000) -> DataFrame:
-    """Rows that pass exact and fuzzy deduplication: those of the sequential walk over all rows, whatever `shard` is (see `walked`)."""
-    kept = walked(rows.select(F.col(seq).cast("long").alias("seq"), F.lit(0).alias("at"), F.col(text_col).alias("text")), gate=gate, shard=shard).where(F.col("status") == KEPT)
+def fuzzy_dedup(rows: DataFrame, text_col: str = "text", seq: str = "seq", *, gate: Gate = RELAXED, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Rows that pass exact and fuzzy deduplication: those of the sequential walk over all rows, whatever `range_bytes` is (see `walked`)."""
+    kept = walked(rows.select(F.col(seq).cast("long").alias("seq"), F.lit(0).alias("at"), F.col(text_col).alias("text")), gate=gate, range_bytes=range_bytes).where(F.col("status") == KEPT)
     return rows.join(kept.select(F.col("seq").alias("__kept")), F.col(seq) == F.col("__kept"), "left_semi")
 
 
-def walked(texts: DataFrame, *, gate: Gate = RELAXED, shard: int = 20_000) -> DataFrame:
-    """seq, at, status of the texts that the walk in order of (seq, at) looks at; a text without a row is an exact copy of a kept one.
+_ROW = "range long, kind int, seq long, at int, text string, digest string, status int, like_seq long, like_at int"
+_FOUND = "range long, seq long, at int, status int, like_seq long, like_at int, copy string, from_end int, text string"
+#: Kinds of rows that a range's walk gets: its texts, texts of which ranges before it keep an equal one, the last kept texts before it, those that its last walk started from, what that said.
+TEXT, BEFORE, NOW, THEN, OLD = range(5)
+
 
-    texts: seq, at (together unique), text (null counts as empty). A text with at > 0 stands under the head (seq, 0) and is looked at only if that was kept. A text is rejected
-    if an equal one was kept before, or if one of the last `gate.history` kept ones is similar.
+def walked(texts: DataFrame, *, gate: Gate = RELAXED, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """seq, at, status of all texts as the walk in order of (seq, at) finds them.
 
-    Acceptance depends on earlier acceptance. So ranges of about `shard` heads are walked in parallel, each from a guess of what was kept before it (at first: nothing, and
-    of equal texts the first one); then each range whose guess differs from what the ranges before it gave is walked again, until all agree. The first range needs no guess,
-    so what all agree on is the sequential result. A range walked again compares a text only with those it was not compared with before. Equal texts after the first are
-    left out by aggregation and come in only if the first was not kept, since then it does not count as seen.
+    texts: seq, at (together unique; rows without seq are left out), text (null counts as empty). A text with at > 0 stands under the head (seq, 0) and is looked at only if that was kept. A text
+    is rejected if an equal one was kept before, or if one of the last `gate.history` kept ones is similar.
+
+    Acceptance depends on earlier acceptance. So ranges of some `range_bytes` are walked in parallel, each from a guess of what was kept before it (at first: nothing, and of equal texts
+    one in the first range that holds any); then each range whose guess differs from what the ranges before it gave is walked again, until all agree. The first range needs no
+    guess, so what all agree on is the sequential result; a chain may need as many rounds as there are ranges.
+
+    All of it is tables. A walk gives its last kept texts, numbered from the end; counts of kept texts number them over all ranges, and a range takes the numbers right before its own first one. A
+    round writes only the ranges that it walks, and `versions` says which round a range's rows are from. The driver holds the number of ranges that are left to walk. A range
+    walked again compares a text only with those it was not compared with before.
     """
     spark = texts.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 256)
-    texts = texts.where(F.col("seq").isNotNull()).select("seq", "at", F.coalesce("text", F.lit("")).alias("text"))
-    parts = max(1, -(-texts.where(F.col("at") == 0).count() // shard))
+    texts = texts.where(F.col("seq").isNotNull()).select("seq", F.col("at").cast("int").alias("at"), F.coalesce("text", F.lit("")).alias("text"))
     # ranges come from a sample, so they are written once
-    ids = cut(texts.mapInPandas(_digests, "seq long, at int, digest string").repartitionByRange(parts, "seq").withColumn("shard", F.spark_partition_id()), "fuzzy-ids")
-    firsts = ids.groupBy("digest").agg(F.min(F.struct("seq", "at", "shard")).alias("first"), F.count("*").alias("n")).select("first.*", "digest", (F.col("n") > 1).alias("copied"))
-    active = cut(texts.join(firsts, ["seq", "at"]), "fuzzy-texts")
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = cut(texts.repartitionByRange(parts, "seq").sortWithinPartitions("seq", "at").mapInPandas(_ranged(range_bytes), "range long, seq long, at int, text string, digest string"), "fuzzy-texts")
+    ranges = cut(rows.groupBy("range").agg(F.count("*").alias("n")), "fuzzy-ranges").select("range")
+    # texts that several ranges hold; within a range the walk sees copies itself
+    pairs = rows.groupBy("digest", "range").agg(F.count("*").alias("n"))
+    shared = pairs.groupBy("digest").agg(F.count("*").alias("n"), F.min("range").alias("kept_in")).where("n > 1").drop("n")
+    copies = cut(pairs.select("digest", "range").join(shared, "digest"), "fuzzy-copies")
+    kept_in = copies.select("digest", "kept_in").distinct()
+    copies = copies.select("digest", "range")
     walk = _walk_of(gate)
     state: DataFrame | None = None
-    used: dict[int, list] = {}  # range: keys of the last kept texts before it that its last walk started from
-    tails: dict[int, list] = {}  # range: keys of its last kept texts
-    first_kept: dict[str, int | None] = {}  # digest whose first text was not kept at some time: the first range that keeps it
-    shards_of: dict[str, set[int]] = {}
-    todo = {r.shard for r in active.select("shard").distinct().collect()}
-    everyone = sorted(todo)
-    given: dict[int, list] = {}
-    while todo:
-        here = active.where(F.col("shard").isin(sorted(todo)))
-        if state is None:
-            here = here.withColumn("old", F.lit(-1)).withColumn("old_seq", F.lit(None).cast("long")).withColumn("old_at", F.lit(None).cast("int"))
-        else:
-            was = state.select("seq", "at", F.col("status").alias("old"), F.col("like_seq").alias("old_seq"), F.col("like_at").alias("old_at"))
-            here = here.join(was, ["seq", "at"], "left").withColumn("old", F.coalesce("old", F.lit(-1)))
-        if first_kept:
-            revived = spark.createDataFrame(list(first_kept.items()), "digest string, first_kept int")
-            here = here.join(revived, "digest", "left").withColumn("before", F.coalesce(F.col("first_kept") < F.col("shard"), F.lit(False))).drop("first_kept")
-        else:
-            here = here.withColumn("before", F.lit(False))
-        marks = []
-        for k in todo:
-            now, then = set(given.get(k, ())), set(used.get(k, ()))
-            marks += [(key[0], key[1], k, key in now, key in then) for key in now | then]
-        history = spark.createDataFrame(marks, "seq long, at int, target int, is_now boolean, is_then boolean")
-        history = active.select("seq", "at", "text").join(F.broadcast(history) if len(marks) <= 500_000 else history, ["seq", "at"])
-        history = history.toDF(*history.columns)  # columns of its own, since both sides come from active
-        columns = "seq long, at int, shard int, digest string, copied boolean, status int, like_seq long, like_at int"
-        found = here.groupBy("shard").cogroup(history.groupBy("target")).applyInPandas(walk, columns)
+    history = spark.createDataFrame([], "range long, seq long, at int, text string")
+    versions = spark.createDataFrame([], "range long, round int, used string")
+    walks: list[DataFrame] = []
+    todo, left, turn = ranges.withColumn("now", F.lit("")), 1, 0
+    then = history
+    while left:
+        here = todo.select("range")
+        given = [
+            _rows(rows.join(here, "range", "left_semi"), TEXT, "seq", "at", "text", "digest"),
+            _rows(copies.join(here, "range", "left_semi").join(kept_in, "digest").where(F.col("kept_in") < F.col("range")), BEFORE, "digest"),
+        ]
         if state is not None:
-            found = state.where(~F.col("shard").isin(sorted(todo))).unionByName(found)
-        state = cut(found, "fuzzy-state")
-        used.update({k: given.get(k, []) for k in todo})
-
-        again: set[int] = set()
-        # texts that were not kept, so that their copies count after all
-        fresh = state.where((F.col("status").isin(FUZZY, PASSED_OVER)) & F.col("copied")).select("digest").distinct()
-        if first_kept:
-            fresh = fresh.join(spark.createDataFrame([(d,) for d in first_kept], "digest string"), "digest", "left_anti")
-        fresh = [r.digest for r in fresh.collect()]
-        if fresh:
-            more = ids.join(spark.createDataFrame([(d,) for d in fresh], "digest string"), "digest")
-            for r in more.groupBy("digest").agg(F.collect_set("shard").alias("shards")).collect():
-                shards_of[r.digest] = set(r.shards)
-                again |= shards_of[r.digest]
-            extra = texts.join(more.join(firsts.select("seq", "at"), ["seq", "at"], "left_anti").withColumn("copied", F.lit(True)), ["seq", "at"])
-            active = active.unionByName(cut(extra, "fuzzy-copies"))
-            first_kept.update(dict.fromkeys(fresh))
-        if first_kept:
-            kept = state.where((F.col("status") == KEPT) & F.col("copied")).groupBy("digest").agg(F.min("shard").alias("shard"))
-            kept = dict(kept.join(spark.createDataFrame([(d,) for d in first_kept], "digest string"), "digest").collect())
-            for d in first_kept:
-                if first_kept[d] != kept.get(d):
-                    first_kept[d] = kept.get(d)
-                    again |= shards_of[d]
-        last = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("seq", "at")))), 1, gate.history)
-        for k in todo:
-            tails[k] = []
-        for r in state.where((F.col("status") == KEPT) & F.col("shard").isin(sorted(todo))).groupBy("shard").agg(last.alias("last")).collect():
-            tails[r.shard] = [(x.seq, x.at) for x in reversed(r["last"])]
-        carried: list = []
-        for k in everyone:
-            given[k] = carried
-            carried = (carried + tails.get(k, []))[-gate.history :]
-        todo = again & set(everyone) | {k for k in everyone if given[k] != used.get(k, [])}
-    if state is None:
-        return ids.select("seq", "at", F.lit(KEPT).alias("status"))
+            given += [
+                _rows(history.join(here, "range", "left_semi"), NOW, "seq", "at", "text"),
+                _rows(then.join(here, "range", "left_semi"), THEN, "seq", "at"),
+                _rows(state.join(here, "range", "left_semi"), OLD, "seq", "at", "status", "like_seq", "like_at"),
+            ]
+        marked = _rows(copies.join(here, "range", "left_semi"), -1, "digest")  # digests that other ranges hold too
+        found = reduce(DataFrame.unionByName, [*given, marked]).groupBy("range").applyInPandas(walk, _FOUND)
+        walks.append(cut(found, "fuzzy-state"))
+        fresh = todo.select("range", F.lit(turn).alias("round"), F.col("now").alias("used"))
+        versions = cut(versions.join(here, "range", "left_anti").unionByName(fresh), "fuzzy-versions")
+        state = reduce(DataFrame.unionByName, [p.withColumn("round", F.lit(i)) for i, p in enumerate(walks)]).join(versions.select("range", "round"), ["range", "round"]).drop("round")
+        if turn % 8 == 7:  # one table in place of many
+            state = cut(state, "fuzzy-state")
+            walks = [state]
+            versions = versions.withColumn("round", F.lit(0))
+            turn = 0
+        turn += 1
+        # the last kept texts before each range, and how they differ from those that its walk started from
+        then, history = history, cut(_history(ranges, state, gate.history), "fuzzy-history")
+        keys = F.transform(F.array_sort(F.collect_list(F.struct("seq", "at"))), lambda k: F.concat_ws(":", k["seq"].cast("string"), k["at"].cast("string")))
+        now = history.groupBy("range").agg(F.sha2(F.array_join(keys, ","), 256).alias("now"))
+        now = versions.select("range", "used").join(now, "range", "left").withColumn("now", F.coalesce("now", F.lit("")))
+        # the first range that keeps a text, and the ranges after or before it for which that is new
+        was, kept_in = kept_in, cut(state.where(F.col("copy").isNotNull()).groupBy(F.col("copy").alias("digest")).agg(F.min("range").alias("kept_in")), "fuzzy-kept")
+        moved = was.withColumnRenamed("kept_in", "was").join(kept_in, "digest", "full").where(~F.col("was").eqNullSafe(F.col("kept_in")))
+        sees = lambda c: F.coalesce(F.col(c) < F.col("range"), F.lit(False))
+        flipped = copies.join(moved, "digest").where(sees("was") != sees("kept_in")).select(F.col("range").alias("__r")).distinct()
+        todo = now.join(flipped, F.col("range") == F.col("__r"), "left").where((F.col("now") != F.col("used")) | F.col("__r").isNotNull()).select("range", "now")
+        todo = cut(todo, "fuzzy-todo")
+        left = todo.count()
     return state.select("seq", "at", "status")
 
 
-def _digests(batches):
-    for pdf in batches:
-        digest = [hashlib.blake2b(t.lower().strip().encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() for t in pdf["text"]]
-        yield pdf[["seq", "at"]].assign(digest=digest)
+def _rows(df: DataFrame, kind: int, *columns: str) -> DataFrame:
+    """df as rows of a kind; numbers that it has not are -1 and not null, so that pandas keeps them whole."""
+
+    def own(name: str, type_: str) -> Column:
+        if name == "kind":
+            return F.lit(kind)
+        if name not in (*columns, "range"):
+            return F.lit(None if type_ == "string" else -1).cast(type_)
+        return F.col(name) if type_ == "string" else F.coalesce(name, F.lit(-1)).cast(type_)
+
+    return df.select(*(own(*c.split()).alias(c.split()[0]) for c in _ROW.split(", ")))
+
+
+def _history(ranges: DataFrame, state: DataFrame, length: int) -> DataFrame:
+    """range, seq, at, text: the last `length` kept texts before each range."""
+    counts = ranges.join(state.where(F.col("status") == KEPT).groupBy("range").agg(F.count("*").alias("n")), "range", "left").select("range", F.coalesce("n", F.lit(0)).alias("n"))
+    # a row for each range
+    counts = counts.select("range", "n", (F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
+    tails = state.where(F.col("from_end").isNotNull()).join(counts, "range").select((F.col("before") + F.col("n") - 1 - F.col("from_end")).alias("number"), "seq", "at", "text")
+    wanted = counts.where("before > 0").select("range", F.explode(F.sequence(F.greatest(F.lit(0).cast("long"), F.col("before") - length), F.col("before") - 1)).alias("number"))
+    return wanted.join(tails, "number").select("range", "seq", "at", "text")
+
+
+def _ranged(range_bytes: int):
+    """Numbers ranges of a partition in the order of their heads; a head stays with what stands under it."""
+
+    def work(batches):
+        first, sub, size, last = TaskContext.get().partitionId() << 32, 0, 0, None
+        for pdf in batches:
+            numbers, digests = [], []
+            for seq, text in zip(pdf["seq"], pdf["text"]):
+                if seq != last and size >= range_bytes:
+                    sub, size = sub + 1, 0
+                last = seq
+                size += len(text.encode("utf-8", "surrogatepass"))
+                numbers.append(first + sub)
+                digests.append(hashlib.blake2b(text.lower().strip().encode("utf-8", "surrogatepass"), digest_size=16).hexdigest())
+            yield pdf[["seq", "at", "text"]].assign(range=numbers, digest=digests)[["range", "seq", "at", "text", "digest"]]
+
+    return work
 
 
 def _walk_of(gate: Gate):
-    def walk(here: pd.DataFrame, history: pd.DataFrame) -> pd.DataFrame:
-        history = history.sort_values(["seq", "at"])
-        now, then = {}, {}  # key: form of the last kept texts, oldest first: by this walk, and by the one before
-        for s, a, text, is_now, is_then in zip(history["seq"], history["at"], history["text"], history["is_now"], history["is_then"]):
-            if is_now:
-                now[s, a] = text.lower().strip()
-            if is_then:
-                then[s, a] = None
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        kinds = {k: rows for k, rows in pdf.groupby("kind", sort=False)}
+        none = pdf.iloc[:0]
+        keys = lambda rows: list(zip(rows["seq"].tolist(), rows["at"].tolist()))
+        shared, before = set(kinds.get(-1, none)["digest"]), set(kinds.get(BEFORE, none)["digest"])
+        history = kinds.get(NOW, none).sort_values(["seq", "at"])
+        # the last kept texts, oldest first: by this walk, and by the one before
+        now = {k: Close(t.lower().strip(), gate.similarity) for k, t in zip(keys(history), history["text"])}
+        then = dict.fromkeys(sorted(keys(kinds.get(THEN, none))))
+        rows = kinds.get(OLD, none)
+        old = dict(zip(keys(rows), zip(rows["status"].tolist(), zip(rows["like_seq"].tolist(), rows["like_at"].tolist()))))
+        rows = kinds.get(TEXT, none).sort_values(["seq", "at"])
         seen: set[str] = set()
-        out = []
-        head = None
-        here = here.sort_values(["seq", "at"])
-        old_seq, old_at = here["old_seq"].tolist(), here["old_at"].tolist()
-        for i, (s, a, text, before, old) in enumerate(zip(here["seq"], here["at"], here["text"], here["before"], here["old"])):
-            form = text.lower().strip()
-            like = None
-            if a and head != s:
+        out, kept, head = [], [], None
+        for key, text, digest in zip(keys(rows), rows["text"], rows["digest"]):
+            was, was_like = old.get(key, (None, None))
+            close = like = None
+            if key[1] and head != key[0]:
                 status = PASSED_OVER
-            elif before or form in seen:
+            elif digest in before or digest in seen:
                 status = EXACT
-            elif old == FUZZY and (int(old_seq[i]), int(old_at[i])) in now:
-                status, like = FUZZY, (int(old_seq[i]), int(old_at[i]))
+            elif was == FUZZY and was_like in now:
+                status, like = FUZZY, was_like
             else:
-                close = Close(form, gate.similarity)
-                like = next((key for key, other in now.items() if not (old == KEPT and key in then) and close.to(other)), None)
+                close = Close(text.lower().strip(), gate.similarity)
+                like = next((k for k, other in now.items() if not (was == KEPT and k in then) and close.to(other)), None)
                 status = KEPT if like is None else FUZZY
             if status == KEPT:
-                seen.add(form)
-                now[s, a] = form
+                seen.add(digest)
+                kept.append((len(out), text))
+                now[key] = close
                 if len(now) > gate.history:
                     del now[next(iter(now))]
-                if a == 0:
-                    head = s
-            if old == KEPT:
-                then[s, a] = None
+                if key[1] == 0:
+                    head = key[0]
+            if was == KEPT:
+                then[key] = None
                 if len(then) > gate.history:
                     del then[next(iter(then))]
-            out.append((s, a, status, like and like[0], like and like[1]))
-        found = pd.DataFrame(out, columns=["seq", "at", "status", "like_seq", "like_at"]).astype({"like_seq": "Int64", "like_at": "Int32"})
-        return found.assign(shard=here["shard"].to_numpy(), digest=here["digest"].to_numpy(), copied=here["copied"].to_numpy())[["seq", "at", "shard", "digest", "copied", "status", "like_seq", "like_at"]]
+            out.append([pdf["range"].iloc[0], *key, status, like and like[0], like and like[1], digest if status == KEPT and digest in shared else None, None, None])
+        for i, (place, text) in enumerate(reversed(kept[-gate.history :])):
+            out[place][-2:] = i, text
+        names = [c.split()[0] for c in _FOUND.split(", ")]
+        return pd.DataFrame(out, columns=names).astype({"like_seq": "Int64", "like_at": "Int32", "from_end": "Int32"})
 
     return walk
 

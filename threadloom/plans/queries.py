@@ -267,7 +267,7 @@ def comment_dedup(spark, d):
 
 @query()
 def fuzzy_dedup(spark, d):
-    return dedup.fuzzy_dedup(_docs(spark, d), "text", "doc_id", shard=1000).select("doc_id")
+    return dedup.fuzzy_dedup(_docs(spark, d), "text", "doc_id").select("doc_id")
 
 
 @query()

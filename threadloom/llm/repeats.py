@@ -31,9 +31,9 @@ PIECE = 1 << 18
 #: Low bits of a hash that give way to the place, the same ones whatever the piece, so that equal strings choose alike.
 _BITS = np.uint64(20)
 #: Bytes of texts among which a task looks for equal contexts before it gives them away.
-FLUSH = 1 << 24
+FLUSH = 1 << 23
 #: Bytes of contexts that share a suffix array, and contexts of one anchor that do; beyond these an anchor's strings are counted by their hashes.
-BLOCK, CONTEXTS = 1 << 21, 6000
+BLOCK, CONTEXTS = 1 << 20, 4000
 #: Bytes of spans that may be broadcast to the texts; beyond these both are shuffled.
 BROADCAST_BYTES = 32 << 20
 
@@ -194,15 +194,16 @@ def intervals(contexts: list[bytes], length: int) -> list[tuple[int, int, int, i
     order = np.argsort(code, kind="stable")
     new = np.ones(n, bool)
     new[1:] = code[order[1:]] != code[order[:-1]]
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
     last = np.append(new[1:], True)
     many, levels, width = order[~(new & last)], [rank], 8
+    del order
     while len(many) and width < sizes.max(initial=0):
         after = np.zeros(len(many), np.int64)
         inside = many + width < n
         after[inside] = rank[many[inside] + width] + 1
-        key = rank[many] * (n + 1) + after
+        key = rank[many].astype(np.int64) * (n + 1) + after
         turn = np.argsort(key, kind="stable")
         many, key = many[turn], key[turn]
         old, at = rank[many], np.arange(len(many))

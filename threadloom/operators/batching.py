@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import functools
 import json
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..config import CAPACITY
+from ..functions.members import indented_length
+from ..sources.sinks import cut
 from .dedup import place_of
 
 
@@ -20,18 +23,29 @@ def estimated_tokens(text: Column) -> Column:
     return F.ceil(F.coalesce(F.length(text), F.lit(0)) / 4).cast("int")
 
 
+def estimated_json_tokens(json: Column) -> Column:
+    """The same estimate of a compact JSON text as it would be indented by two, without a parse."""
+    return F.ceil(F.coalesce(indented_length(json), F.lit(0)) / 4).cast("int")
+
+
+@functools.cache
+def _encoding(ranks_path: str, pattern: str):
+    """Read once in a worker."""
+    import base64
+
+    import tiktoken
+
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 def tiktoken_tokens(ranks_path: str, pattern: str):
     """A column function that counts tokens with a rank file (lines of base64 and rank). Special strings count as ordinary text."""
 
     @F.pandas_udf("int")
     def count(texts: pd.Series) -> pd.Series:
-        import base64
-
-        import tiktoken
-
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoding = _encoding(ranks_path, pattern)
         return texts.map(lambda t: len(encoding.encode_ordinary(t or "")))
 
     return count
@@ -39,7 +53,7 @@ def tiktoken_tokens(ranks_path: str, pattern: str):
 
 @F.pandas_udf(StringType())
 def pretty_json(texts: pd.Series) -> pd.Series:
-    """A JSON text indented by two, non-ASCII kept: what tokens of a whole post are counted over. to_json's own pretty form has other blanks."""
+    """A JSON text indented by two, non-ASCII kept: what a vocabulary's tokens of a whole post are counted over. to_json's own pretty form has other blanks."""
     return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), ensure_ascii=False, indent=2))
 
 
@@ -126,7 +140,8 @@ def packed(posts: DataFrame, capacity: int = CAPACITY, *, seq: str = "seq", toke
     The walk is sequential, but it needs only how many posts have each size, at most `capacity` rows, and tells where runs of posts go. Posts get a dense place in packing order
     by ranges, and look their run up.
     """
-    rows = posts.where(F.col(tokens) <= capacity).select(F.col(seq).cast("long").alias("seq"), F.col(tokens).cast("long").alias("tokens"))
+    # written once: sizes are read by the counts, the sample of ranges and the ranges
+    rows = cut(posts.select(F.col(seq).cast("long").alias("seq"), F.col(tokens).cast("long").alias("tokens")), "post-sizes").where(F.col("tokens") <= capacity)
     counts = sorted(((r.tokens, r.n) for r in rows.groupBy("tokens").agg(F.count("*").alias("n")).collect()), reverse=True)  # a row for each size
     runs = np.array(pack_counts(counts, capacity), np.int64).reshape(-1, 5)
     shared = posts.sparkSession.sparkContext.broadcast(runs)

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import once
+from ..functions.members import object_of, with_members
+
 
 def _line(label: str, value: Column, default: str, pad: Column | None = None) -> Column:
     return F.concat(pad if pad is not None else F.lit(""), F.lit(f"{label}: "), F.coalesce(value.cast("string"), F.lit(default)))
 
 
 def comment_blocks(comments: DataFrame) -> DataFrame:
-    """post_id, text: all comments of a post in reading order, indented by depth.
+    """post_seq, text: all comments of a post in reading order, indented by depth.
 
     A comment opens before its replies and closes after them, so each gives two lines, sorted by path: the opening one under its own path, the closing
     one under its path with a last element greater than any reply's.
@@ -21,8 +24,8 @@ def comment_blocks(comments: DataFrame) -> DataFrame:
     closing = F.concat(pad, F.lit("[/COMMENT]"))
     last = F.lit(2147483647)
     lines = F.array(F.struct(F.col("path").alias("key"), opening.alias("line")), F.struct(F.array_append("path", last).alias("key"), closing.alias("line")))
-    exploded = comments.select("post_id", F.explode(lines).alias("l"))
-    return exploded.groupBy("post_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\n").alias("text"))
+    exploded = comments.select("post_seq", F.explode(lines).alias("l"))
+    return exploded.groupBy("post_seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\n").alias("text"))
 
 
 def post_text(comments_text: Column | None = None) -> Column:
@@ -37,19 +40,31 @@ POST_FIELDS = ("post_id", "author", "title", "score", "selftext", "author_accoun
 
 
 def post_json(comments: Column | None = None, stats: Column | None = None) -> Column:
-    """A post as JSON, with its comments (JSON text of the trees) and filter counts if there are any."""
+    """A post's fields as JSON, with its comments (JSON text of the trees) and filter counts if there are any."""
     own = F.to_json(F.struct(*POST_FIELDS), {"ignoreNullFields": "false"})
     trees = F.lit("[]") if comments is None else F.coalesce(comments, F.lit("[]"))
     counts = [] if stats is None else [F.lit(',"_filter_stats":'), F.to_json(stats)]
     return F.concat(own.substr(F.lit(1), F.length(own) - 1), F.lit(',"comments":'), trees, *counts, F.lit("}"))
 
 
+def with_json(posts: DataFrame, comments: Column | None = None, stats: Column | None = None, name: str = "post_json") -> DataFrame:
+    """posts with their JSON. Posts that came as JSON (column raw) keep every field that they came with, in its place; only comments and _filter_stats are set, at the end if they were not
+    there. Posts of a table have POST_FIELDS."""
+    if "raw" not in posts.columns:
+        return once(posts, **{name: post_json(comments, stats)})
+    trees = F.lit("[]") if comments is None else F.coalesce(comments, F.lit("[]"))
+    staged = once(posts, __trees_=trees, **({} if stats is None else {"__stats_": F.to_json(stats)}))
+    parted = with_members(staged, F.col("raw"), "__members")
+    change = {"comments": F.col("__trees_")} | ({} if stats is None else {"_filter_stats": F.col("__stats_")})
+    return once(parted, **{name: object_of(F.col("__members"), change)}).drop("__members", "__trees_", "__stats_")
+
+
 def with_text(posts: DataFrame, comments: DataFrame | None = None) -> DataFrame:
     """posts with `post_text`."""
     if comments is None:
         return posts.withColumn("post_text", post_text())
-    blocks = comment_blocks(comments).select(F.col("post_id").alias("__post"), F.col("text").alias("__comments"))
-    joined = posts.join(blocks, posts["post_id"].cast("string") == F.col("__post"), "left")
+    blocks = comment_blocks(comments).select(F.col("post_seq").alias("__post"), F.col("text").alias("__comments"))
+    joined = posts.join(blocks, F.col("seq") == F.col("__post"), "left")
     return joined.withColumn("post_text", post_text(F.col("__comments"))).drop("__post", "__comments")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +19,14 @@ def save(spark: SparkSession, path: str, last_index: int, total: int) -> None:
 
 
 def next_index(spark: SparkSession, path: str) -> int:
-    """The batch to go on with; 0 if nothing readable is there."""
+    """The batch to go on with; 0 if nothing is there, or nothing that can be read (which is logged)."""
     try:
         found = spark.read.parquet(path).agg(F.max("last_processed_index")).first()[0]
     except AnalysisException:
         return 0
+    except (PySparkException, Py4JJavaError):
+        log.warning("the progress table at %s cannot be read; the run starts at 0", path, exc_info=True)
+        return 0
     return 0 if found is None else found + 1
 
 

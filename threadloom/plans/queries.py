@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..config import CAPACITY, RELAXED, Gate
 from ..functions import text as T
+from ..functions.columns import once
+from ..functions.members import quoted
 from ..functions.repair import mended
 from ..operators import backends, batching, dedup, gate, graph, render, reports, tree
 from ..sources import readers, sinks
@@ -213,7 +215,7 @@ def _histogram(reasons):
 
 
 def _post_stats(stats):
-    return stats.withColumn("post_id", F.col("post_id").cast("long"))
+    return stats.select(F.col("post_id").cast("long").alias("post_id"), "original_comments", "kept_comments")
 
 
 @query()
@@ -306,18 +308,21 @@ def thread_stats(spark, d):
     return tree.thread_stats(_comments(spark, d))
 
 
-@query("SELECT conv_id AS post_id, count(*) AS n_nodes FROM conversations GROUP BY 1")
+_JSON_TURN = """'{"author":' || to_json(role) || ',"score":' || turn || ',"body":' || to_json(body) || coalesce(',"upvote_ratio":' || CAST(CAST(ratio AS DOUBLE) AS VARCHAR), '') || ',"replies":['"""
+
+
+@query(f"WITH {_TURNS} SELECT conv_id AS post_id, '[' || string_agg({_JSON_TURN}, '' ORDER BY turn) || string_agg(']}}', '') || ']' AS comments FROM turn_ GROUP BY 1")
 def renest_comments(spark, d):
-    """Trees are nested to JSON and flattened again; what comes back is counted."""
-    nested = tree.renest(tables.comments(spark, d))
-    flat = tree.flatten_comments(nested)
-    return flat.groupBy(F.col("post_id").cast("long").alias("post_id")).agg(F.count("*").alias("n_nodes"))
+    """Trees nested to JSON, flattened, and nested again."""
+    nested = tree.renest(tables.comments(spark, d)).withColumn("post_id", F.col("post_seq"))
+    again = tree.renest(tree.flatten_comments(nested, seq="post_seq", levels=None))
+    return again.select(F.col("post_seq").alias("post_id"), "comments")
 
 
 # ---- batches ----
 def _texts(spark, d):
-    texts = render.with_text(tables.posts(spark, d))
-    return texts.withColumn("tokens", batching.estimated_tokens(batching.pretty_json(render.post_json())))
+    texts = render.with_json(render.with_text(tables.posts(spark, d)))
+    return once(texts, tokens=batching.estimated_json_tokens(F.col("post_json"))).drop("post_json")
 
 
 _JSON_FIELDS = (("post_id", "doc_id"), ("author", "source"), ("title", "lang"), ("score", "score"), ("selftext", "text"), ("author_account_age_days", "age"), ("author_comment_karma", "karma"))
@@ -378,7 +383,7 @@ _PAD = "repeat('  ', turn)"
 @query(f"""SELECT conv_id AS post_id, string_agg({_PAD} || '[COMMENT]' || chr(10) || {_PAD} || 'Author: ' || role || chr(10) || {_PAD} || 'Score: ' || turn || chr(10) || {_PAD} || 'Body: ' || text, chr(10) ORDER BY turn)
   || chr(10) || string_agg({_PAD} || '[/COMMENT]', chr(10) ORDER BY turn DESC) AS text FROM conversations GROUP BY 1""")
 def comment_blocks(spark, d):
-    return render.comment_blocks(tables.comments(spark, d)).withColumn("post_id", F.col("post_id").cast("long"))
+    return render.comment_blocks(tables.comments(spark, d)).withColumnRenamed("post_seq", "post_id")
 
 
 @query(f"WITH RECURSIVE {_BATCHES} SELECT batch_index, post_count, original_tokens, text_for_llm FROM bt")
@@ -668,7 +673,7 @@ def edge_lines(spark, d):
 @query(f"WITH {_REL} SELECT 'completed' AS status, (SELECT count(DISTINCT batch_index) FROM rel0) AS total_batches_processed, count(*) FILTER (target IS NOT NULL) AS total_relations_added, CAST(12.5 AS DOUBLE) AS duration_seconds, round(CAST(12.5 AS DOUBLE) / (SELECT count(DISTINCT batch_index) FROM rel0), 6) AS seconds_per_batch, 'backup' AS backup_file FROM rel0")
 def completion_summary(spark, d):
     relations = tables.relations(spark, d)
-    return flow.completion(relations.select("batch_index").distinct(), relations, 12.5, "backup").withColumn("seconds_per_batch", _r(F.col("seconds_per_batch")))
+    return flow.completion(relations.select("batch_index").distinct(), relations, 12.5, "backup").drop("completed_at").withColumn("seconds_per_batch", _r(F.col("seconds_per_batch")))
 
 
 @query(f"WITH {_DOCS} SELECT doc_id, reason FROM judged")
@@ -688,23 +693,74 @@ def stream_gate(spark, d):
 @query("SELECT doc_id AS post_id, CAST(coalesce(q, 0) AS BIGINT) AS score, md5(coalesce(text, '')) AS text_md5, coalesce(n, 0) AS n_comments FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY 1) l USING (doc_id) LEFT JOIN (SELECT conv_id AS doc_id, count(*) AS n FROM conversations GROUP BY 1) c USING (doc_id)")
 def json_lines_source(spark, d):
     """Posts with their comment trees, written as JSON lines, read again and flattened."""
-    trees = tree.renest(tables.comments(spark, d)).select(F.col("post_id").cast("long").alias("post_id"), "comments")
-    posts = tables.posts(spark, d).join(trees, "post_id", "left")
+    trees = tree.renest(tables.comments(spark, d))
+    posts = tables.posts(spark, d).join(trees, F.col("seq") == F.col("post_seq"), "left")
     sinks.write_text_lines(posts.select(render.post_json(F.col("comments")).alias("value")), path := sinks.shared_path(spark, "posts-json"))
     read = readers.json_posts(spark, path, lines=True)
-    n = tree.flatten_comments(read).groupBy("post_id").agg(F.count("*").alias("n"))
-    read = read.select(F.col("post_id").cast("long").alias("post_id"), "score", F.md5(F.coalesce("selftext", F.lit(""))).alias("text_md5"))
-    return read.join(n.withColumn("post_id", F.col("post_id").cast("long")), "post_id", "left").withColumn("n_comments", F.coalesce("n", F.lit(0))).drop("n")
+    n = tree.flatten_comments(read).groupBy("post_seq").agg(F.count("*").alias("n"))
+    read = read.join(n, F.col("seq") == F.col("post_seq"), "left")
+    return read.select(F.col("post_id").cast("long").alias("post_id"), "score", F.md5(F.coalesce("selftext", F.lit(""))).alias("text_md5"), F.coalesce("n", F.lit(0)).alias("n_comments"))
 
 
 @query("SELECT row_number() OVER (ORDER BY item_id) - 1 AS seq, CAST(item_id AS VARCHAR) AS post_id, text AS selftext FROM benchmark")
 def json_array_source(spark, d):
-    """Items written as one JSON array, and read again as posts."""
+    """Items written as JSON array, and read again as posts."""
     items = tables.read(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("post_id"), F.col("text").alias("selftext"), "item_id")
-    sinks.write_text(sinks.json_array(items, "item_id"), path := sinks.shared_path(spark, "posts-array"))
+    sinks.write_json_array(items, "item_id", path := sinks.shared_path(spark, "posts-array"))
     return readers.json_posts(spark, path).select("seq", "post_id", "selftext")
 
 
+@query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, CAST(doc_id AS VARCHAR) AS post_id, source AS author, md5(coalesce(text, '')) AS text_md5 FROM documents")
+def json_array_documents(spark, d):
+    """All documents as one JSON array over many files, read again by many tasks."""
+    posts = tables.posts(spark, d).select("post_id", "author", "selftext")
+    sinks.write_json_array(posts, "post_id", path := sinks.shared_path(spark, "documents-array"))
+    return readers.json_posts(spark, path).select("seq", "post_id", "author", F.md5(F.coalesce("selftext", F.lit(""))).alias("text_md5"))
+
+
+# posts and comments with fields that nothing here knows, on both levels
+_RAW_TURN = """'{"id":"c' || turn || '","author":' || to_json(role) || ',"meta":{"turn":' || turn || ',"a":[1.5,null,{"b":"' || conv_id || '"}]},"body":' || to_json(body) || ',"upvote_ratio":' || coalesce(CAST(CAST(ratio AS DOUBLE) AS VARCHAR), 'null') || ',"replies":['"""
+_RAW_POST = """'{"url":{"lang":' || coalesce(to_json(lang), 'null') || ',"n":[' || length(text) || ',true]},"post_id":"' || doc_id || '","score":' || score || ',"author_account_age_days":' || age || ',"author_comment_karma":' || karma || ',"selftext":' || to_json(text) || ',"comments":[' """
+_RAW_SQL = f"""WITH RECURSIVE {_SEQUENCE},
+  good AS (SELECT doc_id FROM final WHERE reason IS NULL),
+  alive AS (SELECT c.conv_id, c.turn FROM cj c JOIN kept k ON k.seq = c.conv_id AND k.at_ = 1 JOIN good g ON g.doc_id = c.conv_id WHERE c.turn = 0
+    UNION ALL SELECT c.conv_id, c.turn FROM cj c JOIN alive a ON c.conv_id = a.conv_id AND c.turn = a.turn + 1 WHERE c.reason IS NULL),
+  nested AS (SELECT conv_id, string_agg({_RAW_TURN}, '' ORDER BY turn) || string_agg('],"edited":false}}', '') AS j, count(*) FILTER (turn = 0) AS n FROM turn_ JOIN alive USING (conv_id, turn) GROUP BY 1),
+  top AS (SELECT conv_id, count(*) AS n FROM turn_ WHERE turn = 0 GROUP BY 1),
+  whole AS (SELECT p.doc_id, {_RAW_POST} || coalesce(j, '') || '],"flair":null,"_filter_stats":{{"original_comments":' || coalesce(t.n, 0) || ',"kept_comments":' || coalesce(a.n, 0) || '}}}}' AS post
+    FROM post p JOIN good USING (doc_id) LEFT JOIN nested a ON a.conv_id = p.doc_id LEFT JOIN top t ON t.conv_id = p.doc_id)
+  SELECT CAST(doc_id AS VARCHAR) AS post_id, md5(post) AS post_md5, length(post) AS n_chars FROM whole"""
+
+
+def _raw_posts(spark, d):
+    """The driver's tables as a file of JSON lines with further fields, read as posts."""
+    turns = tables.comments(spark, d).withColumn("meta", F.struct(F.col("depth").alias("turn")))
+    value = lambda c, missing="null": F.coalesce(quoted(F.col(c)), F.lit(missing))
+    number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    depth = F.col("depth").cast("string")
+    opening = F.concat(F.lit('{"id":"c'), depth, F.lit('","author":'), value("author"), F.lit(',"meta":{"turn":'), depth, F.lit(',"a":[1.5,null,{"b":"'), "post_id", F.lit('"}]},"body":'), value("body"), F.lit(',"upvote_ratio":'), number("upvote_ratio"), F.lit(',"replies":['))
+    trees = tree.renest(turns.withColumn("opening", opening).withColumn("closing", F.lit('],"edited":false}')))
+    posts = tables.posts(spark, d).join(trees, F.col("seq") == F.col("post_seq"), "left")
+    raw = F.concat(
+        F.lit('{"url":{"lang":'), value("title"), F.lit(',"n":['), F.length("selftext").cast("string"), F.lit(',true]},"post_id":"'), F.col("post_id").cast("string"), F.lit('","score":'), number("score"),
+        F.lit(',"author_account_age_days":'), number("author_account_age_days"), F.lit(',"author_comment_karma":'), number("author_comment_karma"), F.lit(',"selftext":'), value("selftext"),
+        F.lit(',"comments":'), F.coalesce("comments", F.lit("[]")), F.lit(',"flair":null}'),
+    )
+    ordered = posts.select("seq", raw.alias("value")).repartitionByRange("seq").sortWithinPartitions("seq").select("value")
+    sinks.write_text_lines(ordered, path := sinks.shared_path(spark, "posts-raw"))
+    return readers.json_posts(spark, path, lines=True)
+
+
+@query(_RAW_SQL)
+def whole_posts(spark, d):
+    """Posts that pass the filter, as JSON with all fields that they came with, on the levels of posts and of comments."""
+    posts = _raw_posts(spark, d)
+    run = flow.filter_run(posts, tree.flatten_comments(posts), EXACT)
+    good, kept = run.kept()
+    whole = flow.whole_posts(good, kept, run.stats())
+    return whole.select("post_id", F.md5("post_json").alias("post_md5"), F.length("post_json").cast("long").alias("n_chars"))
+
+
 @query(f"WITH {_REL} SELECT e.source, e.target, weight, s.type AS s_type FROM edge e JOIN vertex s ON s.name = e.source")
 def graph_files(spark, d):
     """The graph, written and read again."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.tree import chains
+from ..operators.tree import chains, own_texts
 from ..sources.readers import dealt_out
 
 
@@ -30,7 +30,8 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("author"), F.col("text").alias("body"))
     ratio = F.when(F.col("turn") % 3 != 0, (F.col("conv_id") % 7 - 1) / 10.0)
     rows = turns.withColumn("upvote_ratio", ratio).withColumn("score", F.col("turn"))
-    return chains(rows, "conv_id", "turn").select("post_id", "path", "depth", "author", "score", "body", "upvote_ratio", F.lit("{}").alias("extra"))
+    flat = chains(rows, "conv_id", "turn").select("post_seq", "post_id", "path", "depth", "author", "score", "body", "upvote_ratio")
+    return own_texts(flat, "author", "score", "body", "upvote_ratio")
 
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,18 @@ def json_array(df: DataFrame, order: str) -> DataFrame:
     return df.agg(F.concat(F.lit("["), F.array_join(rows, ",\n"), F.lit("]")).alias("value"))
 
 
+def write_json_array(df: DataFrame, order: str, path: str) -> None:
+    """A table of any size as one JSON array over the files of a folder, in order of their names: a row is a line, the first one opens the array and the last one closes it. Rows are in order of a
+    column without ties or nulls."""
+    ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
+    if ends.low is None:
+        write_text(df.sparkSession.createDataFrame([("[]",)], "value string"), path)
+        return
+    own = F.to_json(F.struct(*(c for c in df.columns)))
+    line = F.concat(F.when(F.col(order) == ends.low, "[").otherwise(","), own, F.when(F.col(order) == ends.high, "]").otherwise(""))
+    df.repartitionByRange(order).sortWithinPartitions(order).select(line.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_text(one: DataFrame, path: str) -> None:
     """One row of text as a file of its own."""
     one.coalesce(1).write.mode("overwrite").text(path)

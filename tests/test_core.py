@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from threadloom.config import CAPACITY, RELAXED, STRICT
 from threadloom.functions import repair
 from threadloom.functions import text as T
+from threadloom.functions.members import indented_length
 from threadloom.operators import backends, batching, dedup, gate, graph, render, reports, tree
 from threadloom.plans import flow, queries
 from threadloom.sources import readers, sinks
@@ -182,7 +183,7 @@ TREE = [{"author": "bob", "score": 1, "body": "hi", "replies": [{"author": "cy",
 
 
 def test_trees(spark):
-    flat = tree.flatten_comments(spark.createDataFrame([("p1", json.dumps(TREE)), ("p2", None), ("p3", "[]")], "post_id string, comments string"))
+    flat = tree.flatten_comments(spark.createDataFrame([(0, "p1", json.dumps(TREE)), (1, "p2", None), (2, "p3", "[]"), (3, "p4", "no list")], "seq long, post_id string, comments string"))
     rows = {tuple(r.path): r for r in flat.collect()}
     assert set(rows) == {(0,), (0, 0), (0, 1), (1,)} and rows[(0, 1)].author == "di" and rows[(0, 1)].depth == 1
     judged = flat.withColumn("reason", F.when(F.col("author") == "bob", "bad"))
@@ -191,9 +192,124 @@ def test_trees(spark):
     assert [c["author"] for c in nested] == ["bob", "ed"] and [c["author"] for c in nested[0]["replies"]] == ["cy", "di"]
 
 
+def odd_value(rng, level=0):
+    r = rng.random()
+    if r < 0.3:
+        return "".join(rng.choices('ab{}[]",:\\\n \u00e9\u0001', k=rng.randint(0, 12)))
+    if r < 0.4:
+        return rng.choice([1, 2.5, None, True, -3, 10**20])
+    if level == 3:
+        return "s"
+    if r < 0.6:
+        return [odd_value(rng, level + 1) for _ in range(rng.randint(0, 3))]
+    return {rng.choice("xyzwv") + str(i): odd_value(rng, level + 1) for i in range(rng.randint(0, 3))}
+
+
+def odd_comment(rng, level=0, deepest=5):
+    c = {"author": rng.choice(["a", None, "b"]), "x": odd_value(rng), "body": str(odd_value(rng, 3)), "score": rng.choice([1, None])}
+    if rng.random() < 0.8:
+        c["replies"] = [odd_comment(rng, level + 1, deepest) for _ in range(rng.randint(0, 2))] if level < deepest else []
+    if rng.random() < 0.5:
+        c["after"] = odd_value(rng)
+    return c
+
+
+def odd_posts(n, seed=1, deepest=5):
+    rng = random.Random(seed)
+    return [{"post_id": rng.choice([f"p{i}", None, "same"]), "e": odd_value(rng), "comments": [odd_comment(rng, 0, deepest) for _ in range(rng.randint(0, 3))], "z": odd_value(rng)} for i in range(n)]
+
+
+def test_arrays_are_read_in_pieces_of_any_size(spark, tmp_path):
+    posts = odd_posts(60)
+    (tmp_path / "a.json").write_text("[]")
+    (tmp_path / "b.json").write_text(json.dumps(posts[:40], indent=2))
+    (tmp_path / "c.json").write_text(json.dumps(posts[40:], ensure_ascii=False))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "900", "5000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = readers.json_posts(spark, str(tmp_path / "*.json")).orderBy("seq").collect()
+            assert [json.loads(r.raw) for r in rows] == posts and [r.seq for r in rows] == list(range(60))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    df = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(posts)], "seq long, v string")
+    sinks.write_json_array(df.repartition(4), "seq", str(tmp_path / "array"))
+    rows = readers.json_elements(spark, str(tmp_path / "array")).orderBy("seq").collect()
+    assert [json.loads(json.loads(r.value)["v"]) for r in rows] == posts
+    sinks.write_json_array(df.limit(0), "seq", str(tmp_path / "none"))
+    assert readers.json_elements(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_lines_are_numbered_by_file_and_place(spark, tmp_path):
+    posts = odd_posts(40)
+    (tmp_path / "a.json").write_text("".join(json.dumps(p) + "\n" for p in posts[:3]))
+    (tmp_path / "b.json").write_text("\n\n".join(json.dumps(p) for p in posts[3:]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "700"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = readers.json_posts(spark, str(tmp_path), lines=True).orderBy("seq").collect()
+            assert [json.loads(r.raw) for r in rows] == posts and [r.seq for r in rows] == list(range(40))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def plain_prune(comments, bad, path=()):
+    kept = []
+    for i, c in enumerate(comments):
+        if bad((*path, i), c):
+            continue
+        kept.append({**c, "replies": plain_prune(c["replies"], bad, (*path, i))} if "replies" in c else c)
+    return kept
+
+
+def test_trees_pass_through_and_are_pruned_whole(spark):
+    posts = odd_posts(40, seed=2, deepest=15)
+    df = spark.createDataFrame([(i, p["post_id"], json.dumps(p["comments"]), json.dumps(p)) for i, p in enumerate(posts)], "seq long, post_id string, comments string, raw string")
+    flat = tree.flatten_comments(df, levels=None)
+    assert "Python" not in flat._jdf.queryExecution().executedPlan().toString()
+    back = dict(tree.renest(flat).collect())
+    assert all(json.loads(back.get(i, "[]")) == p["comments"] for i, p in enumerate(posts))
+    bad = lambda path, c: len(path) > 11 or (sum(path) * 7 + len(path)) % 5 == 0 and len(path) > 1
+    judged = tree.flatten_comments(df).withColumn("reason", F.when((F.aggregate("path", F.lit(0), lambda a, x: a + x) * 7 + F.size("path")) % 5 == 0, F.when(F.size("path") > 1, "bad")))
+    kept = tree.surviving(judged)
+    back = dict(tree.renest(kept).collect())
+    for i, p in enumerate(posts):
+        assert json.loads(back.get(i, "[]")) == plain_prune(p["comments"], bad), i
+    stats = spark.createDataFrame([(i, 2, 1) for i in range(len(posts))], "seq long, original_comments int, kept_comments int")
+    for r in flow.whole_posts(df, kept, stats).collect():
+        want = {**posts[r.seq], "comments": plain_prune(posts[r.seq]["comments"], bad), "_filter_stats": {"original_comments": 2, "kept_comments": 1}}
+        got = json.loads(r.post_json)
+        assert got == want and list(got) == list(want)
+
+
+def test_indented_length(spark):
+    values = [*odd_posts(40, seed=3), {}, [], [[]], {"a": {}}, "x", 1]
+    df = spark.createDataFrame([(json.dumps(v, ensure_ascii=False, separators=(",", ":")), len(json.dumps(v, ensure_ascii=False, indent=2))) for v in values], "j string, n int")
+    assert df.where(indented_length(F.col("j")) != F.col("n")).count() == 0
+
+
+def test_posts_without_an_id_and_with_a_shared_one_keep_their_comments(spark, tmp_path):
+    other, third = " ".join(reversed(LONG.split())), " ".join(sorted(LONG.split()))
+    say = lambda x: f"{x} these words stand below one of the posts"
+    meta = {"author_account_age_days": 9, "author_comment_karma": 9, "score": 9}
+    posts = [{"selftext": LONG, **meta, "comments": [{"body": say("aaa")}], "flair": "f"}, {"post_id": "x", "selftext": other, **meta, "comments": [{"body": say("entirely bbb"), "more": [1]}]}, {"post_id": "x", "selftext": third, **meta, "comments": [{"body": say("something of ccc")}]}]
+    (tmp_path / "p.json").write_text(json.dumps(posts))
+    read = readers.json_posts(spark, str(tmp_path))
+    run = flow.filter_run(read, tree.flatten_comments(read), RELAXED.__class__(similarity=1.0))
+    good, kept = run.kept()
+    whole = [json.loads(r.post_json) for r in flow.whole_posts(good, kept, run.stats()).orderBy("seq").collect()]
+    assert whole == [{**p, "_filter_stats": {"original_comments": 1, "kept_comments": 1}} for p in posts]
+    assert tuple(run.comment_summary().first()) == (3, 3, 0)
+    m = run.metrics().first()
+    assert (m.original_posts, m.kept_posts, m.rejected_posts, m.original_comments, m.kept_comments, m.rejection_reasons) == (3, 3, 0, 3, 3, [])
+    texts = [r.post_text for r in render.with_text(good, kept).orderBy("seq").collect()]
+    assert ["aaa" in texts[0], "bbb" in texts[1], "ccc" in texts[2]] == [True] * 3
+
+
 def test_post_text(spark):
-    post = spark.createDataFrame([("p1", "ann", "T", 3, "hello")], "post_id string, author string, title string, score long, selftext string")
-    flat = tree.flatten_comments(spark.createDataFrame([("p1", json.dumps([{**TREE[0], "replies": TREE[0]["replies"][:1]}]))], "post_id string, comments string"))
+    post = spark.createDataFrame([(0, "p1", "ann", "T", 3, "hello")], "seq long, post_id string, author string, title string, score long, selftext string")
+    flat = tree.flatten_comments(spark.createDataFrame([(0, "p1", json.dumps([{**TREE[0], "replies": TREE[0]["replies"][:1]}]))], "seq long, post_id string, comments string"))
     text = render.with_text(post, flat).first().post_text
     assert text == "[POST]\nID: p1\nAuthor: ann\nTitle: T\nScore: 3\nBody: hello\n[COMMENTS]\n[COMMENT]\nAuthor: bob\nScore: 1\nBody: hi\n  [COMMENT]\n  Author: cy\n  Score: 0\n  Body: yo\n  [/COMMENT]\n[/COMMENT]\n[/COMMENTS]\n[/POST]\n"
 
@@ -384,7 +500,7 @@ def test_filter_rejects_near_copies_of_posts_and_comments(spark):
     pool = [" ".join(rng.sample(words, 16)) for _ in range(12)]
     some = lambda: rng.choice([" ".join(rng.sample(words, 16)), rng.choice(pool), rng.choice(pool) + " more", rng.choice(pool).title()])
     posts = [(i, i, some(), 9, 0, 9) for i in range(60)]
-    comments = [(str(i), [j], 0, "a", 1, some(), None, "{}") for i in range(60) for j in range(i % 3)]
+    comments = [(i, str(i), [j], 0, "a", 1, some(), None, "{", "}") for i in range(60) for j in range(i % 3)]
     reasons, kept_comments, texts = {}, set(), []
 
     def duplicate(text):
@@ -397,7 +513,7 @@ def test_filter_rejects_near_copies_of_posts_and_comments(spark):
     for i, _, text, *_ in posts:
         reasons[i] = "duplicate_post" if duplicate(text) else None
         if reasons[i] is None:
-            kept_comments |= {(c[0], c[1][0]) for c in comments if c[0] == str(i) and not duplicate(c[5])}
+            kept_comments |= {(c[1], c[2][0]) for c in comments if c[0] == i and not duplicate(c[6])}
     p = spark.createDataFrame(posts, "seq long, post_id long, selftext string, author_account_age_days int, author_comment_karma int, score int")
     c = spark.createDataFrame(comments, tree.FLAT)
     assert {r.seq: r.reason for r in flow.final_reasons(p, c).collect()} == reasons
@@ -413,7 +529,7 @@ def test_comments_of_rejected_posts_are_not_seen(spark):
     other = " ".join(reversed(LONG.split()))
     posts = [(1, 1, LONG, 9, 0, 9), (2, 2, LONG, 9, 0, 9), (3, 3, other, 9, 0, 9)]
     words = "these words stand below two posts of which one is an exact copy"
-    comments = [("2", [0], 0, "a", 1, words, None, "{}"), ("3", [0], 0, "a", 1, words, None, "{}"), ("3", [1], 0, "b", 1, words.upper(), None, "{}")]
+    comments = [(2, "2", [0], 0, "a", 1, words, None, "{", "}"), (3, "3", [0], 0, "a", 1, words, None, "{", "}"), (3, "3", [1], 0, "b", 1, words.upper(), None, "{", "}")]
     p = spark.createDataFrame(posts, "seq long, post_id long, selftext string, author_account_age_days int, author_comment_karma int, score int")
     c = spark.createDataFrame(comments, tree.FLAT)
     assert [(r.post_id, list(r.path)) for r in flow.filtered(p, c)[1].collect()] == [("3", [0])]
@@ -543,9 +659,12 @@ def test_progress(spark, tmp_path):
     assert progress.next_index(spark, path) == 5 and progress.left_over(spark.range(9).withColumnRenamed("id", "batch_index"), spark, path).count() == 4
     progress.clear(spark, path)
     assert progress.next_index(spark, path) == 0
+    (tmp_path / "damaged").mkdir()
+    (tmp_path / "damaged" / "part-0.parquet").write_bytes(b"PAR1 no table PAR1")
+    assert progress.next_index(spark, str(tmp_path / "damaged")) == 0
 
 
 def test_filter_stats(spark):
-    posts = spark.createDataFrame([(1,), (2,)], "post_id long")
-    stats = spark.createDataFrame([("1", 3, 2)], "post_id string, original_comments int, kept_comments int")
-    assert {r.post_id: r._filter_stats and tuple(r._filter_stats) for r in flow.with_filter_stats(posts, stats).collect()} == {1: (3, 2), 2: None}
+    posts = spark.createDataFrame([(1,), (2,)], "seq long")
+    stats = spark.createDataFrame([(1, 3, 2)], "seq long, original_comments int, kept_comments int")
+    assert {r.seq: r._filter_stats and tuple(r._filter_stats) for r in flow.with_filter_stats(posts, stats).collect()} == {1: (3, 2), 2: None}

@@ -23,9 +23,14 @@ def dealt_out(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size < cores * ENOUGH and len(df._jdf.inputFiles()) < cores else df
 
 
-#: Splits from the first on: a row each, far fewer than the rows of files.
-_ORDER = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-_WITHIN = Window.partitionBy("split").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _so_far(column: str) -> Column:
+    """The sum over the rows of a split up to this one."""
+    return F.sum(column).over(Window.partitionBy("split").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _before(sizes: DataFrame, column: str) -> Column:
+    """The sum over the splits before; a table of splits has a row for each, far fewer than those of files."""
+    return F.sum(column).over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(column)
 
 
 def pieces(spark: SparkSession, path: str, end: str) -> DataFrame:
@@ -35,11 +40,6 @@ def pieces(spark: SparkSession, path: str, end: str) -> DataFrame:
     return text.select("value", F.struct("_metadata.file_path", "_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"), "_metadata.file_size")
 
 
-def _before(sizes: DataFrame, column: str) -> Column:
-    """The sum over the splits before."""
-    return F.sum(column).over(_ORDER) - F.col(column)
-
-
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
     """seq, value of the lines of files, in order of the files' names and of the places in them, whatever sizes the files have and however they are cut. Blank lines are left out.
 
@@ -48,7 +48,7 @@ def json_lines(spark: SparkSession, path: str) -> DataFrame:
     rows = pieces(spark, path, "\n").where(F.trim("value") != "")
     sizes = rows.groupBy("split").agg(F.count("*").alias("n"))
     sizes = sizes.select(F.col("split").alias("of"), _before(sizes, "n").alias("before"))
-    placed = rows.withColumn("place", F.row_number().over(_WITHIN) - 1)
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("split").orderBy("row")) - 1)
     return placed.join(sizes, F.col("split") == F.col("of")).select((F.col("before") + F.col("place")).alias("seq"), "value")
 
 
@@ -72,20 +72,21 @@ def json_elements(spark: SparkSession, path: str) -> DataFrame:
     # a piece's closing brace counts where it stands outside of a string
     rows = once(rows, odd=odd, out=_depth(0) - F.when(odd == 0, F.col("brace")).otherwise(0), inside=_depth(1) - F.when(odd == 1, F.col("brace")).otherwise(0)).drop("parts")
     # within a split first as if it began outside of a string, and as if inside
-    rows = rows.withColumn("turned", (F.sum("odd").over(_WITHIN) - F.col("odd")) % 2)
+    rows = rows.withColumn("turned", (_so_far("odd") - F.col("odd")) % 2)
     rows = rows.withColumn("a", F.when(F.col("turned") == 0, F.col("out")).otherwise(F.col("inside"))).withColumn("b", F.when(F.col("turned") == 0, F.col("inside")).otherwise(F.col("out")))
     splits = rows.groupBy("split").agg((F.sum("odd") % 2).alias("odd"), F.sum("a").alias("a"), F.sum("b").alias("b"))
     splits = splits.withColumn("quoted", _before(splits, "odd") % 2)
     splits = splits.withColumn("change", F.when(F.col("quoted") == 0, F.col("a")).otherwise(F.col("b")))
     splits = splits.select(F.col("split").alias("of"), "quoted", _before(splits, "change").alias("deep"))
     rows = rows.join(splits, F.col("split") == F.col("of")).drop("of")
-    depth = F.col("deep") + F.sum(F.when(F.col("quoted") == 0, F.col("a")).otherwise(F.col("b"))).over(_WITHIN)
+    rows = rows.withColumn("change", F.when(F.col("quoted") == 0, F.col("a")).otherwise(F.col("b")))
+    depth = F.col("deep") + _so_far("change")
     outside = (F.col("turned") + F.col("quoted") + F.col("odd")) % 2 == 0
     rows = rows.withColumn("ends", (outside & (depth == 1) & (F.col("brace") == 1)).cast("long"))
     ended = rows.groupBy("split").agg(F.sum("ends").alias("n"))
     ended = ended.select(F.col("split").alias("of"), _before(ended, "n").alias("before"))
     rows = rows.join(ended, F.col("split") == F.col("of"))
-    rows = rows.withColumn("seq", F.col("before") + F.sum("ends").over(_WITHIN) - F.col("ends"))
+    rows = rows.withColumn("seq", F.col("before") + _so_far("ends") - F.col("ends"))
     text = F.concat("value", F.when(F.col("brace") == 1, "}").otherwise(""))
     whole = rows.groupBy("seq").agg(F.max("ends").alias("ends"), F.array_sort(F.collect_list(F.struct("split", "row", text.alias("text")))).alias("p")).where("ends = 1")
     # before an element stands a comma, or the bracket that opens its array and the end of the array before

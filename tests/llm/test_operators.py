@@ -1,6 +1,7 @@
 """Each operator against a plain version, over rows that hold every odd case; and over an empty table."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -421,3 +422,28 @@ def test_short_lines_recur_too(spark):
     by = {r.doc_id: r.clean_text for r in line_templates.deduplicated_lines(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
     assert by[0] == rows_[0][1] and by[1] == "x\n\nno"
     assert by[10].startswith("menu\n") and not any("menu" in by[i] for i in range(11, 22))
+
+
+def test_rejection_by_length(spark):
+    """Noise of many scripts from ten words on is rejected, texts of the corpus are not; limits rise with the size."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(docs)
+    assert (np.diff(model.least, axis=1) >= 0).all()
+    rng = random.Random(99)
+    words = lambda n, a: " ".join("".join(rng.choices(a, k=rng.randint(2, 9))) for _ in range(n))
+    for first, last in ((0x61, 0x7B), (0x430, 0x450), (0x10D0, 0x10F0), (0x5000, 0x5E00)):
+        letters = "".join(map(chr, range(first, last)))
+        for n in (10, 50, 200, 1000):
+            assert sum(r[2] for r in model.predict([words(n, letters) for _ in range(30)])) >= 27, (letters[:1], n)
+        assert sum(r[2] for r in model.predict(["".join(rng.choices(letters, k=1000)) for _ in range(30)])) >= 27
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(3000).collect() if language_id.has_letter(r.text)]
+    assert sum(r[2] for r in model.predict(texts)) <= 0.005 * len(texts)
+
+
+def test_every_language_is_learned(spark):
+    words = {f"l{i}": "".join(chr(0x4E00 + 40 * i + k) for k in range(20)) for i in range(60)}
+    rng = random.Random(1)
+    rows_ = [(i, "".join(rng.choices(words[f"l{i % 60}"], k=80)), f"l{i % 60}") for i in range(900)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    found = language_id.language_id(df).join(df.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(language_id.fit(df).languages) == 60 and sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)

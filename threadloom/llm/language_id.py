@@ -2,8 +2,9 @@
 
 A text becomes counts of hashed byte n-grams (1 to 4 bytes of its lower-cased letters and what parts them), damped, weighted by inverse document
 frequency and normalised. Each language has several centroids, found by spherical k-means; the nearest centroid by cosine names the language. A text
-farther from all centroids than nearly all training texts of its length were, by a margin, is rejected. Limits for short lengths come from pieces of training texts;
-those of lengths or languages with too few training texts come from all languages together.
+is rejected if its cosine is below a limit for its size, that is how many different n-grams it has (a word said a thousand times is a short text), or below a part of the limit for all of them. The limit is where nearly all noise of that size
+is below, words of letters drawn by chance from many scripts and from the training texts; but never above what nearly all training texts and pieces of that size have, by a margin. Sizes
+and languages with too few training texts take the limits of all languages together. Limits rise with the size.
 """
 
 from __future__ import annotations
@@ -22,12 +23,15 @@ from .common import BATCH_ROWS, in_fold, map_batches
 #: Buckets of the n-gram hash.
 DIMS = 8192
 GRAMS = (1, 2, 3, 4)
-#: Bounds of the fit: languages (the most frequent ones), labelled texts for each language, in all, bytes of one and of all; centroids of a language.
-LANGUAGES, PER_LANGUAGE, SAMPLE, SAMPLE_BYTES, TOTAL_BYTES, CENTROIDS = 1000, 800, 6000, 100_000, 64 << 20, 4
-#: A text is rejected below this share of the cosine that all but LOW of the training texts of its length had.
-MARGIN, LOW = 0.4, 0.01
-#: Texts or pieces that a limit of its own takes for a length; lengths (log2 of n-grams) for which pieces are cut; pieces of a language and length.
-NEAR, PIECED, PIECES = 20, range(3, 12), 200
+#: Bounds of the fit: labelled texts for each language at most and at least, in all, bytes of one and of all; centroids of a language. Every language is learned.
+PER_LANGUAGE, FEWEST, SAMPLE, SAMPLE_BYTES, TOTAL_BYTES, CENTROIDS = 800, 8, 6000, 100_000, 64 << 20, 4
+#: The share of noise of each kind that is rejected where texts allow it; the share of training texts that may be, and what part of their cosine is the most that a limit takes.
+NOISE, LOW, MARGIN = 0.95, 0.01, 0.9
+#: Texts or pieces that a limit of its own takes for a size; sizes (log2 of different n-grams); lengths (log2 of n-grams) of pieces and noise; pieces of all languages and noise of a kind for each length; the part of a limit that a
+#: text of as many n-grams, different or not, must reach.
+NEAR, SIZES, LENGTHS, PIECES, NOISES, REPEATED = 40, 14, range(3, 17), 400, 40, 0.3
+#: First letters and how many, of the scripts that noise is drawn from, besides the letters of the training texts.
+SCRIPTS = ((0x61, 26), (0xE0, 24), (0x430, 32), (0x3B1, 25), (0x5D0, 27), (0x627, 36), (0x905, 53), (0xE01, 46), (0xAC00, 2000), (0x3041, 83), (0x4E00, 4000))
 #: Every ASCII byte that is no letter becomes a space.
 _LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _PIECE = 1 << 20
@@ -60,7 +64,7 @@ class LanguageModel:
     idf: np.ndarray
     centroids: np.ndarray  # a row each
     owner: np.ndarray  # language of each centroid
-    least: np.ndarray  # least cosine allowed, by language and log2 of the text's n-grams
+    least: np.ndarray  # least cosine allowed, by language and size
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         out = np.log1p(counts).astype(np.float32) * self.idf
@@ -77,15 +81,21 @@ class LanguageModel:
             best = np.full((len(some), len(self.languages)), -1.0)
             for j, language in enumerate(self.owner):
                 best[:, language] = np.maximum(best[:, language], cosines[:, j])
-            size = np.log2(counts.sum(axis=1) + 1).astype(int).clip(0, self.least.shape[1] - 1)
+            size, length = _sizes(counts), np.log2(counts.sum(axis=1) + 1).astype(int).clip(0, SIZES - 1)
             for row, i in enumerate(some):
                 order = np.argsort(-best[row], kind="stable")
                 top, second = best[row, order[0]], best[row, order[1]] if len(order) > 1 else 0.0
                 score = float(np.clip(max(top, 0) / max(max(top, 0) + max(second, 0), 1e-9), 0, 1))
-                out[i] = (self.languages[order[0]], score, bool(top < self.least[order[0], size[row]]))
+                limits = self.least[order[0]]
+                out[i] = (self.languages[order[0]], score, bool(top < max(limits[size[row]], REPEATED * limits[length[row]])))
         return out
 
 
+def _sizes(counts: np.ndarray) -> np.ndarray:
+    """log2 of a text's different n-grams."""
+    return np.log2(np.count_nonzero(counts, axis=-1) + 1).astype(int).clip(0, SIZES - 1)
+
+
 def _centroids(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means from the farthest-first start; without chance."""
     chosen = [int(np.argmax(vectors @ vectors.mean(axis=0)))]
@@ -103,17 +113,17 @@ def _centroids(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learns from text and lang of the rows outside the held-out fold, lang not null. Document frequencies come from all of them; centroids from a sample of
-    at most PER_LANGUAGE texts of a language and SAMPLE in all, of at most SAMPLE_BYTES each and about TOTAL_BYTES in all, chosen by a hash. The LANGUAGES most frequent languages are
-    learned; one whose texts are all longer than SAMPLE_BYTES is not."""
+    at most PER_LANGUAGE texts of a language and SAMPLE in all (but FEWEST of each), of at most SAMPLE_BYTES each and about TOTAL_BYTES in all, chosen by a hash. All languages are learned, with
+    128 KB each in the model, but for one whose texts are all longer than SAMPLE_BYTES."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(~in_fold(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     fits = F.octet_length("text") <= SAMPLE_BYTES
     sums = rows.groupBy("lang").agg(F.count("*").alias("n"), F.coalesce(F.avg(F.when(fits, F.octet_length("text"))), F.lit(0.0)).alias("bytes"))
-    found = {r.lang: r for r in sums.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    found = {r.lang: r for r in sums.collect()}  # a row for each language
     counts = {k: r.n for k, r in found.items()}
     languages = sorted(counts)
     if not languages:
-        return LanguageModel([], np.ones(DIMS, np.float32), np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((0, 40)))
+        return LanguageModel([], np.ones(DIMS, np.float32), np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((0, SIZES)))
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, seen = 0, np.zeros(DIMS, np.int64)
@@ -130,42 +140,82 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
         frequency[r.dim] = r.n
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])).astype(np.float32) + 0.05
 
-    each = max(1, min(PER_LANGUAGE, SAMPLE // len(languages)))
+    each = max(FEWEST, min(PER_LANGUAGE, SAMPLE // len(languages)))
     draw = F.pmod(F.xxhash64(F.lit(7), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    most = {k: max(1, min(each, int(TOTAL_BYTES / len(languages) / max(r.bytes, 1)))) for k, r in found.items()}
+    most = {k: max(FEWEST, min(each, int(TOTAL_BYTES / len(languages) / max(r.bytes, 1)))) for k, r in found.items()}
     share = F.try_element_at(F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(1.5 * most[k] / n + 20 / n)))), F.col("lang"))
     some = rows.where((draw < share) & fits).select("lang", draw.alias("draw"), "text").toPandas()
-    model = LanguageModel(languages, idf, np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((len(languages), 40)))
-    centres, owner, cosines = [], [], {}
+    model = LanguageModel(languages, idf, np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros((len(languages), SIZES)))
+    centres, owner, samples = [], [], {}
     for i, language in enumerate(languages):
         texts = [t for t in some[some.lang == language].sort_values(["draw", "text"]).text[: most[language]] if has_letter(t)]
         if not texts:
             continue
-        counted = np.stack([gram_counts(t) for t in texts])
-        vectors = model.vectors(counted)
-        mine = _centroids(vectors, CENTROIDS)
+        mine = _centroids(model.vectors(np.stack([gram_counts(t) for t in texts])), CENTROIDS)
         centres.append(mine)
         owner += [i] * len(mine)
-        size = np.log2(counted.sum(axis=1) + 1).astype(int).clip(0, 39)
-        cosine = (vectors @ mine.T).max(axis=1)
-        cosines[i] = [cosine[size == s] for s in range(40)]
-        for s in PIECED:
-            pieces = [p for p in (_piece(t, s, k) for k, t in enumerate((texts * PIECES)[:PIECES])) if has_letter(p)]
-            if pieces:
-                got = model.vectors(np.stack([gram_counts(p) for p in pieces])) @ mine.T
-                cosines[i][s] = np.concatenate([cosines[i][s], got.max(axis=1)])
+        samples[i] = texts
     model.centroids, model.owner = np.concatenate(centres) if centres else model.centroids, np.array(owner, int)
     if not centres:
         model.languages = []
         return model
-    pooled = _limits([np.concatenate([c[s] for c in cosines.values()]) for s in range(40)])
-    for i, own in cosines.items():
-        own = _limits(own)
-        model.least[i] = np.where(np.isnan(own), pooled, own)
-    model.least = MARGIN * np.nan_to_num(_onward(model.least))
+    model.least = _limits(model, samples)
     return model
 
 
+def _cosines(model: LanguageModel, texts: list[str], centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and nearest cosines."""
+    sizes, cosines = [np.zeros(0, int)], [np.zeros(0)]
+    for first in range(0, len(texts), 64):
+        counts = np.stack([gram_counts(t) for t in texts[first : first + 64]])
+        sizes.append(_sizes(counts))
+        cosines.append((model.vectors(counts) @ centroids.T).max(axis=1))
+    return np.concatenate(sizes), np.concatenate(cosines)
+
+
+def _limits(model: LanguageModel, samples: dict[int, list[str]]) -> np.ndarray:
+    """The least cosine by language and size."""
+    each = max(NEAR // len(LENGTHS) + 1, PIECES // len(samples))
+    allowed, whole = {}, [[] for _ in range(SIZES)]
+    for i, texts in samples.items():
+        pieces = [p for s in LENGTHS for p in (_piece(t, s, k) for k, t in enumerate((texts * each)[:each])) if has_letter(p)]
+        sizes, cosines = _cosines(model, texts + pieces, model.centroids[model.owner == i])
+        own = [cosines[sizes == s] for s in range(SIZES)]
+        allowed[i] = np.array([MARGIN * np.quantile(c, LOW) if len(c) >= NEAR else np.nan for c in own])
+        for s in range(SIZES):
+            whole[s].append(own[s])
+    whole = [np.concatenate(c) for c in whole]
+    common = np.array([MARGIN * np.quantile(c, LOW) if len(c) >= NEAR else np.nan for c in whole])
+    noise = _noise_limits(model, sorted({c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()}))
+    out = np.zeros((len(model.languages), SIZES))
+    for i, own in allowed.items():
+        own = np.where(np.isnan(own), common, own)
+        for s in range(1, SIZES):  # sizes without texts take what the one below them allows
+            own[s] = own[s - 1] if np.isnan(own[s]) else own[s]
+        # a limit is never above what any larger size allows, so that it rises
+        own = np.minimum.accumulate(np.nan_to_num(own)[::-1])[::-1]
+        out[i] = np.minimum(own, noise)
+    return out
+
+
+def _noise_limits(model: LanguageModel, letters: list[str]) -> np.ndarray:
+    """By size the cosine that NOISE of the words drawn from each script stay below."""
+    rng = np.random.default_rng(7)
+    scripts = [[chr(first + i) for i in range(n) if chr(first + i).isalpha()] for first, n in SCRIPTS] + [letters]
+    found = np.zeros((len(scripts), SIZES))
+    for k, script in enumerate(scripts):
+        texts = []
+        for length in LENGTHS:
+            want = int(2 ** (length + 0.5) / len(GRAMS) / max(1, len("".join(script[:50]).encode()) / min(50, len(script))))
+            for _ in range(NOISES if length < 13 else NOISES // 4):
+                drawn = rng.integers(0, len(script), max(want, 2))
+                ends = set(np.cumsum(rng.integers(2, 10, len(drawn))).tolist())
+                texts.append("".join(script[c] + (" " if at in ends else "") for at, c in enumerate(drawn)))
+        sizes, cosines = _cosines(model, texts, model.centroids)
+        found[k] = [np.quantile(cosines[sizes == s], NOISE) if (sizes == s).sum() >= 8 else 0.0 for s in range(SIZES)]
+    return np.maximum.accumulate(found.max(axis=0))
+
+
 def _piece(text: str, size: int, k: int) -> str:
     """A piece of a text with some 2 ** (size + 0.5) n-grams, from a word's beginning; the k-th place of it, spread over the text."""
     want = int(2 ** (size + 0.5) / len(GRAMS))
@@ -174,20 +224,6 @@ def _piece(text: str, size: int, k: int) -> str:
     return text[at : at + want]
 
 
-def _limits(cosines: list[np.ndarray]) -> np.ndarray:
-    """By length the cosine that all but LOW have, over that length and its neighbours; nan where these are fewer than NEAR."""
-    about = [np.concatenate(cosines[max(s - 1, 0) : s + 2]) for s in range(len(cosines))]
-    return np.array([min(np.quantile(a, LOW), np.quantile(own, LOW) if len(own) >= NEAR else 1.0) if len(a) >= NEAR else np.nan for a, own in zip(about, cosines)])
-
-
-def _onward(least: np.ndarray) -> np.ndarray:
-    """Lengths without a limit take that of the longest length below them that has one."""
-    out = least.copy()
-    for s in range(1, out.shape[1]):
-        out[:, s] = np.where(np.isnan(out[:, s]), out[:, s - 1], out[:, s])
-    return out
-
-
 def predictor(docs: DataFrame, model: LanguageModel):
     """A column function: text -> struct(lang_pred, score, rejected)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -6,7 +6,7 @@ its share among all documents' features; a document's weight is the mean gain of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import once
@@ -94,14 +94,11 @@ def importance_sample(
     ranged = fit.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     ranged = cut(ranged.select("doc_id", "n_words", "n_features", "weight", "score", F.spark_partition_id().alias("range"), place.alias("place")), "importance-ranges")
-    sizes = ranged.groupBy("range").agg(F.count("*").alias("n")).collect()  # a row for each range
-    before, total = [], 0
-    for r in sorted(sizes, key=lambda r: r["range"]):
-        before.append((r["range"], total))
-        total += r["n"]
-    offsets = spark.createDataFrame(before, "of int, before long")
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("n"))  # a row for each range
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    offsets = sizes.select(F.col("range").alias("of"), before.alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
     rank = F.col("before") + F.col("place") + 1
     columns = ["doc_id", "n_words", "n_features", "weight", "score"]
-    drawn = ranged.join(F.broadcast(offsets), F.col("range") == F.col("of")).select(*columns, F.when(rank <= total * percent // 100, rank).alias("rank"))
+    drawn = ranged.join(F.broadcast(offsets), F.col("range") == F.col("of")).select(*columns, F.when(rank <= F.expr(f"total * {int(percent)} div 100"), rank).alias("rank"))
     rest = scored.where(F.col("n_words") < least_words).select(*columns, F.lit(None).cast("long").alias("rank"))
     return drawn.unionByName(rest)

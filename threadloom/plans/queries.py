@@ -11,9 +11,10 @@ from ..config import CAPACITY, RELAXED, Gate
 from ..functions import text as T
 from ..functions.columns import once
 from ..functions.members import quoted
-from ..functions.repair import mended
+from ..functions import udtfs
+from ..functions.repair import mended_json
 from ..operators import backends, batching, dedup, gate, graph, render, reports, tree
-from ..sources import readers, sinks
+from ..sources import buckets, readers, sinks
 from . import flow, tables
 
 #: The gate with exact copies only, which SQL can say too: no similarity is above 1.
@@ -544,12 +545,17 @@ def sample_head(spark, d):
 
 
 # ---- models, reports ----
-@query()
+_CUT = "left(props, greatest(length(props) - 7, 1))"
+
+
+@query(f"""WITH p AS (SELECT event_id, trim({_CUT}) AS s FROM events WHERE props IS NOT NULL),
+  t AS (SELECT event_id, [s] || flatten(list_transform(range(least(length(s), 500)), lambda d: list_transform(['}}', ']', ']}}'], lambda c: left(s, length(s) - d) || c))) AS tries FROM p),
+  m AS (SELECT event_id, list_filter(tries, lambda x: json_valid(x))[1] AS j FROM t)
+  SELECT event_id, CAST(json(j) AS VARCHAR) AS mended FROM m""")
 def json_repair(spark, d):
     """The props of events, cut short by seven characters and mended."""
-    fixed = F.pandas_udf(lambda s: s.map(mended), "string")
     rows = tables.read(spark, d, "events").where("props IS NOT NULL")
-    return rows.select("event_id", fixed(F.expr("substring(props, 1, greatest(length(props) - 7, 1))")).alias("mended"))
+    return rows.select("event_id", mended_json(F.expr("substring(props, 1, greatest(length(props) - 7, 1))")).alias("mended"))
 
 
 def _extractions(spark, d):
@@ -631,24 +637,43 @@ def lens_previews(spark, d):
     return reports.report_previews(_lens_reports(spark, d))
 
 
-@query("SELECT 'Unknown Event' AS topic, 'N/A' AS past, 'now' AS now, 'x' AS a_name, 'N/A' AS a_probability, 'No description available' AS a_description, 'N/A' AS b_name, 'N/A' AS b_probability, 'No description available' AS b_description, 'N/A' AS c_name, 'N/A' AS c_probability, 'No description available' AS c_description")
+# a report for each source, from its documents; an odd number of them leaves fields out
+_BY_SOURCE = "SELECT source, count(*) AS n, min(lang) AS low, list_sort(list(DISTINCT lang)) AS langs FROM documents GROUP BY source"
+_MISSING = ", ".join(f"'N/A' AS {k}_name, 'N/A' AS {k}_probability, 'No description available' AS {k}_description" for k in "bc")
+
+
+def _report_documents(spark, d):
+    by = _docs(spark, d).groupBy("source").agg(F.count("*").alias("n"), F.min("lang").alias("low"), F.array_sort(F.collect_set("lang")).alias("langs"))
+    topic = F.when(F.col("n") % 2 == 0, F.col("source"))
+    text = F.to_json(F.struct(topic.alias("event_topic"), F.concat("n", F.lit(" documents")).alias("current_state"), F.struct(F.col("low").alias("name")).alias("scenario_a"), F.col("langs").alias("early_warning_signals")))
+    return by.select(F.from_json(text, reports.SCENARIO).alias("r")).select("r.*")
+
+
+@query(f"SELECT CASE WHEN n % 2 = 0 THEN coalesce(source, 'Unknown Event') ELSE 'Unknown Event' END AS topic, 'N/A' AS past, n || ' documents' AS now, coalesce(low, 'N/A') AS a_name, 'N/A' AS a_probability, 'No description available' AS a_description, {_MISSING} FROM ({_BY_SOURCE})")
 def report_view(spark, d):
-    report = spark.range(1).select(F.from_json(F.lit('{"current_state": "now", "scenario_a": {"name": "x"}}'), reports.SCENARIO).alias("r")).select("r.*")
-    return reports.report_view(report)
+    """Reports of sources, of which some fields are missing, as a dashboard shows them."""
+    return reports.report_view(_report_documents(spark, d))
 
 
-@query("SELECT * FROM (VALUES (1, 'first'), (2, 'second')) AS s(number, signal)")
+@query(f"SELECT CAST(unnest(range(1, len(langs) + 1)) AS INTEGER) AS number, unnest(langs) AS signal FROM (SELECT list_filter(langs, lambda x: x IS NOT NULL) AS langs FROM ({_BY_SOURCE}))")
 def report_signals(spark, d):
-    report = spark.range(1).select(F.from_json(F.lit('{"early_warning_signals": ["first", "second"]}'), reports.SCENARIO).alias("r")).select("r.*")
-    return reports.report_signals(report)
+    """Their signals, numbered."""
+    return reports.report_signals(_report_documents(spark, d))
 
 
-@query("SELECT 'General Overview' AS title, 'No summary available.' AS summary, 40.0 AS negative, 60.0 AS positive, 1 AS n_drivers")
+@query("""SELECT CASE WHEN count(*) % 2 = 0 THEN coalesce(nullif(source, ''), 'General Overview') ELSE 'General Overview' END AS title, 'No summary available.' AS summary,
+  round(100.0 * sum(toxic) / count(toxic), 6) AS negative, round(100.0 - 100.0 * sum(toxic) / count(toxic), 6) AS positive, count(DISTINCT lang) AS n_drivers
+  FROM documents LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) USING (doc_id) GROUP BY source""")
 def sidebar_view(spark, d):
-    kind = "struct<scenario_analysis:struct<title:string,summary:string,key_drivers:array<string>>,metadata:struct<overall_average_sentiment:struct<negative:double,positive:double>>>"
-    text = F.lit('{"scenario_analysis": {"title": "", "key_drivers": ["x"]}, "metadata": {"overall_average_sentiment": {"negative": 40, "positive": 60}}}')
-    document = spark.range(1).select(F.from_json(text, kind).alias("r")).select("r.*")
-    return reports.sidebar(document).withColumn("n_drivers", F.size("drivers")).drop("drivers")
+    """What a sidebar shows of each source: title, summary, sentiment by the labels of its documents, number of drivers."""
+    toxic = tables.read(spark, d, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    by = _docs(spark, d).join(toxic, "doc_id", "left").groupBy("source").agg(F.count("*").alias("n"), F.try_divide(F.sum("toxic") * 100.0, F.count("toxic")).alias("negative"), F.collect_set("lang").alias("langs"))
+    document = by.select(
+        F.struct(F.when(F.col("n") % 2 == 0, F.col("source")).otherwise("").alias("title"), F.lit(None).cast("string").alias("summary"), F.col("langs").alias("key_drivers")).alias("scenario_analysis"),
+        F.struct(F.struct("negative", (100.0 - F.col("negative")).alias("positive")).alias("overall_average_sentiment")).alias("metadata"),
+    )
+    shown = reports.sidebar(document).withColumn("n_drivers", F.size("drivers").cast("long")).drop("drivers")
+    return shown.withColumn("negative", _r(F.col("negative"))).withColumn("positive", _r(F.col("positive")))
 
 
 @query("SELECT event_id, trim(props) AS body FROM events WHERE props IS NOT NULL")
@@ -792,3 +817,56 @@ def page_nodes(spark, d):
     kind = F.when(F.col("event_type") == "view", "Concept").when(F.col("event_type") == "signup", "Person").when(F.col("event_type") == "purchase", "Organization").otherwise("Event")
     nodes = e.groupBy(F.col("event_type").alias("name"), kind.alias("type")).agg(F.count("*").alias("mentions"))
     return graph.element_nodes(nodes).withColumn("width", _r(F.col("width")))
+
+
+# ---- tables in buckets, streams with state, table functions ----
+@query("SELECT event_id // 100 AS batch_index, count(*) AS n, CASE WHEN (event_id // 100) % 2 = 0 THEN 'new' ELSE 'old' END AS version FROM events GROUP BY ALL")
+def upsert_buckets(spark, d):
+    """Batches in buckets, of which half come again in a new version."""
+    rows = tables.relations(spark, d).groupBy("batch_index").agg(F.count("*").alias("n"))
+    path = sinks.shared_path(spark, "batches-in-buckets")
+    buckets.create(rows.withColumn("version", F.lit("old")), path, ["batch_index"], 16)
+    buckets.upsert(rows.where("batch_index % 2 = 0").withColumn("version", F.lit("new")), path, ["batch_index"], buckets.latest_batches)
+    return buckets.read(spark, path).select("batch_index", "n", "version")
+
+
+@query(f"WITH {_REL} SELECT source, target, relation, evidence, weight FROM edge")
+def edges_in_buckets(spark, d):
+    """The first half of the relations as a table of edges in buckets, the second half merged into it."""
+    rows = _rel(spark, d)
+    half, path = rows.agg((F.max("seq") / 2).alias("half")).first().half, sinks.shared_path(spark, "edges-in-buckets")
+    buckets.create(graph.edge_merge(rows.where(F.col("seq") <= half)), path, ["source", "target"], 16)
+    buckets.upsert(graph.edge_merge(rows.where(F.col("seq") > half)), path, ["source", "target"], graph.merged_edges)
+    return buckets.read(spark, path).select("source", "target", "relation", "evidence", "weight")
+
+
+@query(f"SELECT min(doc_id) AS doc_id FROM (SELECT doc_id, source, lower({_strip('text')}) AS f FROM documents) GROUP BY source, f")
+def stream_dedup(spark, d):
+    """The deduplicator of exact copies over a stream of the documents, a lane for each source, in four parts; each part is a query that starts again from the checkpoint."""
+    from ..streaming import dedup as stream
+
+    docs = _docs(spark, d).select(F.col("doc_id").alias("seq"), F.lit(0).alias("at"), "text", "source")
+    ends = docs.agg(F.min("seq").alias("low"), F.max("seq").alias("high")).first()
+    out = sinks.shared_path(spark, "stream-dedup")
+    key, provider = stream.STORE
+    before = spark.conf.get(key)
+    spark.conf.set(key, provider)
+    try:
+        for part in range(4 if ends.low is not None else 0):
+            width = (ends.high - ends.low) // 4 + 1
+            docs.where(F.floor((F.col("seq") - ends.low) / width) == part).write.mode("append").parquet(f"{out}/in")
+            live = stream.walked(spark.readStream.schema(docs.schema).parquet(f"{out}/in"), limits=EXACT, lane="source")
+            live.writeStream.format("parquet").outputMode("append").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    found = spark.read.schema("seq long, status int").parquet(f"{out}/rows") if ends.low is not None else spark.createDataFrame([], "seq long, status int")
+    return found.where(F.col("status") == dedup.KEPT).select(F.col("seq").alias("doc_id"))
+
+
+@query(f"""SELECT conv_id AS post_seq, CAST(count(*) AS INTEGER) AS n_comments, string_agg({_PAD} || '[COMMENT]' || chr(10) || {_PAD} || 'Author: ' || role || chr(10) || {_PAD} || 'Score: ' || turn || chr(10) || {_PAD} || 'Body: ' || text, chr(10) ORDER BY turn)
+  || chr(10) || string_agg({_PAD} || '[/COMMENT]', chr(10) ORDER BY turn DESC) AS text FROM conversations GROUP BY 1""")
+def threads_function(spark, d):
+    """Threads as text by the table function."""
+    udtfs.register(spark)
+    tables.comments(spark, d).createOrReplaceTempView("__threadloom_comments")
+    return spark.sql("SELECT * FROM threads(TABLE(SELECT post_seq, path, depth, author, score, body FROM __threadloom_comments), 'post_seq')")

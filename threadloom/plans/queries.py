@@ -244,6 +244,17 @@ def filter_summary_exact(spark, d):
     return _summary(flow.final_reasons(*_both(spark, d), EXACT))
 
 
+@query(f"""WITH RECURSIVE {_SEQUENCE}, c AS (SELECT count(*) AS n, count(k.seq) AS kept FROM cj LEFT JOIN kept k ON k.seq = cj.conv_id AND k.at_ = 1 WHERE turn = 0),
+  r AS (SELECT reason, count(*) AS n FROM final WHERE reason IS NOT NULL GROUP BY reason)
+  SELECT count(*) AS original_posts, count(*) FILTER (reason IS NULL) AS kept_posts, count(*) FILTER (reason IS NOT NULL) AS rejected_posts, (SELECT n FROM c) AS original_comments, (SELECT kept FROM c) AS kept_comments,
+    (SELECT n - kept FROM c) AS rejected_comments, (SELECT string_agg(reason || ': ' || n, ', ' ORDER BY n DESC, reason) FROM r) AS reasons FROM final""")
+def filter_metrics_exact(spark, d):
+    """The figures that a filter run reports, all from one run."""
+    found = flow.filter_run(*_both(spark, d), EXACT).metrics()
+    listed = F.array_join(F.transform("rejection_reasons", lambda r: F.concat(r["reason"], F.lit(": "), r["n"].cast("string"))), ", ")
+    return found.withColumn("reasons", listed).drop("rejection_reasons")
+
+
 @query(f"WITH RECURSIVE {_SEQUENCE} SELECT reason, count(*) AS n FROM final WHERE reason IS NOT NULL GROUP BY reason")
 def rejection_histogram_exact(spark, d):
     return _histogram(flow.final_reasons(*_both(spark, d), EXACT))
@@ -609,6 +620,36 @@ def lens_reports(spark, d):
     return _lens_reports(spark, d)
 
 
+class Partly(backends.RuleBackend):
+    """The rule backend, out of reach for two of the roles."""
+
+    ROLES = ("Political Strategist", "Ethicist")
+
+    def generate(self, system: str, user: str) -> str:
+        if any(r in system for r in self.ROLES):
+            raise ConnectionError(system)
+        return super().generate(system, user)
+
+
+def _partly(spark, d):
+    return reports.lens_reports(graph.summary_lines(graph.top_edges(_edges(spark, d), _vertices(spark, d), 50)), Partly())
+
+
+_FAILS = "lens IN ('power', 'ethics')"
+
+
+@query(f"WITH {_REPORTS} SELECT place, lens, CASE WHEN {_FAILS} THEN NULL ELSE summary END AS summary, CASE WHEN {_FAILS} THEN '{backends.FAILED}' END AS raw_analysis, CASE WHEN {_FAILS} THEN 'json_parse_failed' END AS error FROM report")
+def lens_failures(spark, d):
+    """Lens reports of which two fail: these keep what came back, and the others are as they are."""
+    return _partly(spark, d).select("place", "lens", "summary", "raw_analysis", "error")
+
+
+@query(f"WITH {_REPORTS} SELECT string_agg({_SECTION}, chr(10) ORDER BY place) AS context FROM report WHERE NOT {_FAILS}")
+def scenario_context_after_failures(spark, d):
+    """The scenario's context leaves out lenses that failed."""
+    return reports.scenario_context(_partly(spark, d))
+
+
 @query(f"WITH {_REPORTS} SELECT string_agg({_SECTION}, chr(10) ORDER BY place) AS context FROM report")
 def scenario_context(spark, d):
     return reports.scenario_context(_lens_reports(spark, d))

@@ -1,14 +1,21 @@
-"""Toxicity by a convolutional text classifier, trained in numpy.
+"""Toxicity by convolutional text classifiers, trained by tasks on all labelled rows.
 
 Words are hashed, whole and by their first letters, to rows of an embedding table. Filters of several widths slide over the embedded words, the greatest
-answer of each filter over the whole text is kept (max pooling), and a logistic unit weighs these. A threshold for each language, which is
-recognised from the text, is calibrated on training rows kept out of the training; scores are moved so that 0.5 is the threshold.
+answer of each filter over the whole text is kept (max pooling), and a logistic unit weighs these.
+
+Labelled rows fall into two halves. A net is learned from all rows of a half, its thresholds, one for each language, from all rows of the other, so every row shapes a net and the thresholds of the other
+net. The language is recognised from the text. A score is the mean of how far both nets are beyond their thresholds, moved so that 0.5 is at them.
+
+Rows lie in shards. In each epoch tasks walk over the shards, each from the same net, in small steps; the mean of their moves moves the net. Tasks give the rows of the embedding
+table that they moved, so what reaches the driver has the size of the table, whatever the input's.
 
 Since filters are linear, each is applied to the embedding table once; a text then costs look-ups, sums and maxima, in pieces of bounded size.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,21 +23,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import language_id
-from .common import cut, in_fold, map_batches, small
+from .common import BATCH_ROWS, cut, in_fold, map_batches, small
 from .near_dedup import _LETTERS, _powers, mix64
 
 #: Rows of the embedding table for whole words, and as many again for beginnings; its columns; filters of a width; widths.
 BUCKETS, DIMS, FILTERS, WIDTHS = 1 << 15, 12, 8, (1, 2, 3)
 #: Letters (bytes) of a beginning.
 LEAD = 5
-#: Bounds of the fit: texts of each label, bytes of one and of all.
-PER_LABEL, SAMPLE_BYTES, TOTAL_BYTES = 3000, 100_000, 96 << 20
+#: Labelled rows of a shard, about; there are as many shards as the rows need.
+SHARD = 4096
 EPOCHS, BATCH, RATE = 8, 64, 0.01
+#: Texts and words that a walk mixes before it takes steps; words that are worked on at once.
+MIXED_TEXTS, MIXED_WORDS, BLOCK = 1024, 1 << 20, 1 << 16
 #: Training texts that a bucket must occur in for its log-odds to be a start, and texts added to either label's count to shrink them.
 SEEN, SHRINK = 3, 1.0
-#: Toxic texts of a language that a threshold of its own takes.
+#: Texts of each label and half that two nets take; with fewer, one net and its thresholds are learned from all rows.
+HALVES = 10
+#: Texts of each label of a language that a threshold of its own takes.
 CALIBRATE = 20
+#: Logits are counted on a grid of 1 / GRID, moves summed as whole numbers of 1 / UNIT (sums do not depend on their order).
+GRID, FAR, UNIT = 256, 1 << 14, float(1 << 24)
+#: The part of a language's own words in its share of a bucket; the rest is the share that all texts give it.
+OWN = 0.9
+#: Languages that a task counts before it gives counts away.
+HELD_LANGUAGES = 64
 _WORDS = bytes(c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 _PIECE = 1 << 20
 
@@ -68,6 +84,7 @@ def _columns() -> list[tuple[int, int, int]]:
 
 COLUMNS = _columns()
 PAD = max(WIDTHS) - 1
+_NONE = np.zeros((0, 2), np.int32)
 
 
 @dataclass
@@ -96,146 +113,336 @@ class Cnn:
 
     def logits(self, table: np.ndarray, texts: list[str | None]) -> np.ndarray:
         """table: embedding @ filters. A text without words has the answers of an empty one: zeros."""
-        out = np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            ids = word_ids(text) if text else np.zeros((0, 2), np.int32)
-            pooled = np.full(FILTERS * len(WIDTHS), -np.inf, np.float32)
-            for at in range(0, max(len(ids), 1), 8192):
-                part = ids[at : at + 8192 + PAD]
-                rows = np.zeros((max(len(part), 1) + PAD, table.shape[1]), np.float32)
-                rows[: len(part)] = table[part[:, 0]] + table[part[:, 1]]
-                np.maximum(pooled, self.answers(rows, min(max(len(part), 1), 8192)).max(axis=0), out=pooled)
-            out[i] = np.maximum(pooled + self.bias, 0) @ self.weights + self.offset
-        return out
-
+        return np.array([look([self], table, word_ids(text) if text else _NONE)[0][0] for text in texts])
+
+
+def look(nets: list[Cnn], table: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The logit of each net, and the sums over the words of the columns behind those of the nets. table: embedding @ filters of each net, side by side, and columns of any other kind."""
+    wide = FILTERS * len(COLUMNS)
+    pooled, sums = np.full((len(nets), FILTERS * len(WIDTHS)), -np.inf, np.float32), np.zeros(table.shape[1] - wide * len(nets))
+    for at in range(0, max(len(ids), 1), 8192):
+        part = ids[at : at + 8192 + PAD]
+        rows = np.zeros((max(len(part), 1) + PAD, table.shape[1]), np.float32)
+        rows[: len(part)] = table[part[:, 0]] + table[part[:, 1]]
+        valid = min(max(len(part), 1), 8192)
+        for k, net in enumerate(nets):
+            np.maximum(pooled[k], net.answers(rows[:, k * wide : (k + 1) * wide], valid).max(axis=0), out=pooled[k])
+        sums += rows[:valid, wide * len(nets) :].sum(axis=0, dtype=np.float64)
+    return np.array([np.maximum(p + net.bias, 0) @ net.weights + net.offset for p, net in zip(pooled, nets)]), sums
+
+
+class Learner:
+    """A net with what its steps remember. `packed` is all of it as rows of DIMS + 1 numbers: a row for each bucket (embedding and the sum of squares), then the rest."""
+
+    def __init__(self, net: Cnn):
+        self.net, self.t = net, 0.0
+        self.squares = np.full((2 * BUCKETS, 1), 1e-3, np.float32)
+        self.m, self.v = ([np.zeros_like(a) for a in (net.filters, net.bias, net.weights)] for _ in range(2))
+
+    def packed(self) -> np.ndarray:
+        net = self.net
+        rest = np.concatenate([np.ravel(x) for x in (net.filters, net.bias, net.weights, *self.m, *self.v, net.offset, self.t)])
+        rest = np.append(rest, np.zeros(-len(rest) % (DIMS + 1)))
+        return np.concatenate([np.hstack([net.embedding, self.squares]), rest.reshape(-1, DIMS + 1)]).astype(np.float32)
 
-class Adam:
-    def __init__(self, *arrays: np.ndarray):
-        self.arrays, self.t = arrays, 0
-        self.m, self.v = [np.zeros_like(a) for a in arrays], [np.zeros_like(a) for a in arrays]
-
-    def step(self, *grads: np.ndarray) -> None:
+    @classmethod
+    def of(cls, packed: np.ndarray) -> Learner:
+        self = cls(Cnn.new())
+        self.net.embedding, self.squares = packed[: 2 * BUCKETS, :DIMS].copy(), packed[: 2 * BUCKETS, DIMS:].copy()
+        rest, at = packed[2 * BUCKETS :].ravel(), 0
+        for a in (self.net.filters, self.net.bias, self.net.weights, *self.m, *self.v):
+            a[...] = rest[at : at + a.size].reshape(a.shape)
+            at += a.size
+        for v in self.v:
+            np.maximum(v, 0, out=v)  # means are rounded
+        self.net.offset, self.t = float(rest[at]), float(rest[at + 1])
+        return self
+
+    def best(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """For each text and filter the greatest answer, and the buckets of the words where it stands: (texts, filters, words of the widest filter, 2), -1 behind the end."""
+        net, n = self.net, FILTERS * len(WIDTHS)
+        pooled, words = np.full((len(docs), n), -np.inf, np.float32), np.full((len(docs), n, PAD + 1, 2), -1, np.int32)
+        parts = [(i, doc[at : at + BLOCK + PAD], min(max(len(doc) - at, 1), BLOCK)) for i, doc in enumerate(docs) for at in range(0, max(len(doc), 1), BLOCK)]
+        while parts:
+            k = max(1, int(np.searchsorted(np.cumsum([p[2] + PAD for p in parts]), BLOCK, "right")))
+            some, parts = parts[:k], parts[k:]
+            lengths = np.array([valid + PAD for _, _, valid in some])
+            starts = np.cumsum(lengths) - lengths
+            ids = np.full((lengths.sum() + PAD, 2), -1, np.int32)
+            open_ = np.zeros(lengths.sum(), bool)  # places where a filter may begin
+            for (_, part, valid), start in zip(some, starts):
+                ids[start : start + len(part)] = part
+                open_[start : start + valid] = True
+            embedded = net.embedding[ids[:, 0]] + net.embedding[ids[:, 1]]
+            embedded[ids[:, 0] < 0] = 0
+            answers = net.answers(embedded @ net.filters, len(open_))
+            answers[~open_] = -np.inf
+            top = np.maximum.reduceat(answers, starts, axis=0)
+            for j, (i, _, _) in enumerate(some):
+                place = starts[j] + answers[starts[j] : starts[j] + lengths[j]].argmax(axis=0)
+                better = top[j] > pooled[i]
+                pooled[i] = np.where(better, top[j], pooled[i])
+                words[i, better] = ids[place[better, None] + np.arange(PAD + 1)]
+        return pooled, words
+
+    def step(self, docs: list[np.ndarray], labels: np.ndarray, share: np.ndarray) -> None:
+        """Logistic loss with weights of texts. The gradient of a pooled filter goes to the words where it answered most."""
+        net = self.net
+        pooled, words = self.best(docs)
+        hidden = np.maximum(pooled + net.bias, 0)
+        p = 1 / (1 + np.exp(-np.clip(hidden @ net.weights + net.offset, -60, 60)))
+        d = ((p - labels) * share / len(docs)).astype(np.float32)
+        d_hidden = np.outer(d, net.weights) * (hidden > 0)
+        embedded = net.embedding[words[..., 0]] + net.embedding[words[..., 1]]
+        embedded[words[..., 0] < 0] = 0
+        d_filters, touched, moves = np.zeros_like(net.filters), [], []
+        for width, place, at in COLUMNS:
+            own = slice(WIDTHS.index(width) * FILTERS, (WIDTHS.index(width) + 1) * FILTERS)
+            g = d_hidden[:, own]
+            d_filters[:, at : at + FILTERS] = np.einsum("nfd,nf->df", embedded[:, own, place], g)
+            use = (words[:, own, place, 0] >= 0) & (g != 0)
+            touched.append(words[:, own, place][use])
+            moves.append((g[:, :, None] * net.filters[:, at : at + FILTERS].T)[use])
+        where, move = np.concatenate(touched), np.concatenate(moves)
+        rows, back = np.unique(where.T.ravel(), return_inverse=True)
+        d_rows = np.zeros((len(rows), DIMS), np.float32)
+        np.add.at(d_rows, back, np.concatenate([move] * 2))
+        self.squares[rows] += (d_rows**2).mean(axis=1, keepdims=True)
+        net.embedding[rows] -= RATE * d_rows / np.sqrt(self.squares[rows])
         self.t += 1
-        for a, g, m, v in zip(self.arrays, grads, self.m, self.v):
+        for a, g, m, v in zip((net.filters, net.bias, net.weights), (d_filters, d_hidden.sum(axis=0), hidden.T @ d), self.m, self.v):  # Adam
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             a -= RATE * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.99**self.t)) + 1e-6)
+        net.offset -= RATE * float(d.sum())
+
 
+class Walk:
+    """One walk over a shard from a packed net; `share` weighs texts by their label."""
 
-def log_odds(docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """For each bucket the shrunk log-odds of label 1 among the texts that hold it, halved; 0 for rare ones. The first embedding column starts from these."""
-    held = np.zeros((2, 2 * BUCKETS))
-    for ids, label in zip(docs, labels):
-        held[int(label), np.unique(ids)] += 1
-    ratio = max((labels == 0).sum(), 1) / max((labels == 1).sum(), 1)
+    def __init__(self, packed: np.ndarray, share: tuple[float, float], seed: tuple[int, ...]):
+        self.before, self.learner, self.share, self.rng = packed, Learner.of(packed), np.array(share), np.random.default_rng(seed)
+        self.docs, self.labels, self.words, self.n = [], [], 0, 0
+
+    def take(self, doc: np.ndarray, label: int) -> None:
+        self.docs.append(doc)
+        self.labels.append(label)
+        self.words += len(doc)
+        self.n += 1
+        if len(self.docs) >= MIXED_TEXTS or self.words >= MIXED_WORDS:
+            self.steps()
+
+    def steps(self) -> None:
+        labels, order = np.array(self.labels, np.float32), self.rng.permutation(len(self.docs))
+        for first in range(0, len(order), BATCH):
+            some = order[first : first + BATCH]
+            self.learner.step([self.docs[i] for i in some], labels[some], self.share[labels[some].astype(int)])
+        self.docs, self.labels, self.words = [], [], 0
+
+    def moves(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the packed net that moved, and their moves times the texts of the shard as whole numbers."""
+        self.steps()
+        moved = self.learner.packed().astype(np.float64) - self.before
+        rows = np.flatnonzero((moved != 0).any(axis=1))
+        return rows, np.rint(moved[rows] * self.n * UNIT).astype(np.int64)
+
+
+def log_odds(held: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """For each bucket the shrunk log-odds of label 1 among the texts that hold it, halved; 0 for rare ones. The first embedding column starts from these.
+    held: (2, buckets) texts of each label; texts: all texts of each label."""
+    ratio = max(texts[0], 1) / max(texts[1], 1)
     odds = np.log((held[1] + SHRINK) * ratio / (held[0] + SHRINK * ratio))
     return np.where(held.sum(axis=0) >= SEEN, odds / 2, 0).astype(np.float32)
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Cnn:
-    """Logistic loss with labels weighed to halves. The gradient of a pooled filter goes to the words where it answered most."""
-    net, rng = Cnn.new(seed), np.random.default_rng(seed)
-    pad = np.zeros((PAD, 2), np.int32)
-    docs = [word_ids(t) for t in texts]
-    net.embedding[:, 0] = log_odds(docs, labels)
+def fresh(held: np.ndarray, texts: np.ndarray) -> Cnn:
+    """A net that starts from log-odds."""
+    net = Cnn.new()
+    net.embedding[:, 0] = log_odds(held, texts)
     net.filters[0] = np.concatenate([np.full(FILTERS, 1.0 / width) for width, _, _ in COLUMNS])
-    share = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
-    small = Adam(net.filters, net.bias, net.weights)
-    squares = np.full((2 * BUCKETS, 1), 1e-3, np.float32)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(docs))
-        for first in range(0, len(order), BATCH):
-            some = order[first : first + BATCH]
-            ids = np.concatenate([x for i in some for x in (docs[i] if len(docs[i]) else pad[:1], pad)])
-            real = np.concatenate([np.repeat([len(docs[i]) > 0, False], [max(len(docs[i]), 1), PAD]) for i in some])
-            lengths = np.array([max(len(docs[i]), 1) + PAD for i in some])
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            words = net.embedding[ids[:, 0]] + net.embedding[ids[:, 1]]
-            words[~real] = 0
-            rows = np.concatenate([words @ net.filters, np.zeros((PAD, net.filters.shape[1]), np.float32)])
-            answers = net.answers(rows, len(ids))
-            answers[~real] = np.where(np.repeat(lengths, lengths) == 1 + PAD, 0, -np.inf)[~real, None] if (~real).any() else answers[~real]
-            pooled = np.maximum.reduceat(answers, starts, axis=0)
-            best = np.stack([starts[k] + answers[starts[k] : starts[k] + lengths[k]].argmax(axis=0) for k in range(len(some))])
-            hidden = np.maximum(pooled + net.bias, 0)
-            p = 1 / (1 + np.exp(-(hidden @ net.weights + net.offset)))
-            d = ((p - labels[some]) * share[some] / len(some)).astype(np.float32)
-            d_hidden = np.outer(d, net.weights) * (hidden > 0)
-            d_filters, touched, moves = np.zeros_like(net.filters), [], []
-            for width, place, at in COLUMNS:
-                f = WIDTHS.index(width) * FILTERS
-                for j in range(FILTERS):
-                    g, where = d_hidden[:, f + j], np.minimum(best[:, f + j] + place, len(ids) - 1)
-                    d_filters[:, at + j] = words[where].T @ g
-                    touched.append(where)
-                    moves.append(np.outer(g, net.filters[:, at + j]))
-            where, move = np.concatenate(touched), np.concatenate(moves)
-            use = real[where] & (np.abs(move).max(axis=1) > 0)
-            rows_of, back = np.unique(ids[where[use]].T.ravel(), return_inverse=True)
-            d_rows = np.zeros((len(rows_of), DIMS), np.float32)
-            np.add.at(d_rows, back, np.concatenate([move[use]] * 2))
-            squares[rows_of] += (d_rows**2).mean(axis=1, keepdims=True)
-            net.embedding[rows_of] -= RATE * d_rows / np.sqrt(squares[rows_of])
-            small.step(d_filters, d_hidden.sum(axis=0), hidden.T @ d)
-            net.offset -= RATE * float(d.sum())
     return net
 
 
-def threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The middle between the two neighbouring logits that part the labels best, a false alarm's share counting twice; the widest gap of equals."""
-    order = np.argsort(logits, kind="stable")
-    x, y = logits[order], labels[order]
-    below = np.cumsum(y == 0) / max((y == 0).sum(), 1)
-    above = 1 - np.cumsum(y == 1) / max((y == 1).sum(), 1)
+def threshold(places: np.ndarray, labels: np.ndarray, n: np.ndarray) -> float:
+    """The middle between the two neighbouring logits that part the labels best, a false alarm's share counting twice; the widest gap of equals. Logits are places of the grid, n the texts of a label there."""
+    x, back = np.unique(places, return_inverse=True)
+    zeros, ones = (np.bincount(back, weights=np.where(labels == k, n, 0), minlength=len(x)) for k in (0, 1))
+    if len(x) < 2:
+        return float(x[0]) / GRID
+    below, above = np.cumsum(zeros) / max(zeros.sum(), 1), 1 - np.cumsum(ones) / max(ones.sum(), 1)
     quality, gap = np.round((2 * below + above)[:-1], 9), np.diff(x)
     at = max(range(len(gap)), key=lambda i: (quality[i], gap[i]))
-    return float((x[at] + x[at + 1]) / 2)
+    return float((x[at] + x[at + 1]) / 2 + 0.5) / GRID
+
+
+def language_columns(words: np.ndarray) -> np.ndarray:
+    """words: of each language, in each bucket. (buckets, languages): the logarithm of a language's share of a bucket over that of all texts."""
+    together = (words.sum(axis=0) + 1) / (words.sum() + words.shape[1])
+    own = words / np.maximum(words.sum(axis=1, keepdims=True), 1)
+    return np.log(OWN * own / together + (1 - OWN)).T.astype(np.float32)
 
 
 @dataclass
 class Toxicity:
-    net: Cnn | None
-    table: np.ndarray | None
-    languages: language_id.LanguageModel
-    common: float
-    by_language: dict[str, float]
+    nets: list[Cnn]
+    table: np.ndarray | None  # as in look(); behind the nets, columns of the languages
+    common: np.ndarray  # threshold of each net
+    own: dict[int, np.ndarray]  # of languages, by their column
+
+    def look(self, ids: np.ndarray) -> tuple[np.ndarray, int]:
+        """Logits and the language, -1 if there is none."""
+        logits, sums = look(self.nets, self.table, ids)
+        return logits, int(sums.argmax()) if len(sums) and len(ids) else -1
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if self.net is None:
-            return np.zeros(len(texts))
-        logits = self.net.logits(self.table, texts)
-        cut = [self.by_language.get(name, self.common) for name, _, _ in self.languages.predict(texts)]
-        return 1 / (1 + np.exp(-np.clip(logits - np.array(cut), -30, 30)))
+        out = np.zeros(len(texts))
+        for i, text in enumerate(texts if self.nets else []):
+            logits, language = self.look(word_ids(text) if text else _NONE)
+            out[i] = 1 / (1 + np.exp(-np.clip((logits - self.own.get(language, self.common)).mean(), -30, 30)))
+        return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang") -> Toxicity:
-    """Learns from rows outside the held-out fold with a label of 0 or 1 (a document with several labels has the greatest): at most PER_LABEL texts of
-    each label, of at most SAMPLE_BYTES bytes and about TOTAL_BYTES in all, chosen by a hash; a quarter of them only sets the thresholds."""
-    languages = language_id.fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
+def _docs(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """Column `ids` as arrays: buckets of words, and of beginnings less BUCKETS, by two bytes each."""
+    for x in batch.column("ids"):
+        yield np.frombuffer(x.as_buffer(), np.uint16).reshape(-1, 2).astype(np.int32)
+
+
+def _sparse(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns.values()], list(columns))
+
+
+def labelled_words(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, lang_col: str) -> DataFrame:
+    """shard, label, lang, ids of all rows outside the held-out fold that have a text and a label of 0 or 1 (a document with several labels has the greatest; a row that is repeated
+    with its text counts once). A document's shard comes from its id; rows of a shard lie together, in an order by chance."""
     marked = labels.select(F.col(id_col).cast("long").alias("of"), F.col(label_col).cast("int").alias("label")).where(~in_fold(F.col("of")) & F.col("label").isin(0, 1))
-    marked = marked.groupBy("of").agg(F.max("label").alias("label"))
-    counts = {r.label: r.n for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.lit(11), "of"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.when(F.col("label") == 1, 1.3 * PER_LABEL / max(counts.get(1, 0), 1)).otherwise(1.3 * PER_LABEL / max(counts.get(0, 0), 1))
-    some = cut(marked.withColumn("draw", draw).where(F.col("draw") < share), "toxic-sample")  # some 1.3 x 2 x PER_LABEL rows
-    rows = docs.select(F.col(id_col).cast("long").alias("of"), F.col(text_col).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    got = cut(rows.join(small(some, some.count()), "of").select("of", "text", "label", "draw").distinct(), "toxic-texts")
-    sizes = {r.label: r.n for r in got.groupBy("label").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
-    held = F.lit(False)
-    for label, n in sizes.items():  # of long texts fewer, by the same draw, so that the driver holds TOTAL_BYTES about
-        held = held | (F.col("label") == label) & (F.col("draw") <= 1.3 * PER_LABEL / max(counts[label], 1) * min(1.0, TOTAL_BYTES / 2 / max(n, 1)))
-    got = got.where(held).toPandas().sort_values(["draw", "of", "text"])
-    got = got.groupby("label").head(PER_LABEL).reset_index(drop=True)
-    if got.label.nunique() < 2:
-        return Toxicity(None, None, languages, 0.0, {})
-    aside = (np.arange(len(got)) % 4 == 3) if got.label.value_counts().min() >= 8 else np.zeros(len(got), bool)
-    net = train(got.text[~aside].tolist(), got.label[~aside].to_numpy().astype(np.float32))
-    table = net.embedding @ net.filters
-    held = got[aside] if len(set(got.label[aside])) == 2 else got
-    logits, truth = net.logits(table, held.text.tolist()), held.label.to_numpy()
-    spoken = np.array([name for name, _, _ in languages.predict(held.text.tolist())])
-    own = {name: threshold(logits[spoken == name], truth[spoken == name]) for name in set(spoken) if min((truth[spoken == name] == k).sum() for k in (0, 1)) >= CALIBRATE}
-    return Toxicity(net, table, languages, threshold(logits, truth), own)
+    marked = cut(marked.groupBy("of").agg(F.max("label").alias("label")), "toxic-labels")
+    n = marked.count()
+    shards = 2 * max(1, -(-n // (2 * SHARD)))
+    rows = docs.select(F.col(id_col).cast("long").alias("of"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~in_fold(F.col("of")) & F.col("text").isNotNull())
+    rows = rows.join(small(marked, n), "of").withColumn("shard", F.pmod(F.hash("of"), F.lit(shards))).repartition(shards, "shard")  # by the shard itself: whole shards, however many partitions there are
+    rows = rows.groupBy("shard", "of", "label", "text").agg(F.max("lang").alias("lang"))
+    rows = rows.sortWithinPartitions("shard", F.xxhash64(F.lit(11), "of", "text"), "of", "text")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = [word_ids(text).astype(np.uint16).tobytes() for text in batch.column(3).to_pylist()]
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ids, pa.binary())], ["shard", "label", "lang", "ids"])
+
+    return cut(map_batches(rows.select("shard", "label", "lang", "text"), work, "shard int, label int, lang string, ids binary"), "toxic-words")
+
+
+def counted(rows: DataFrame, nets: int, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(nets, 2, buckets): texts of each net's rows and label that hold a bucket. (languages, buckets): words, for `names` and, last, all other languages."""
+    column = {name: i for i, name in enumerate(names)}
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, words = np.zeros((nets * 2, 2 * BUCKETS), np.int64), {}
+
+        def out(group: int, n: np.ndarray) -> pa.RecordBatch:
+            at = np.flatnonzero(n)
+            return _sparse({"part": np.full(len(at), group), "bucket": at, "n": n[at]})
+
+        for batch in batches:
+            for shard, label, lang, ids in zip(*(batch.column(i).to_pylist() for i in range(3)), _docs(batch)):
+                here = np.bincount(ids.ravel(), minlength=2 * BUCKETS)
+                held[shard % nets * 2 + label] += here > 0
+                if names and lang is not None:
+                    at = column.get(lang, len(names))
+                    words[at] = words[at] + here if at in words else here
+            if len(words) > HELD_LANGUAGES:
+                yield from (out(nets * 2 + at, n) for at, n in words.items())
+                words = {}
+        yield from (out(at, n) for at, n in enumerate(held))
+        yield from (out(nets * 2 + at, n) for at, n in words.items())
+
+    found = rows.mapInArrow(count, "part long, bucket long, n long").groupBy("part", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    sums = np.zeros((nets * 2 + len(names) + 1, 2 * BUCKETS))
+    sums[found.part, found.bucket] = found.n
+    return sums[: nets * 2].reshape(nets, 2, -1), sums[nets * 2 :]
+
+
+def learned(rows: DataFrame, nets: list[Cnn], texts: np.ndarray) -> list[Cnn]:
+    """The nets after EPOCHS walks over all rows; a shard belongs to one net. texts: of each net and label."""
+    share = [(0.5 * t.sum() / max(t[0], 1), 0.5 * t.sum() / max(t[1], 1)) for t in texts]
+    packed = [Learner(net).packed() for net in nets]
+    columns = [f"c{i}" for i in range(DIMS + 1)]
+    for epoch in range(EPOCHS):
+        shared = rows.sparkSession.sparkContext.broadcast(packed)
+
+        def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, own = -1, None
+
+            def out() -> pa.RecordBatch:
+                at, moves = own.moves()
+                return _sparse({"net": np.full(len(at), now % len(nets)), "at": at, "n": np.full(len(at), own.n), **dict(zip(columns, moves.T))})
+
+            for batch in batches:
+                for shard, label, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _docs(batch)):
+                    if shard != now:
+                        if own:
+                            yield out()
+                        now, own = shard, Walk(shared.value[shard % len(nets)], share[shard % len(nets)], (epoch, shard))
+                    own.take(ids, label)
+            if own:
+                yield out()
+
+        sums = rows.mapInArrow(walk, ", ".join(f"{c} long" for c in ("net", "at", "n", *columns))).groupBy("net", "at").agg(*(F.sum(c).alias(c) for c in ("n", *columns)))
+        for net, found in sums.toArrow().to_pandas().groupby("net"):
+            packed[net] = packed[net].copy()
+            packed[net][found["at"].to_numpy()] += (found[columns].to_numpy() / UNIT / found[["n"]].to_numpy()).astype(np.float32)
+        shared.destroy()
+    return [Learner.of(p).net for p in packed]
+
+
+def calibrated(rows: DataFrame, model: Toxicity) -> None:
+    """Sets the thresholds of each net from all rows that it was not learned from (of a single net, from all rows), those of a language where it has CALIBRATE of each label for every net."""
+    shared, nets = rows.sparkSession.sparkContext.broadcast(model), len(model.nets)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Counter()
+        for batch in batches:
+            for shard, label, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _docs(batch)):
+                logits, language = shared.value.look(ids)
+                for net in range(nets):
+                    if nets == 1 or shard % nets != net:
+                        seen[net, language, label, int(np.clip(np.floor(logits[net] * GRID), -FAR, FAR))] += 1
+        if seen:
+            yield _sparse(dict(zip(("net", "language", "label", "place", "n"), np.array([(*k, n) for k, n in seen.items()]).T)))
+
+    keys = ("net", "language", "label", "place")
+    found = rows.mapInArrow(count, ", ".join(f"{c} long" for c in (*keys, "n"))).groupBy(*keys).agg(F.sum("n").alias("n")).toArrow().to_pandas()
+
+    def of(some) -> np.ndarray:
+        by_net = [some[some.net == k] for k in range(nets)]
+        return np.array([threshold(x.place.to_numpy(), x.label.to_numpy(), x.n.to_numpy()) for x in by_net])
+
+    model.common = of(found)
+    for language, some in found.groupby("language"):
+        enough = min(some.n[(some.net == k) & (some.label == label)].sum() for k in range(nets) for label in (0, 1))
+        if 0 <= language < model.table.shape[1] - nets * FILTERS * len(COLUMNS) - 1 and enough >= CALIBRATE:
+            model.own[int(language)] = of(some)
+    shared.destroy()
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang") -> Toxicity:
+    """Learns from all rows of labelled_words(), texts of any length. The driver holds the nets, counts of buckets by language (of languages with CALIBRATE rows of each label), and logits counted on a grid."""
+    rows = labelled_words(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, lang_col=lang_col)
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    texts = np.zeros((2, 2))
+    for r in rows.groupBy((F.col("shard") % 2).alias("half"), "label").agg(F.count("*").alias("n")).collect():
+        texts[r.half, r.label] = r.n
+    if not texts.sum(axis=0).all():
+        return Toxicity([], None, np.zeros(0), {})
+    if texts.min() < HALVES:
+        texts = texts.sum(axis=0, keepdims=True)
+    by_language = rows.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("label").alias("ones"), F.count("*").alias("n"))
+    names = sorted(r.lang for r in by_language.where((F.col("ones") >= CALIBRATE) & (F.col("n") - F.col("ones") >= CALIBRATE)).collect())
+    held, words = counted(rows, len(texts), names)
+    nets = learned(rows, [fresh(h, t) for h, t in zip(held, texts)], texts)
+    table = np.concatenate([*(net.embedding @ net.filters for net in nets), language_columns(words)], axis=1)
+    model = Toxicity(nets, table, np.zeros(len(nets)), {})
+    calibrated(rows, model)
+    return model
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BATCH_ROWS, cut, fresh_path
-from .token_ids import PieceIds
+from .token_ids import piece_ids
 
 MAGIC, INDEX_MAGIC, VERSION = b"TLRC", b"TLRCIDX1", 1
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("ids", "<u8")])
@@ -127,14 +127,14 @@ def write_records(docs: DataFrame, path: str, *, folder: str | None = None, end_
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, shard, roll, part = None, None, 0, TaskContext.get().partitionId()
+        shard, roll, part = None, 0, TaskContext.get().partitionId()
         schema = pa.schema([("part", pa.int32()), ("roll", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())])
         for batch in batches:
-            pieces = pieces or PieceIds(path)
+            pieces = piece_ids(path)
             end = b"" if end_id is None else np.array([end_id], pieces.dtype).tobytes()
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), pieces.encode_all(batch.column(1).to_pylist())):
                 shard = shard or Shard(folder, part, roll, pieces.dtype)
-                shard.add(doc_id, pieces.encode(text) + end)
+                shard.add(doc_id, ids + end)
                 if shard.at >= SHARD_BYTES:
                     yield pa.RecordBatch.from_pylist([shard.close()], schema)
                     shard, roll = None, roll + 1

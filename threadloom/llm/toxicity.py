@@ -9,14 +9,16 @@ net. The language is recognised from the text. A score is the mean of how far bo
 Rows lie in shards. In each epoch tasks walk over the shards, each from the same net, in small steps; the mean of their moves moves the net. Tasks give the rows of the embedding
 table that they moved, so what reaches the driver has the size of the table, whatever the input's.
 
-Since filters are linear, each is applied to the embedding table once; a text then costs look-ups, sums and maxima, in pieces of bounded size.
+Since filters are linear, each is applied to the embedding table once; a text then costs look-ups, sums and maxima. Texts of a batch are worked on together, in pieces of bounded size: their words
+are looked up at once, and each answer lies along the words. A score does not depend on the texts beside it.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,8 @@ LEAD = 5
 #: Labelled rows of a shard, about; there are as many shards as the rows need.
 SHARD = 4096
 EPOCHS, BATCH, RATE = 8, 64, 0.01
-#: Texts and words that a walk mixes before it takes steps; words that are worked on at once.
-MIXED_TEXTS, MIXED_WORDS, BLOCK = 1024, 1 << 20, 1 << 16
+#: Texts and words that a walk mixes before it takes steps; words that are worked on at once (few enough for a core's cache).
+MIXED_TEXTS, MIXED_WORDS, BLOCK = 1024, 1 << 20, 1 << 12
 #: Training texts that a bucket must occur in for its log-odds to be a start, and texts added to either label's count to shrink them.
 SEEN, SHRINK = 3, 1.0
 #: Texts of each label and half that two nets take; with fewer, one net and its thresholds are learned from all rows.
@@ -48,28 +50,64 @@ OWN = 0.9
 #: Languages that a task counts before it gives counts away.
 HELD_LANGUAGES = 64
 _WORDS = bytes(c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
-_PIECE = 1 << 20
-
-
-def word_ids(text: str) -> np.ndarray:
-    """(words, 2): bucket of each word and of its beginning."""
-    out = []
-    data = text.lower().encode().translate(_WORDS)
+_PIECE = 1 << 16
+_T = TypeVar("_T")
+
+
+def together(items: Iterable[_T], size: Callable[[_T], int], most: int) -> Iterator[list[_T]]:
+    """The items in their order, in lists of `most` in all, or of one that is greater."""
+    some, held = [], 0
+    for item in items:
+        n = size(item)
+        if some and held + n > most:
+            yield some
+            some, held = [], 0
+        some.append(item)
+        held += n
+    if some:
+        yield some
+
+
+def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of `data` begins, and as in word_ids()."""
+    part = np.frombuffer(b" " + data + b" ", np.uint8)
+    inside = part != 32
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, stop = edge[::2], edge[1::2]
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LETTERS.take(part[1:-1]) * up[: len(data)], out=sums[1:])
+    first, back, most = sums.take(start), down.take(start), np.uint64(BUCKETS - 1)
+    ids = np.empty((len(start), 2), np.int32)
+    ids[:, 0] = mix64((sums.take(stop) - first) * back) & most
+    ids[:, 1] = mix64((sums.take(np.minimum(stop, start + LEAD)) - first) * back + np.uint64(1)) & most
+    ids[:, 1] += BUCKETS
+    return start, ids
+
+
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """Pieces of _PIECE bytes that end behind a blank, or at the next blank."""
     at = 0
     while at < len(data):
         end = len(data) if at + _PIECE >= len(data) else (data.rfind(b" ", at, at + _PIECE) + 1 or data.find(b" ", at + _PIECE) + 1 or len(data))
-        end = end if end > at else len(data)
-        part = np.frombuffer(data[at:end], np.uint8)
-        edge = np.diff((part != 32).view(np.int8), prepend=0, append=0)
-        start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        up, down = _powers(len(part) + 1)
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_LETTERS[part] * up[: len(part)], out=sums[1:])
-        whole = mix64((sums[stop] - sums[start]) * down[start]) % np.uint64(BUCKETS)
-        lead = mix64((sums[np.minimum(stop, start + LEAD)] - sums[start]) * down[start] + np.uint64(1)) % np.uint64(BUCKETS)
-        out.append(np.stack([whole, lead + np.uint64(BUCKETS)], axis=1).astype(np.int32))
+        yield data[at:end]
         at = end
-    return np.concatenate(out) if out else np.zeros((0, 2), np.int32)
+
+
+def words_of(texts: Iterable[str | None]) -> Iterator[list[np.ndarray]]:
+    """word_ids() of each text, in lists of texts of some _PIECE bytes."""
+    for some in together((text.lower().encode() if text else b"" for text in texts), len, _PIECE):
+        if len(some) == 1:
+            ids = [_hashed(piece)[1] for piece in _pieces(some[0].translate(_WORDS))]
+            yield [np.concatenate(ids) if ids else _NONE]
+        else:
+            start, ids = _hashed(b" ".join(some).translate(_WORDS))
+            yield np.split(ids, np.searchsorted(start, np.cumsum([len(data) + 1 for data in some])[:-1]))
+
+
+def word_ids(text: str) -> np.ndarray:
+    """(words, 2): bucket of each word and of its beginning."""
+    return next(words_of([text]))[0]
 
 
 def _columns() -> list[tuple[int, int, int]]:
@@ -85,6 +123,28 @@ def _columns() -> list[tuple[int, int, int]]:
 COLUMNS = _columns()
 PAD = max(WIDTHS) - 1
 _NONE = np.zeros((0, 2), np.int32)
+_BEHIND = [np.full((n, 2), -1, np.int32) for n in range(PAD + 2)]
+
+
+def pieces(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The texts one behind the other, BLOCK words at once: of which text each piece is, where it begins, in how many places a filter may begin there, and the words (-1 behind a text's end).
+    A piece is followed by the PAD words behind it; a text is in one piece of a block."""
+    cuts = ((i, at, min(max(len(doc) - at, 1), BLOCK)) for i, doc in enumerate(docs) for at in range(0, max(len(doc), 1), BLOCK))
+    for some in together(cuts, lambda cut: cut[2] + PAD, BLOCK + PAD):
+        of, first, valid = np.array(some).T
+        parts = []
+        for i, at, n in some:
+            part = docs[i][at : at + n + PAD]
+            parts += [part, _BEHIND[n + PAD - len(part)]]
+        yield of, np.cumsum(valid + PAD) - valid - PAD, valid, np.concatenate([*parts, _BEHIND[1]])
+
+
+def embed(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Rows of the words, of whole word and beginning together; zeros where there is none."""
+    rows = table.take(ids[:, 0], axis=0)
+    rows += table.take(ids[:, 1], axis=0)
+    rows[ids[:, 0] < 0] = 0
+    return rows
 
 
 @dataclass
@@ -105,30 +165,50 @@ class Cnn:
 
     def answers(self, rows: np.ndarray, valid: int) -> np.ndarray:
         """Of each filter at each of the first `valid` places, from projected rows with PAD zero rows behind them."""
-        out = np.zeros((valid, FILTERS * len(WIDTHS)), np.float32)
-        for width, place, at in COLUMNS:
-            f = WIDTHS.index(width) * FILTERS
-            out[:, f : f + FILTERS] += rows[place : place + valid, at : at + FILTERS]
-        return out
+        return across(rows.T, valid).T
 
     def logits(self, table: np.ndarray, texts: list[str | None]) -> np.ndarray:
         """table: embedding @ filters. A text without words has the answers of an empty one: zeros."""
-        return np.array([look([self], table, word_ids(text) if text else _NONE)[0][0] for text in texts])
+        return np.array([look([self], table, ids)[0][0] for some in words_of(texts) for ids in some])
+
+    def logit(self, pooled: np.ndarray) -> np.ndarray:
+        """Of each row, in sums of its own (a product's last bits would depend on the rows beside it)."""
+        return (np.maximum(pooled + self.bias, 0) * self.weights).sum(axis=-1) + self.offset
+
+
+def across(projected: np.ndarray, valid: int) -> np.ndarray:
+    """(filters, places): the answers at the first `valid` places. projected: a row for each of COLUMNS, along the words."""
+    out = np.empty((FILTERS * len(WIDTHS), valid), np.float32)
+    for width, place, at in COLUMNS:
+        own = out[WIDTHS.index(width) * FILTERS :][:FILTERS]
+        here = projected[at : at + FILTERS, place : place + valid]
+        if place:
+            own += here
+        else:
+            own[...] = here
+    return out
 
 
 def look(nets: list[Cnn], table: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The logit of each net, and the sums over the words of the columns behind those of the nets. table: embedding @ filters of each net, side by side, and columns of any other kind."""
+    """look_all() of one text."""
+    logits, sums = look_all(nets, table, [ids])
+    return logits[0], sums[0]
+
+
+def look_all(nets: list[Cnn], table: np.ndarray, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the logit of each net, and the sums over the words of the columns behind those of the nets. table: embedding @ filters of each net, side by side, and columns of any other kind."""
     wide = FILTERS * len(COLUMNS)
-    pooled, sums = np.full((len(nets), FILTERS * len(WIDTHS)), -np.inf, np.float32), np.zeros(table.shape[1] - wide * len(nets))
-    for at in range(0, max(len(ids), 1), 8192):
-        part = ids[at : at + 8192 + PAD]
-        rows = np.zeros((max(len(part), 1) + PAD, table.shape[1]), np.float32)
-        rows[: len(part)] = table[part[:, 0]] + table[part[:, 1]]
-        valid = min(max(len(part), 1), 8192)
-        for k, net in enumerate(nets):
-            np.maximum(pooled[k], net.answers(rows[:, k * wide : (k + 1) * wide], valid).max(axis=0), out=pooled[k])
-        sums += rows[:valid, wide * len(nets) :].sum(axis=0, dtype=np.float64)
-    return np.array([np.maximum(p + net.bias, 0) @ net.weights + net.offset for p, net in zip(pooled, nets)]), sums
+    pooled = np.full((len(nets), len(docs), FILTERS * len(WIDTHS)), -np.inf, np.float32)
+    sums = np.zeros((len(docs), table.shape[1] - wide * len(nets)))
+    for of, starts, valid, ids in pieces(docs):
+        rows = embed(table, ids)
+        runs = np.stack([starts, starts + valid], axis=1).ravel()  # a piece, what lies behind it
+        for k in range(len(nets)):
+            top = np.maximum.reduceat(across(rows[:, k * wide : (k + 1) * wide].T, len(ids) - PAD), runs, axis=1)[:, ::2]
+            pooled[k, of] = np.maximum(pooled[k, of], top.T)
+        if sums.shape[1]:
+            sums[of] += np.add.reduceat(rows[:, wide * len(nets) :], runs, axis=0, dtype=np.float64)[::2]
+    return np.stack([net.logit(p) for net, p in zip(nets, pooled)], axis=1), sums
 
 
 class Learner:
@@ -147,8 +227,9 @@ class Learner:
 
     @classmethod
     def of(cls, packed: np.ndarray) -> Learner:
-        self = cls(Cnn.new())
-        self.net.embedding, self.squares = packed[: 2 * BUCKETS, :DIMS].copy(), packed[: 2 * BUCKETS, DIMS:].copy()
+        n = FILTERS * len(WIDTHS)
+        self = cls(Cnn(packed[: 2 * BUCKETS, :DIMS].copy(), np.zeros((DIMS, FILTERS * len(COLUMNS)), np.float32), np.zeros(n, np.float32), np.zeros(n, np.float32), 0.0))
+        self.squares = packed[: 2 * BUCKETS, DIMS:].copy()
         rest, at = packed[2 * BUCKETS :].ravel(), 0
         for a in (self.net.filters, self.net.bias, self.net.weights, *self.m, *self.v):
             a[...] = rest[at : at + a.size].reshape(a.shape)
@@ -162,27 +243,13 @@ class Learner:
         """For each text and filter the greatest answer, and the buckets of the words where it stands: (texts, filters, words of the widest filter, 2), -1 behind the end."""
         net, n = self.net, FILTERS * len(WIDTHS)
         pooled, words = np.full((len(docs), n), -np.inf, np.float32), np.full((len(docs), n, PAD + 1, 2), -1, np.int32)
-        parts = [(i, doc[at : at + BLOCK + PAD], min(max(len(doc) - at, 1), BLOCK)) for i, doc in enumerate(docs) for at in range(0, max(len(doc), 1), BLOCK)]
-        while parts:
-            k = max(1, int(np.searchsorted(np.cumsum([p[2] + PAD for p in parts]), BLOCK, "right")))
-            some, parts = parts[:k], parts[k:]
-            lengths = np.array([valid + PAD for _, _, valid in some])
-            starts = np.cumsum(lengths) - lengths
-            ids = np.full((lengths.sum() + PAD, 2), -1, np.int32)
-            open_ = np.zeros(lengths.sum(), bool)  # places where a filter may begin
-            for (_, part, valid), start in zip(some, starts):
-                ids[start : start + len(part)] = part
-                open_[start : start + valid] = True
-            embedded = net.embedding[ids[:, 0]] + net.embedding[ids[:, 1]]
-            embedded[ids[:, 0] < 0] = 0
-            answers = net.answers(embedded @ net.filters, len(open_))
-            answers[~open_] = -np.inf
-            top = np.maximum.reduceat(answers, starts, axis=0)
-            for j, (i, _, _) in enumerate(some):
-                place = starts[j] + answers[starts[j] : starts[j] + lengths[j]].argmax(axis=0)
-                better = top[j] > pooled[i]
-                pooled[i] = np.where(better, top[j], pooled[i])
-                words[i, better] = ids[place[better, None] + np.arange(PAD + 1)]
+        for of, starts, valid, ids in pieces(docs):
+            answers = across(net.filters.T @ embed(net.embedding, ids).T, len(ids) - PAD)
+            place = np.stack([start + answers[:, start : start + many].argmax(axis=1) for start, many in zip(starts, valid)])
+            top = answers[np.arange(n), place]
+            better = top > pooled[of]
+            pooled[of] = np.where(better, top, pooled[of])
+            words[of] = np.where(better[..., None, None], ids[place[..., None] + np.arange(PAD + 1)], words[of])
         return pooled, words
 
     def step(self, docs: list[np.ndarray], labels: np.ndarray, share: np.ndarray) -> None:
@@ -289,17 +356,21 @@ class Toxicity:
     common: np.ndarray  # threshold of each net
     own: dict[int, np.ndarray]  # of languages, by their column
 
-    def look(self, ids: np.ndarray) -> tuple[np.ndarray, int]:
-        """Logits and the language, -1 if there is none."""
-        logits, sums = look(self.nets, self.table, ids)
-        return logits, int(sums.argmax()) if len(sums) and len(ids) else -1
+    def look(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Logits and the language of each text, -1 if there is none."""
+        logits, sums = look_all(self.nets, self.table, docs)
+        words = np.array([len(ids) for ids in docs])
+        return logits, np.where(words > 0, sums.argmax(axis=1), -1) if sums.shape[1] else np.full(len(docs), -1)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        for i, text in enumerate(texts if self.nets else []):
-            logits, language = self.look(word_ids(text) if text else _NONE)
-            out[i] = 1 / (1 + np.exp(-np.clip((logits - self.own.get(language, self.common)).mean(), -30, 30)))
-        return out
+        if not self.nets:
+            return np.zeros(len(texts))
+        out = [np.zeros(0)]
+        for docs in words_of(texts):
+            logits, languages = self.look(docs)
+            beyond = logits - np.array([self.own.get(language, self.common) for language in languages.tolist()])
+            out.append(1 / (1 + np.exp(-np.clip(beyond.mean(axis=1), -30, 30))))
+        return np.concatenate(out)
 
 
 def _docs(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -325,7 +396,7 @@ def labelled_words(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
     rows = rows.sortWithinPartitions("shard", F.xxhash64(F.lit(11), "of", "text"), "of", "text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [word_ids(text).astype(np.uint16).tobytes() for text in batch.column(3).to_pylist()]
+        ids = [ids.astype(np.uint16).tobytes() for some in words_of(batch.column(3).to_pylist()) for ids in some]
         return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ids, pa.binary())], ["shard", "label", "lang", "ids"])
 
     return cut(map_batches(rows.select("shard", "label", "lang", "text"), work, "shard int, label int, lang string, ids binary"), "toxic-words")
@@ -344,11 +415,13 @@ def counted(rows: DataFrame, nets: int, names: list[str]) -> tuple[np.ndarray, n
 
         for batch in batches:
             for shard, label, lang, ids in zip(*(batch.column(i).to_pylist() for i in range(3)), _docs(batch)):
-                here = np.bincount(ids.ravel(), minlength=2 * BUCKETS)
-                held[shard % nets * 2 + label] += here > 0
+                here, n = np.unique(ids, return_counts=True)
+                held[shard % nets * 2 + label, here] += 1
                 if names and lang is not None:
                     at = column.get(lang, len(names))
-                    words[at] = words[at] + here if at in words else here
+                    if at not in words:
+                        words[at] = np.zeros(2 * BUCKETS, np.int64)
+                    words[at][here] += n
             if len(words) > HELD_LANGUAGES:
                 yield from (out(nets * 2 + at, n) for at, n in words.items())
                 words = {}
@@ -401,11 +474,14 @@ def calibrated(rows: DataFrame, model: Toxicity) -> None:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Counter()
         for batch in batches:
-            for shard, label, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _docs(batch)):
-                logits, language = shared.value.look(ids)
-                for net in range(nets):
-                    if nets == 1 or shard % nets != net:
-                        seen[net, language, label, int(np.clip(np.floor(logits[net] * GRID), -FAR, FAR))] += 1
+            taken = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _docs(batch))
+            for some in together(taken, lambda row: len(row[2]), BLOCK):
+                logits, languages = shared.value.look([ids for _, _, ids in some])
+                places = np.clip(np.floor(logits * GRID), -FAR, FAR).astype(int).tolist()
+                for (shard, label, _), language, place in zip(some, languages.tolist(), places):
+                    for net in range(nets):
+                        if nets == 1 or shard % nets != net:
+                            seen[net, language, label, place[net]] += 1
         if seen:
             yield _sparse(dict(zip(("net", "language", "label", "place", "n"), np.array([(*k, n) for k, n in seen.items()]).T)))
 
